@@ -1,0 +1,64 @@
+"""Tables written to the shared staging folder.
+
+Used where a result is read more than once, or where the table it comes from is
+about to be replaced. A written table survives the loss of executors and is read
+back column by column.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+
+_CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def staging_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Only a local session, as in tests, may do without it: it gets a temporary
+    folder of its own, kept for the rest of the session.
+    """
+    root = spark.conf.get(_CHECKPOINT_DIR, None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="barlake-")
+        spark.conf.set(_CHECKPOINT_DIR, root)
+    return root.rstrip("/")
+
+
+def new_dir(spark: SparkSession, label: str) -> str:
+    """A path under the staging folder that nothing uses yet."""
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Write ``df`` once and yield it as read back; the copy is removed at exit."""
+    spark = df.sparkSession
+    path = new_dir(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(spark, path)
