@@ -16,6 +16,7 @@ from barlake.operators import (
     payload_events,
     row_count,
     run_checks,
+    with_trade_date,
 )
 from barlake.plans.pipeline import (
     export_bars_csv,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barlake.plans.staging import path_exists
 from barlake.schemas import DAILY_TRADES, TRADE, Table
 
 
@@ -21,7 +22,8 @@ def _create(spark: SparkSession, table: Table, path: str, database: str, fmt: st
         f"CREATE TABLE {name} ({columns}) USING {fmt} "
         f"PARTITIONED BY ({table.partition}) LOCATION '{table.path(path)}'"
     )
-    sync_partitions(spark, f"{database}.{table.name}", fmt)
+    if path_exists(spark, table.path(path)):
+        sync_partitions(spark, f"{database}.{table.name}", fmt)
 
 
 def create_tables(
