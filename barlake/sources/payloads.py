@@ -15,17 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 LAYOUTS = ("files", "lines")
 
 
-def _options(layout: str) -> dict[str, str]:
+def _options(layout: str) -> dict[str, bool]:
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
-    return {"wholetext": str(layout == "files").lower(), "recursiveFileLookup": "true"}
+    return {"wholetext": layout == "files", "recursiveFileLookup": True}
 
 
 def read_payloads(
     spark: SparkSession, path: str | list[str], layout: str = "files"
 ) -> DataFrame:
     """Every payload under ``path``, all symbols at once."""
-    return spark.read.options(**_options(layout)).text(path)
+    return spark.read.text(path, **_options(layout))
 
 
 def payload_stream(
@@ -35,7 +35,7 @@ def payload_stream(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """The same rows as a stream: each file is read once, as it arrives."""
-    reader = spark.readStream.options(**_options(layout))
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(path)
+    return reader.text(path, **_options(layout))
