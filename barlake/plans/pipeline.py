@@ -6,7 +6,6 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from barlake.operators.normalize import parse_payloads, payload_events, split_parsed
 from barlake.operators.quality import enforce, run_checks
@@ -15,19 +14,21 @@ from barlake.plans.staging import staged
 from barlake.schemas import DAILY_TRADES, REJECTS, TRADE
 from barlake.sources.catalog import sync_partitions
 from barlake.sources.payloads import read_payloads
-from barlake.sources.tables import read_bars, replace_days, write_csv, write_table
-
-# Touched days are passed on as literals up to this many (some ten years of
-# trading days); a batch that touches more has the whole table recomputed.
-MAX_DAY_LITERALS = 3660
-
+from barlake.sources.tables import (
+    distinct_days,
+    on_days,
+    read_bars,
+    replace_days,
+    write_csv,
+    write_table,
+)
 
 @dataclass
 class BronzeLoad:
     batch_id: int
     checks: list[Row]
-    # Days the batch has bars for (None is the day of bars without a time);
-    # days is None when there are more than MAX_DAY_LITERALS.
+    # Days the batch has bars for (None among them for bars without a time), or
+    # None when they are too many to list.
     days: list[str | None] | None
 
 
@@ -43,11 +44,6 @@ def new_batch_id() -> int:
     return int(time.time())
 
 
-def _touched_days(bars: DataFrame) -> list[str | None] | None:
-    days = bars.select("partition").distinct().limit(MAX_DAY_LITERALS + 1).collect()
-    return [row[0] for row in days] if len(days) <= MAX_DAY_LITERALS else None
-
-
 def load_bronze(
     raw: DataFrame,
     warehouse: str,
@@ -68,13 +64,7 @@ def load_bronze(
         write_table(bars, TRADE, warehouse, "append", fmt)
         if not rejects.isEmpty():
             write_table(rejects, REJECTS, warehouse, "append", fmt)
-        return BronzeLoad(batch_id, checks, _touched_days(bars))
-
-
-def _on_days(bars: DataFrame, days: list[str | None]) -> DataFrame:
-    day = F.col("partition")
-    wanted = day.isin([d for d in days if d is not None])
-    return bars.filter(wanted | day.isNull() if None in days else wanted)
+        return BronzeLoad(batch_id, checks, distinct_days(bars, "partition"))
 
 
 def refresh_silver(
@@ -97,7 +87,7 @@ def refresh_silver(
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     bars = read_bars(spark, warehouse, date, symbol, fmt)
     if days is not None:
-        bars = _on_days(bars, days)
+        bars = on_days(bars, "partition", days)
     with staged(daily_rollup(dedup_latest(bars)), "daily") as daily:
         checks = enforce(run_checks(daily, "daily_trades"), on_fail)
         if mode == "append":

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from barlake.plans.staging import path_exists, staged
 from barlake.schemas import DAILY_TRADES, TRADE, Table
 
+# Days are passed on as literals up to this many (some ten years of trading
+# days); beyond it they stay a DataFrame.
+MAX_DAY_LITERALS = 3660
+
 
 def read_table(
     spark: SparkSession,
@@ -63,6 +67,19 @@ def read_bars(
     return bars.withColumn("trade_date", F.col("partition").cast("date"))
 
 
+def distinct_days(df: DataFrame, column: str) -> list | None:
+    """The values of a partition column, or None when there are too many to list."""
+    rows = df.select(column).distinct().limit(MAX_DAY_LITERALS + 1).collect()
+    return [row[0] for row in rows] if len(rows) <= MAX_DAY_LITERALS else None
+
+
+def on_days(df: DataFrame, column: str, days: list) -> DataFrame:
+    """Rows of the listed days, NULL included if listed; prunes folders."""
+    known = [day for day in days if day is not None]
+    wanted = F.col(column).isin(known)
+    return df.filter(wanted | F.col(column).isNull() if len(known) < len(days) else wanted)
+
+
 def _aligned(df: DataFrame, table: Table) -> DataFrame:
     """Columns picked by name, in table order, with table types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
@@ -112,7 +129,8 @@ def replace_days(
     Repeating it changes nothing, unlike an append. With ``whole_days`` the new
     rows are all there is for their days, and the stored table is not read.
     Otherwise other symbols of those days are kept: they are read, joined
-    null-safely (a NULL symbol or day must match itself) and written again.
+    null-safely (a NULL symbol or day must match itself) and written again. Only
+    the folders of those days are read.
 
     The rows to write are put in the shared staging folder first, because the
     folders they are read from are the ones replaced. Days are published one by
@@ -127,9 +145,12 @@ def replace_days(
         keys = fresh.select(F.col("trade_date").alias("_day"), F.col("symbol").alias("_symbol"))
         same_day = stored["trade_date"].eqNullSafe(F.col("_day"))
         same_symbol = stored["symbol"].eqNullSafe(F.col("_symbol"))
-        kept = stored.join(keys.select("_day").distinct(), same_day, "left_semi").join(
-            keys, same_day & same_symbol, "left_anti"
-        )
+        days = distinct_days(fresh, "trade_date")
+        if days is None:
+            affected = stored.join(keys.select("_day").distinct(), same_day, "left_semi")
+        else:
+            affected = on_days(stored, "trade_date", days)
+        kept = affected.join(keys, same_day & same_symbol, "left_anti")
         with staged(kept.unionByName(fresh), "replace-days") as rows:
             write_table(rows, DAILY_TRADES, warehouse, "overwrite_days", fmt)
 

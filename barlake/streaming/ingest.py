@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.plans.pipeline import load_bronze, refresh_silver
+from barlake.plans.pipeline import load_bronze, new_batch_id, refresh_silver
 from barlake.sources.payloads import payload_stream
 
 
@@ -29,9 +29,14 @@ def ingest_stream(
     repeated after a failure appends its bars again; they are removed as
     repeats when the day is recomputed.
     """
+    last_id = 0
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        loaded = load_bronze(batch, warehouse, on_fail=on_fail, fmt=fmt)
+        nonlocal last_id
+        # The stream's own 0, 1, 2... would count as older than any batch load.
+        # Two micro-batches within a second must still differ: the later one wins.
+        last_id = max(new_batch_id(), last_id + 1)
+        loaded = load_bronze(batch, warehouse, last_id, on_fail, fmt)
         if refresh:
             refresh_silver(
                 batch.sparkSession, warehouse, days=loaded.days, on_fail=on_fail, fmt=fmt

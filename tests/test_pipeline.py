@@ -1,13 +1,15 @@
 """End to end: load, refresh, re-run, policy, and incremental ingest."""
 
 import json
+import os
 import time
 from datetime import date
 
 import pytest
 
 import barlake as b
-from barlake.plans import pipeline, staging
+from barlake.plans import staging
+from barlake.sources import tables
 
 
 def bar(open, close, volume=10):
@@ -119,7 +121,7 @@ def test_touched_reads_only_its_days(spark, landing, tmp_path):
     load = b.load_bronze(b.read_payloads(spark, str(landing)), w, 1)
     assert sorted(load.days) == ["2024-01-02", "2024-01-03"]
     text = (
-        pipeline._on_days(b.read_bars(spark, w), ["2024-01-02"])
+        tables.on_days(b.read_bars(spark, w), "partition", ["2024-01-02"])
         ._jdf.queryExecution()
         .executedPlan()
         .toString()
@@ -139,7 +141,7 @@ def test_touched_with_a_bar_without_time(spark, tmp_path):
 
 
 def test_too_many_days_falls_back_to_everything(spark, landing, tmp_path, monkeypatch):
-    monkeypatch.setattr(pipeline, "MAX_DAY_LITERALS", 1)
+    monkeypatch.setattr(tables, "MAX_DAY_LITERALS", 1)
     w = str(tmp_path / "wh")
     assert b.load_bronze(b.read_payloads(spark, str(landing)), w, 1).days is None
     b.run_pipeline(spark, str(landing), w, batch_id=2, recompute="touched")
@@ -212,3 +214,13 @@ def test_stream_in_small_batches_with_late_bar(spark, tmp_path):
     assert silver(spark, w) == [r for r in TWO if r[1] == "A"]
     dates = {r.trade_date for r in b.read_bars(spark, w).collect()}
     assert dates == {date(2024, 1, 2), date(2024, 1, 3)}
+
+
+def test_stream_correction_wins_over_an_earlier_micro_batch(spark, tmp_path):
+    landing, w, state = tmp_path / "landing", str(tmp_path / "wh"), str(tmp_path / "state")
+    for age, (name, open_price) in enumerate((("c.json", 9), ("b.json", 5), ("a.json", 7))):
+        land(landing, name, "A", {"2024-01-02 09:30:00": bar(open_price, 2)})
+        os.utime(landing / name, (1_700_000_000 + age,) * 2)
+    b.ingest_stream(spark, str(landing), w, state, max_files_per_trigger=1).awaitTermination()
+    assert silver(spark, w) == [("2024-01-02", "A", 7.0, 2.0, 10)]
+    assert b.read_bars(spark, w).select("batch_id").distinct().count() == 3

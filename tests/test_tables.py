@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import barlake as b
 from barlake.plans import staging
+from barlake.sources import tables
 
 D1, D2 = date(2024, 1, 2), date(2024, 1, 3)
 DAILY = "trade_date date, symbol string, daily_open double, daily_volume long"
@@ -102,7 +103,9 @@ def test_replace_days_first_write(spark, tmp_path):
     assert stored(spark, str(tmp_path)) == [(D1, "A", 1.0)]
 
 
-def test_replace_keeps_other_symbols_and_days(spark, tmp_path):
+@pytest.mark.parametrize("listed", [3660, 0])
+def test_replace_keeps_other_symbols_and_days(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(tables, "MAX_DAY_LITERALS", listed)
     w = str(tmp_path)
     first = [(D1, "A", 1.0), (D1, "B", 1.0), (D1, None, 1.0), (D2, "A", 1.0), (None, "A", 1.0)]
     b.write_table(daily(spark, *first), b.DAILY_TRADES, w)
