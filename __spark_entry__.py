@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import barlake as b
+from barlake.operators.normalize import parse_payloads
 from barlake.operators.rollup import DAILY_COLUMNS
-from barlake.plans.staging import new_dir
+from barlake.sources.staging import new_dir
 from barlake.sources.adapters import bars_to_payloads, events_to_bars
 
 DATE = "2024-01-05"
@@ -201,10 +202,8 @@ def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit(f'{{{meta},"S":{{"'), time, F.lit('":{}}}')))
         .alias("value")
     )
-    bars, rejects = b.normalize_payloads(payloads, BATCH)
-    accepted = bars.select(F.lit("accepted").alias("outcome"))
-    outcomes = accepted.unionByName(rejects.select(F.col("reason").alias("outcome")))
-    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    outcome = F.coalesce("reason", F.lit("accepted")).alias("outcome")
+    return parse_payloads(payloads, BATCH).groupBy(outcome).agg(F.count(F.lit(1)).alias("n"))
 
 
 def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

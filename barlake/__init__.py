@@ -2,6 +2,7 @@
 
 from barlake.functions import text_to_double, text_to_int, text_to_timestamp
 from barlake.operators import (
+    CHECK_SETS,
     Check,
     CheckFailed,
     annotate_daily,

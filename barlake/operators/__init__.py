@@ -5,6 +5,7 @@ from barlake.operators.normalize import (
     split_parsed,
 )
 from barlake.operators.quality import (
+    CHECK_SETS,
     Check,
     CheckFailed,
     duplicate_count,
@@ -23,6 +24,7 @@ from barlake.operators.rollup import (
 )
 
 __all__ = [
+    "CHECK_SETS",
     "Check",
     "CheckFailed",
     "annotate_daily",

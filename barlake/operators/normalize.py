@@ -43,8 +43,8 @@ def _given_or(bar: Column, key: str, default: Column) -> Column:
 def _events(raw: DataFrame) -> DataFrame:
     """One row per bar as text, or one row per rejected payload.
 
-    Columns: ``reason`` and ``value`` (set for rejects only), then the seven
-    text columns (set for bars only).
+    Columns: ``is_bar``, then ``reason`` and ``value`` (set for rejects only),
+    then the seven text columns (set for bars only).
 
     Notes on the plan:
 
@@ -53,8 +53,10 @@ def _events(raw: DataFrame) -> DataFrame:
       malformed; parsed as an object the second would be silently ignored.
     * ``value`` is dropped from good payloads in a step of its own before the
       explode, which would otherwise copy the whole payload next to each bar.
-    * ``explode_outer`` keeps rejects in the same pass, and no filter is placed
-      above it that would be pushed down and parse the JSON a second time.
+    * ``explode_outer`` keeps rejects in the same pass.
+    * ``is_bar`` comes out of the explode, so a filter on it stays above the
+      explode. One on ``reason`` would be pushed down to the payloads with a copy
+      of every parse it depends on.
     """
     docs = F.from_json(
         F.concat(F.lit("["), F.col("value"), F.lit("]")), "array<map<string,string>>", _JSON
@@ -87,6 +89,7 @@ def _events(raw: DataFrame) -> DataFrame:
     ).select("reason", "value", "meta_symbol", F.explode_outer("series").alias("key", "bar"))
     bar = F.col("bar")
     return exploded.select(
+        F.col("key").isNotNull().alias("is_bar"),
         "reason",
         "value",
         _given_or(bar, "trade_timestamp", F.col("key")).alias("trade_timestamp"),
@@ -99,19 +102,20 @@ def _events(raw: DataFrame) -> DataFrame:
 
 def payload_events(raw: DataFrame) -> DataFrame:
     """Bars of the good payloads as untouched text, in CSV column order."""
-    return _events(raw).filter(F.col("reason").isNull()).select(*CSV_COLUMNS)
+    return _events(raw).filter("is_bar").select(*CSV_COLUMNS)
 
 
 def parse_payloads(raw: DataFrame, batch_id: int) -> DataFrame:
     """Bars and rejects of a batch in one DataFrame, JSON parsed once.
 
-    Rejects carry ``reason`` and ``value``; bars carry the bronze columns. Write
-    this once and use :func:`split_parsed` on what was written.
+    Rejects carry ``reason`` and ``value``, bars the bronze columns. Write this
+    once and use :func:`split_parsed` on what was written.
     """
     events = _events(raw)
     day = F.to_date("trade_timestamp").cast("string")
     return events.select(
         F.lit(batch_id).cast("long").alias("batch_id"),
+        "is_bar",
         "reason",
         "value",
         text_to_timestamp(F.col("trade_timestamp")).alias("trade_timestamp"),
@@ -123,8 +127,8 @@ def parse_payloads(raw: DataFrame, batch_id: int) -> DataFrame:
 
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(bars, rejects)`` out of :func:`parse_payloads`."""
-    bars = parsed.filter(F.col("reason").isNull()).select(*BAR_SCHEMA.fieldNames())
-    rejects = parsed.filter(F.col("reason").isNotNull()).select(*REJECT_SCHEMA.fieldNames())
+    bars = parsed.filter("is_bar").select(*BAR_SCHEMA.fieldNames())
+    rejects = parsed.filter("NOT is_bar").select(*REJECT_SCHEMA.fieldNames())
     return bars, rejects
 
 
@@ -132,7 +136,7 @@ def normalize_payloads(raw: DataFrame, batch_id: int) -> tuple[DataFrame, DataFr
     """Payloads (column ``value``) to ``(bars, rejects)``.
 
     ``batch_id`` is stamped as a literal, so the id that is checked is the id
-    that is stored. Using both results parses the payloads twice; the pipeline
-    stages :func:`parse_payloads` instead.
+    that is stored. Each result parses the payloads once; to use both, stage
+    :func:`parse_payloads` as the pipeline does.
     """
     return split_parsed(parse_payloads(raw, batch_id))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from barlake.operators.normalize import parse_payloads, payload_events, split_parsed
 from barlake.operators.quality import enforce, run_checks
 from barlake.operators.rollup import daily_rollup, dedup_latest
-from barlake.plans.staging import staged
+from barlake.sources.staging import staged
 from barlake.schemas import DAILY_TRADES, REJECTS, TRADE
 from barlake.sources.catalog import sync_partitions
 from barlake.sources.payloads import read_payloads
@@ -93,7 +93,7 @@ def refresh_silver(
         if mode == "append":
             write_table(daily, DAILY_TRADES, warehouse, "append", fmt)
         else:
-            replace_days(daily, warehouse, whole_days=not symbol, fmt=fmt)
+            replace_days(daily, warehouse, whole_days=not symbol, fmt=fmt, written=True)
         return checks
 
 

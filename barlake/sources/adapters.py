@@ -15,15 +15,13 @@ from barlake.operators.normalize import BAR_KEYS, META_KEY, SYMBOL_KEY
 
 def events_to_bars(events: DataFrame, batch_id: int = 1) -> DataFrame:
     """Bars with the bronze columns; the timestamp keeps the type it has."""
-    k = F.get_json_object("props", "$.k").cast("int")
     prices = events.select(
         F.col("ts").alias("trade_timestamp"),
         F.col("event_type").alias("symbol"),
         F.col("value").alias("open"),
-        (F.col("value") + k).alias("close"),
-        k.alias("volume"),
+        F.get_json_object("props", "$.k").cast("int").alias("volume"),
     )
-    return prices.select(
+    return prices.withColumn("close", F.col("open") + F.col("volume")).select(
         F.lit(batch_id).cast("long").alias("batch_id"),
         "trade_timestamp",
         "symbol",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.plans.staging import path_exists
+from barlake.sources.staging import path_exists
 from barlake.schemas import DAILY_TRADES, TRADE, Table
 
 

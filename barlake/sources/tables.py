@@ -5,12 +5,13 @@ The format is Parquet unless given (``delta`` works where its jar is present).
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.plans.staging import path_exists, staged
+from barlake.sources.staging import path_exists, staged
 from barlake.schemas import DAILY_TRADES, TRADE, Table
 
 # Days are passed on as literals up to this many (some ten years of trading
@@ -123,6 +124,7 @@ def replace_days(
     warehouse: str,
     whole_days: bool = False,
     fmt: str = "parquet",
+    written: bool = False,
 ) -> None:
     """Store recomputed daily rows in place of the ones they recompute.
 
@@ -133,28 +135,34 @@ def replace_days(
     the folders of those days are read.
 
     The rows to write are put in the shared staging folder first, because the
-    folders they are read from are the ones replaced. Days are published one by
-    one as the job commits; one writer at a time is assumed.
+    folders they are read from are the ones replaced; so are the new rows, which
+    are read several times, unless they are ``written`` already. Days are
+    published one by one as the job commits; one writer at a time is assumed.
     """
     spark = new.sparkSession
     if whole_days or not path_exists(spark, DAILY_TRADES.path(warehouse)):
         write_table(new, DAILY_TRADES, warehouse, "overwrite_days", fmt)
         return
-    with staged(_aligned(new, DAILY_TRADES), "replace-new") as fresh:
-        stored = read_table(spark, DAILY_TRADES, warehouse, fmt=fmt)
-        keys = fresh.select(F.col("trade_date").alias("_day"), F.col("symbol").alias("_symbol"))
-        same_day = stored["trade_date"].eqNullSafe(F.col("_day"))
-        same_symbol = stored["symbol"].eqNullSafe(F.col("_symbol"))
-        days = distinct_days(fresh, "trade_date")
-        if days is None:
-            affected = stored.join(keys.select("_day").distinct(), same_day, "left_semi")
-        else:
-            affected = on_days(stored, "trade_date", days)
-        kept = affected.join(keys, same_day & same_symbol, "left_anti")
+    new = _aligned(new, DAILY_TRADES)
+    with nullcontext(new) if written else staged(new, "replace-new") as fresh:
+        kept = _not_recomputed(fresh, read_table(spark, DAILY_TRADES, warehouse, fmt=fmt))
         with staged(kept.unionByName(fresh), "replace-days") as rows:
             write_table(rows, DAILY_TRADES, warehouse, "overwrite_days", fmt)
 
 
+def _not_recomputed(fresh: DataFrame, stored: DataFrame) -> DataFrame:
+    """Stored rows of the days of ``fresh`` whose ``(trade_date, symbol)`` is not in it."""
+    keys = fresh.select(F.col("trade_date").alias("_day"), F.col("symbol").alias("_symbol"))
+    same_day = stored["trade_date"].eqNullSafe(F.col("_day"))
+    same_symbol = stored["symbol"].eqNullSafe(F.col("_symbol"))
+    days = distinct_days(fresh, "trade_date")
+    if days is None:
+        affected = stored.join(keys.select("_day").distinct(), same_day, "left_semi")
+    else:
+        affected = on_days(stored, "trade_date", days)
+    return affected.join(keys, same_day & same_symbol, "left_anti")
+
+
 def write_csv(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Text bars as CSV with a header, in the DataFrame's column order."""
     # Quotes inside values are doubled, as CSV readers outside Spark expect.

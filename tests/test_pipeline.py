@@ -8,8 +8,7 @@ from datetime import date
 import pytest
 
 import barlake as b
-from barlake.plans import staging
-from barlake.sources import tables
+from barlake.sources import staging, tables
 
 
 def bar(open, close, volume=10):

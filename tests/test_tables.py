@@ -6,8 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import barlake as b
-from barlake.plans import staging
-from barlake.sources import tables
+from barlake.sources import staging, tables
 
 D1, D2 = date(2024, 1, 2), date(2024, 1, 3)
 DAILY = "trade_date date, symbol string, daily_open double, daily_volume long"
@@ -181,3 +180,27 @@ def test_staging_is_removed_after_a_failure(spark):
             path = df.inputFiles()[0]
             raise RuntimeError
     assert not staging.path_exists(spark, path)
+
+
+class FakeSession:
+    """Just what the choice of the staging folder looks at."""
+
+    def __init__(self, master, root=None):
+        self.sparkContext = self
+        self.master = master
+        self.conf = self
+        self.settings = {"spark.checkpoint.dir": root} if root else {}
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+    def set(self, key, value):
+        self.settings[key] = value
+
+
+def test_staging_folder_on_a_cluster_must_be_named():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.staging_root(FakeSession("yarn"))
+    assert staging.staging_root(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    local = FakeSession("local[2]")
+    assert staging.staging_root(local) == staging.staging_root(local)
