@@ -328,7 +328,7 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = path.rsplit("/", 1)[-1].replace("-", "_")
     b.create_tables(spark, path, database)
     b.create_silver_tables(spark, path, database)
-    b.insert_table(_bars(spark, sf_dir), f"{database}.trade")
+    b.insert_table(_bars(spark, sf_dir), b.TRADE, database)
     b.insert_table(
         spark.sql(
             "SELECT to_date(trade_timestamp) AS trade_date, symbol,"
@@ -337,7 +337,8 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
             " min(low) AS daily_low, sum(volume) AS daily_volume"
             f" FROM {database}.trade GROUP BY 1, 2"
         ),
-        f"{database}.daily_trades",
+        b.DAILY_TRADES,
+        database,
     )
     b.drop_tables(spark, database)
     return b.read_table(spark, b.DAILY_TRADES, path)

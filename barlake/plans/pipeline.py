@@ -126,7 +126,7 @@ def run_pipeline(
     silver = refresh_silver(spark, warehouse, date, symbol, days, mode, on_fail, fmt)
     if database is not None:
         for table in (TRADE, DAILY_TRADES):
-            sync_partitions(spark, f"{database}.{table.name}", fmt)
+            sync_partitions(spark, table, database, fmt)
     return PipelineResult(load.batch_id, load.checks, silver)
 
 

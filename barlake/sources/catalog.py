@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.sources.staging import path_exists
 from barlake.schemas import DAILY_TRADES, TRADE, Table
+from barlake.sources.staging import path_exists
+from barlake.sources.tables import aligned, clustered
 
 
 def _quoted(name: str) -> str:
@@ -16,14 +17,15 @@ def _create(spark: SparkSession, table: Table, path: str, database: str, fmt: st
     """Drop and create an external table; dropping it leaves its files alone."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
     name = f"{_quoted(database)}.{table.name}"
+    location = table.path(path).replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING {fmt} "
-        f"PARTITIONED BY ({table.partition}) LOCATION '{table.path(path)}'"
+        f"PARTITIONED BY ({table.partition}) LOCATION '{location}'"
     )
     if path_exists(spark, table.path(path)):
-        sync_partitions(spark, f"{database}.{table.name}", fmt)
+        sync_partitions(spark, table, database, fmt)
 
 
 def create_tables(
@@ -53,17 +55,20 @@ def drop_tables(spark: SparkSession, database: str = "barlake") -> None:
         spark.sql(f"DROP DATABASE IF EXISTS {_quoted(database)}")
 
 
-def sync_partitions(spark: SparkSession, name: str, fmt: str = "parquet") -> None:
+def sync_partitions(
+    spark: SparkSession, table: Table, database: str = "barlake", fmt: str = "parquet"
+) -> None:
     """Make days written by path visible to the catalog table."""
     if fmt != "delta":
-        spark.catalog.recoverPartitions(_quoted(name))
+        spark.catalog.recoverPartitions(f"{_quoted(database)}.{table.name}")
 
 
-def insert_table(df: DataFrame, name: str, mode: str = "append") -> None:
-    """Insert into a catalog table by column name.
+def insert_table(df: DataFrame, table: Table, database: str = "barlake") -> None:
+    """Append to a catalog table by column name.
 
     ``insertInto`` goes by position and the catalog moves partition columns to
-    the end, so the columns are put in the table's order first.
+    the end, so the columns are put in the catalog's order last.
     """
-    table = df.sparkSession.table(_quoted(name))
-    df.select(*table.columns).write.mode(mode).insertInto(_quoted(name))
+    name = f"{_quoted(database)}.{table.name}"
+    order = df.sparkSession.table(name).columns
+    clustered(aligned(df, table), table).select(*order).write.insertInto(name)

@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.sources.staging import path_exists, staged
 from barlake.schemas import DAILY_TRADES, TRADE, Table
+from barlake.sources.staging import path_exists, staged
 
 # Days are passed on as literals up to this many (some ten years of trading
 # days); beyond it they stay a DataFrame.
@@ -81,12 +81,12 @@ def on_days(df: DataFrame, column: str, days: list) -> DataFrame:
     return df.filter(wanted | F.col(column).isNull() if len(known) < len(days) else wanted)
 
 
-def _aligned(df: DataFrame, table: Table) -> DataFrame:
+def aligned(df: DataFrame, table: Table) -> DataFrame:
     """Columns picked by name, in table order, with table types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
 
 
-def _clustered(df: DataFrame, table: Table) -> DataFrame:
+def clustered(df: DataFrame, table: Table) -> DataFrame:
     """Rows gathered by partition value, so that each day gets few files.
 
     ``rebalance`` is the shuffle that adaptive execution may split: a day that
@@ -108,7 +108,7 @@ def write_table(
     fmt: str = "parquet",
 ) -> None:
     """Write in any save mode; ``overwrite_days`` replaces only the days present in ``df``."""
-    writer = _clustered(_aligned(df, table), table).write.format(fmt)
+    writer = clustered(aligned(df, table), table).write.format(fmt)
     if table.partition is not None:
         writer = writer.partitionBy(table.partition)
     if mode == "overwrite_days":
@@ -143,7 +143,7 @@ def replace_days(
     if whole_days or not path_exists(spark, DAILY_TRADES.path(warehouse)):
         write_table(new, DAILY_TRADES, warehouse, "overwrite_days", fmt)
         return
-    new = _aligned(new, DAILY_TRADES)
+    new = aligned(new, DAILY_TRADES)
     with nullcontext(new) if written else staged(new, "replace-new") as fresh:
         kept = _not_recomputed(fresh, read_table(spark, DAILY_TRADES, warehouse, fmt=fmt))
         with staged(kept.unionByName(fresh), "replace-days") as rows:

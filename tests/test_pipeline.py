@@ -6,9 +6,11 @@ import time
 from datetime import date
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 import barlake as b
 from barlake.sources import staging, tables
+from barlake.streaming import ingest
 
 
 def bar(open, close, volume=10):
@@ -223,3 +225,21 @@ def test_stream_correction_wins_over_an_earlier_micro_batch(spark, tmp_path):
     b.ingest_stream(spark, str(landing), w, state, max_files_per_trigger=1).awaitTermination()
     assert silver(spark, w) == [("2024-01-02", "A", 7.0, 2.0, 10)]
     assert b.read_bars(spark, w).select("batch_id").distinct().count() == 3
+
+
+def test_stream_repeats_a_failed_micro_batch(spark, tmp_path, monkeypatch):
+    """A failure between the two tables: bronze gets the bars twice, silver once."""
+    landing, w, state = tmp_path / "landing", str(tmp_path / "wh"), str(tmp_path / "state")
+    land(landing, "a.json", "A", two_days())
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest, "refresh_silver", broken)
+        with pytest.raises(StreamingQueryException):
+            b.ingest_stream(spark, str(landing), w, state).awaitTermination()
+    assert not staging.path_exists(spark, f"{w}/daily_trades")
+    b.ingest_stream(spark, str(landing), w, state).awaitTermination()
+    assert b.read_bars(spark, w).count() == 6
+    assert silver(spark, w) == [r for r in TWO if r[1] == "A"]

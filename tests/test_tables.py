@@ -141,16 +141,16 @@ def test_replace_with_nothing_changes_nothing(spark, tmp_path):
 
 
 def test_catalog_create_insert_drop(spark, tmp_path):
-    w, db = str(tmp_path), "test_catalog"
+    w, db = str(tmp_path / "it's here"), "test_catalog"
     b.write_table(bars(spark, (1, D1, "A", 1.0)), b.TRADE, w)
     b.create_tables(spark, w, db)
     b.create_silver_tables(spark, w, db)
     # Days written before the table was made are seen; later ones after a sync.
     assert spark.table(f"{db}.trade").count() == 1
-    b.insert_table(bars(spark, (2, D2, "B", 2.0)), f"{db}.trade")
+    b.insert_table(bars(spark, (2, D2, "B", 2.0)), b.TRADE, db)
     assert spark.sql(f"SELECT sum(open) FROM {db}.trade").first()[0] == 3.0
     b.write_table(bars(spark, (3, date(2024, 1, 4), "C", 3.0)), b.TRADE, w)
-    b.sync_partitions(spark, f"{db}.trade")
+    b.sync_partitions(spark, b.TRADE, db)
     assert spark.table(f"{db}.trade").filter("partition = '2024-01-04'").count() == 1
     assert dict(spark.table(f"{db}.trade").dtypes)["partition"] == "string"
     # Bootstrap again: the table is made anew over the same files.
