@@ -40,6 +40,21 @@ def _given_or(bar: Column, key: str, default: Column) -> Column:
     return F.when(F.map_contains_key(bar, key), bar[key]).otherwise(default)
 
 
+def _last_of_repeated(entries: Column) -> Column:
+    """A map without repeated keys: of equal ones the last counts, as in JSON readers.
+
+    The search for later equal keys runs only for maps that have some, such as
+    the hour that wall clocks show twice.
+    """
+    keys = F.map_keys(entries)
+    kept = F.filter(
+        F.map_entries(entries),
+        lambda entry, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), entry["key"]),
+    )
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(repeated, F.map_from_entries(kept)).otherwise(entries)
+
+
 def _events(raw: DataFrame) -> DataFrame:
     """One row per bar as text, or one row per rejected payload.
 
@@ -85,7 +100,7 @@ def _events(raw: DataFrame) -> DataFrame:
         "reason",
         F.when(~good, F.col("value")).alias("value"),
         _given_or(meta, SYMBOL_KEY, F.lit(NO_SYMBOL)).alias("meta_symbol"),
-        F.when(good, series).alias("series"),
+        F.when(good, _last_of_repeated(series)).alias("series"),
     ).select("reason", "value", "meta_symbol", F.explode_outer("series").alias("key", "bar"))
     bar = F.col("bar")
     return exploded.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from dataclasses import dataclass, field
 
@@ -10,10 +11,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from barlake.operators.normalize import parse_payloads, payload_events, split_parsed
 from barlake.operators.quality import enforce, run_checks
 from barlake.operators.rollup import daily_rollup, dedup_latest
-from barlake.sources.staging import staged
 from barlake.schemas import DAILY_TRADES, REJECTS, TRADE
 from barlake.sources.catalog import sync_partitions
 from barlake.sources.payloads import read_payloads
+from barlake.sources.staging import staged
 from barlake.sources.tables import (
     distinct_days,
     on_days,
@@ -23,10 +24,14 @@ from barlake.sources.tables import (
     write_table,
 )
 
+log = logging.getLogger(__name__)
+
+
 @dataclass
 class BronzeLoad:
     batch_id: int
     checks: list[Row]
+    rejected: int
     # Days the batch has bars for (None among them for bars without a time), or
     # None when they are too many to list.
     days: list[str | None] | None
@@ -35,6 +40,7 @@ class BronzeLoad:
 @dataclass
 class PipelineResult:
     batch_id: int
+    rejected: int = 0
     bronze_checks: list[Row] = field(default_factory=list)
     silver_checks: list[Row] = field(default_factory=list)
 
@@ -62,9 +68,11 @@ def load_bronze(
         bars, rejects = split_parsed(parsed)
         checks = enforce(run_checks(bars, "trade"), on_fail)
         write_table(bars, TRADE, warehouse, "append", fmt)
-        if not rejects.isEmpty():
+        rejected = rejects.count()
+        if rejected:
+            log.warning("batch %d: %d payloads rejected", batch_id, rejected)
             write_table(rejects, REJECTS, warehouse, "append", fmt)
-        return BronzeLoad(batch_id, checks, distinct_days(bars, "partition"))
+        return BronzeLoad(batch_id, checks, rejected, distinct_days(bars, "partition"))
 
 
 def refresh_silver(
@@ -127,7 +135,7 @@ def run_pipeline(
     if database is not None:
         for table in (TRADE, DAILY_TRADES):
             sync_partitions(spark, table, database, fmt)
-    return PipelineResult(load.batch_id, load.checks, silver)
+    return PipelineResult(load.batch_id, load.rejected, load.checks, silver)
 
 
 def export_bars_csv(raw: DataFrame, folder: str) -> str:

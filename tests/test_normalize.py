@@ -66,6 +66,19 @@ def test_symbol_defaults_and_overrides(spark):
     assert rows[-1].trade_timestamp == datetime(2024, 2, 3, 4, 5, 6)
 
 
+def test_of_repeated_times_the_last_counts(spark):
+    bars = ", ".join(f'"2024-11-03 01:{m}:00": {{"1. open": "{o}"}}' for m, o in REPEATED)
+    text = f'{{"Meta Data": {{"2. Symbol": "A"}}, "s": {{{bars}}}}}'
+    rows = bars_of(spark, text, text)
+    last = dict(REPEATED)
+    assert sorted((r.trade_timestamp.minute, r.open) for r in rows) == sorted(
+        [(int(m), float(o)) for m, o in last.items()] * 2
+    )
+
+
+REPEATED = [("30", 1), ("31", 2), ("30", 3), ("32", 4), ("30", 5), ("31", 6), ("59", 7)]
+
+
 def test_missing_price_is_null(spark):
     (row,) = bars_of(spark, payload({"2024-01-01 00:00:00": {"1. open": "1"}}))
     assert (row.low, row.volume) == (None, None)

@@ -65,7 +65,7 @@ def test_end_to_end(spark, landing, tmp_path):
     w = str(tmp_path / "wh")
     result = b.run_pipeline(spark, str(landing), w, batch_id=42)
     assert silver(spark, w) == TWO
-    assert result.batch_id == 42
+    assert (result.batch_id, result.rejected) == (42, 1)
     assert all(r.passed for r in result.bronze_checks + result.silver_checks)
     rejects = b.read_table(spark, b.REJECTS, w).collect()
     assert [(r.batch_id, r.reason) for r in rejects] == [(42, "no metadata")]
