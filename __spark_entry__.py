@@ -65,6 +65,21 @@ def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.daily_rollup(_bars(spark, sf_dir))
 
 
+def daily_rollup_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL prices stay if first or last, NULL volumes are skipped, NULL symbols group."""
+    symbol, volume = F.col("symbol"), F.col("volume")
+    bars = _bars(spark, sf_dir).select(
+        "trade_timestamp",
+        F.when(symbol != "error", symbol).alias("symbol"),
+        F.when(volume >= 40, F.col("open")).alias("open"),
+        "high",
+        F.when(volume >= 20, F.col("low")).alias("low"),
+        F.when(volume < 60, F.col("close")).alias("close"),
+        F.when(symbol != "view", volume).alias("volume"),
+    )
+    return b.daily_rollup(bars)
+
+
 def daily_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.daily_rollup(_bars(spark, sf_dir)).orderBy("trade_date", "symbol")
 
@@ -251,6 +266,21 @@ def dq_silver_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.run_checks(daily_rollup(spark, sf_dir), "daily_trades")
 
 
+def dq_silver_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with repeated keys, missing days and negative values."""
+    daily, mine = daily_rollup(spark, sf_dir), F.col("symbol") == SYMBOL
+    negative = daily.withColumns(
+        {
+            "daily_open": F.when(mine, -F.col("daily_open")).otherwise(F.col("daily_open")),
+            "daily_volume": F.col("daily_volume") - 2000,
+        }
+    )
+    undated = daily.filter(~mine).withColumn("trade_date", F.lit(None).cast("date"))
+    return b.run_checks(
+        negative.unionByName(daily.filter(mine)).unionByName(undated), "daily_trades"
+    )
+
+
 def dq_lineitem_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = [
         b.row_count(),
@@ -354,6 +384,14 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.dedup_latest(_bars(spark, sf_dir).unionByName(again))
 
 
+def dedup_same_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of a bar within one batch: the values decide, not the row order."""
+    bars = _bars(spark, sf_dir)
+    higher = bars.withColumn("close", F.col("close") + 1)
+    no_open = bars.withColumn("open", F.lit(None).cast("double"))
+    return b.dedup_latest(no_open.unionByName(higher).unionByName(bars))
+
+
 def _stale_silver(spark: SparkSession, sf_dir: str, label: str) -> str:
     """A silver table whose open prices are all too high by 1000."""
     warehouse = new_dir(spark, label)
@@ -397,6 +435,22 @@ def end_to_end_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
 
 
+def end_to_end_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain appends: loading a folder twice leaves silver with two rows per key."""
+    root = new_dir(spark, "append")
+    _land(_payloads(spark, sf_dir), f"{root}/landing", "a")
+    for batch_id in (1, 2):
+        b.run_pipeline(
+            spark,
+            f"{root}/landing",
+            f"{root}/wh",
+            batch_id=batch_id,
+            layout="lines",
+            mode="append",
+        )
+    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+
+
 def end_to_end_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late bars: one symbol arrives after the others and its days are recomputed."""
     root = new_dir(spark, "touched")
@@ -432,9 +486,9 @@ def end_to_end_date_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str, label: str) -> str:
     """Two runs of the incremental load; the second sees only the late symbol."""
-    root = new_dir(spark, "stream")
+    root = new_dir(spark, label)
     late = F.col("symbol") == SYMBOL
     bars = _bars(spark, sf_dir)
     for part, rows in (("early", bars.filter(~late)), ("late", bars.filter(late))):
@@ -442,7 +496,17 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         b.ingest_stream(
             spark, f"{root}/landing", f"{root}/wh", f"{root}/state", layout="lines"
         ).awaitTermination()
-    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+    return f"{root}/wh"
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.read_table(spark, b.DAILY_TRADES, _streamed(spark, sf_dir, "stream"))
+
+
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each landed file was loaded exactly once."""
+    bars = b.read_table(spark, b.TRADE, _streamed(spark, sf_dir, "stream-bronze"))
+    return _wall_clock(bars).drop("batch_id")
 
 
 # --- contract ---------------------------------------------------------------
@@ -457,6 +521,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
     return {
         "daily_rollup": daily_rollup,
+        "daily_rollup_nulls": daily_rollup_nulls,
         "daily_sorted": daily_sorted,
         "daily_open": _daily_part("daily_open"),
         "daily_close": _daily_part("daily_close"),
@@ -487,6 +552,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_invalid_min": dq_invalid_min,
         "dq_bronze_report": dq_bronze_report,
         "dq_silver_report": dq_silver_report,
+        "dq_silver_faults": dq_silver_faults,
         "dq_lineitem_report": dq_lineitem_report,
         "dq_view_sql": dq_view_sql,
         "bronze_round_trip": bronze_round_trip,
@@ -499,13 +565,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_round_trip": csv_round_trip,
         "catalog_tables": catalog_tables,
         "dedup_latest": dedup_latest,
+        "dedup_same_batch": dedup_same_batch,
         "replace_days": replace_days,
         "replace_days_one_symbol": replace_days_one_symbol,
         "end_to_end": end_to_end,
         "end_to_end_rerun": end_to_end_rerun,
+        "end_to_end_append": end_to_end_append,
         "end_to_end_touched": end_to_end_touched,
         "end_to_end_date_symbol": end_to_end_date_symbol,
         "stream_ingest": stream_ingest,
+        "stream_bronze": stream_bronze,
     }
 
 
@@ -553,10 +622,12 @@ SELECT '{dataset}' AS dataset, '{check}' AS "check", '{columns}' AS column_list,
 FROM (SELECT CAST(({value}) AS BIGINT) AS value)"""
 
 
-def _repeated(keys: str, source: str) -> str:
+def _repeated(source: str, *keys: str) -> str:
+    """Number of keys, without a NULL part, that occur more than once."""
+    known = " AND ".join(f"{key} IS NOT NULL" for key in keys)
     return (
-        f"SELECT count(*) FROM (SELECT 1 FROM {source}"
-        f" WHERE ({keys}) IS NOT NULL GROUP BY {keys} HAVING count(*) > 1)"
+        f"SELECT count(*) FROM (SELECT 1 FROM {source} WHERE {known}"
+        f" GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
     )
 
 
@@ -574,43 +645,53 @@ def _union(*parts: str) -> str:
     return "\nUNION ALL".join(parts)
 
 
-def oracle_sql() -> dict[str, str]:
-    """The DuckDB equivalent of each query."""
-    bars_plain = f"{_WITH_BARS} SELECT * EXCLUDE (trade_date, batch_id, partition) FROM bars"
-    on_date = f"partition = '{DATE}'"
-    for_symbol = f"symbol = '{SYMBOL}'"
-    stale_open = "daily_open + 1000"
-
-    dq_bronze = _union(
-        _row_count_sql("trade", "bars"),
-        _zero_sql(
-            "trade", "missing_count", "symbol", "SELECT count(*) FROM bars WHERE symbol IS NULL"
-        ),
-    )
-    dq_silver = _union(
+def _silver_checks_sql(source: str) -> str:
+    return _union(
         _zero_sql(
             "daily_trades",
             "duplicate_count",
             "symbol, trade_date",
-            _repeated("symbol, trade_date", "daily"),
+            _repeated(source, "symbol", "trade_date"),
         ),
         _zero_sql(
             "daily_trades",
             "missing_count",
             "trade_date",
-            "SELECT count(*) FROM daily WHERE trade_date IS NULL",
+            f"SELECT count(*) FROM {source} WHERE trade_date IS NULL",
         ),
         *[
             _zero_sql(
-                "daily_trades", "invalid_count", c, f"SELECT count(*) FROM daily WHERE {c} < 0"
+                "daily_trades", "invalid_count", c, f"SELECT count(*) FROM {source} WHERE {c} < 0"
             )
             for c in ("daily_volume", "daily_open", "daily_close")
         ],
     )
-    symbol_days = _repeated("symbol, partition", "bars")
+
+
+def oracle_sql() -> dict[str, str]:
+    """The DuckDB equivalent of each query."""
+    bars_plain = f"{_WITH_BARS} SELECT * EXCLUDE (trade_date, batch_id, partition) FROM bars"
+    on_date = f"partition = '{DATE}'"
+    for_symbol = f"symbol = '{SYMBOL}'"
+    stale_open = "daily_open + 1000"
+
+    dq_bronze = _union(
+        _row_count_sql("trade", "bars"),
+        _zero_sql(
+            "trade", "missing_count", "symbol", "SELECT count(*) FROM bars WHERE symbol IS NULL"
+        ),
+    )
+    symbol_days = _repeated("bars", "symbol", "partition")
 
     return {
         "daily_rollup": _DAILY,
+        "daily_rollup_nulls": f"""{_WITH_BARS}
+SELECT trade_date, CASE WHEN symbol <> 'error' THEN symbol END AS symbol,
+       first(CASE WHEN volume >= 40 THEN open END ORDER BY trade_timestamp) AS daily_open,
+       first(CASE WHEN volume < 60 THEN close END ORDER BY trade_timestamp DESC) AS daily_close,
+       max(high) AS daily_high, min(CASE WHEN volume >= 20 THEN low END) AS daily_low,
+       CAST(sum(CASE WHEN symbol <> 'view' THEN volume END) AS BIGINT) AS daily_volume
+FROM bars GROUP BY trade_date, bars.symbol""",
         "daily_sorted": f"{_DAILY} ORDER BY trade_date, symbol",
         "daily_open": f"{_WITH_DAILY} SELECT trade_date, symbol, daily_open FROM daily",
         "daily_close": f"{_WITH_DAILY} SELECT trade_date, symbol, daily_close FROM daily",
@@ -674,8 +755,7 @@ FROM documents""",
                 "trade",
                 "duplicate_count",
                 "trade_timestamp",
-                "SELECT count(*) FROM (SELECT 1 FROM bars WHERE trade_timestamp IS NOT NULL"
-                " GROUP BY trade_timestamp HAVING count(*) > 1)",
+                _repeated("bars", "trade_timestamp"),
             ),
             _check_sql(
                 "trade",
@@ -698,7 +778,19 @@ FROM documents""",
             ),
         ),
         "dq_bronze_report": _WITH_BARS + dq_bronze,
-        "dq_silver_report": _WITH_DAILY + dq_silver,
+        "dq_silver_report": _WITH_DAILY + _silver_checks_sql("daily"),
+        "dq_silver_faults": f"""{_WITH_DAILY},
+faulty AS (
+  SELECT trade_date, symbol, daily_close, daily_volume - 2000 AS daily_volume,
+         CASE WHEN {for_symbol} THEN -daily_open ELSE daily_open END AS daily_open
+  FROM daily
+  UNION ALL BY NAME
+  SELECT trade_date, symbol, daily_close, daily_volume, daily_open
+  FROM daily WHERE {for_symbol}
+  UNION ALL BY NAME
+  SELECT CAST(NULL AS DATE) AS trade_date, symbol, daily_close, daily_volume, daily_open
+  FROM daily WHERE NOT {for_symbol})"""
+        + _silver_checks_sql("faulty"),
         "dq_lineitem_report": _union(
             _row_count_sql("lineitem", "lineitem"),
             _zero_sql(
@@ -711,16 +803,13 @@ FROM documents""",
                 "lineitem",
                 "duplicate_count",
                 "l_orderkey, l_linenumber",
-                "SELECT count(*) FROM (SELECT 1 FROM lineitem WHERE l_orderkey IS NOT NULL"
-                " AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber"
-                " HAVING count(*) > 1)",
+                _repeated("lineitem", "l_orderkey", "l_linenumber"),
             ),
             _zero_sql(
                 "lineitem",
                 "duplicate_count",
                 "l_orderkey",
-                "SELECT count(*) FROM (SELECT 1 FROM lineitem WHERE l_orderkey IS NOT NULL"
-                " GROUP BY l_orderkey HAVING count(*) > 1)",
+                _repeated("lineitem", "l_orderkey"),
             ),
             _zero_sql(
                 "lineitem",
@@ -750,14 +839,26 @@ SELECT * EXCLUDE (trade_date) REPLACE (
   CAST(CASE WHEN volume >= 50 THEN 2 ELSE 1 END AS BIGINT) AS batch_id,
   CASE WHEN volume >= 50 THEN close + 1 ELSE close END AS close)
 FROM bars""",
+        "dedup_same_batch": f"""{_WITH_BARS},
+versions AS (
+  SELECT * REPLACE (CAST(NULL AS DOUBLE) AS open) FROM bars
+  UNION ALL SELECT * REPLACE (close + 1 AS close) FROM bars
+  UNION ALL SELECT * FROM bars)
+SELECT * EXCLUDE (trade_date) FROM versions
+QUALIFY row_number() OVER (
+  PARTITION BY symbol, trade_timestamp
+  ORDER BY batch_id DESC, open DESC NULLS LAST, high DESC, low DESC, close DESC, volume DESC) = 1
+""",
         "replace_days": _DAILY,
         "replace_days_one_symbol": f"""{_WITH_DAILY}
 SELECT * REPLACE (CASE WHEN {for_symbol} THEN daily_open ELSE {stale_open} END AS daily_open)
 FROM daily""",
         "end_to_end": _DAILY,
         "end_to_end_rerun": _DAILY,
+        "end_to_end_append": f"{_DAILY} UNION ALL SELECT * FROM daily",
         "end_to_end_touched": _DAILY,
         "end_to_end_date_symbol": f"""{_DAILY}
 WHERE trade_date = DATE '{DATE}' AND {for_symbol}""",
         "stream_ingest": _DAILY,
+        "stream_bronze": f"{_WITH_BARS} SELECT * EXCLUDE (trade_date, batch_id) FROM bars",
     }

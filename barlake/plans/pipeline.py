@@ -32,8 +32,8 @@ class BronzeLoad:
     batch_id: int
     checks: list[Row]
     rejected: int
-    # Days the batch has bars for (None among them for bars without a time), or
-    # None when they are too many to list.
+    # Days the batch has bars for (None among them for bars without a time); None
+    # when they were not asked for or are too many to list.
     days: list[str | None] | None
 
 
@@ -56,6 +56,7 @@ def load_bronze(
     batch_id: int | None = None,
     on_fail: str = "report",
     fmt: str = "parquet",
+    list_days: bool = False,
 ) -> BronzeLoad:
     """Parse, check and append one batch of payloads; rejects go to their own table.
 
@@ -72,7 +73,8 @@ def load_bronze(
         if rejected:
             log.warning("batch %d: %d payloads rejected", batch_id, rejected)
             write_table(rejects, REJECTS, warehouse, "append", fmt)
-        return BronzeLoad(batch_id, checks, rejected, distinct_days(bars, "partition"))
+        days = distinct_days(bars, "partition") if list_days else None
+        return BronzeLoad(batch_id, checks, rejected, days)
 
 
 def refresh_silver(
@@ -129,9 +131,9 @@ def run_pipeline(
     """
     if recompute not in ("all", "touched"):
         raise ValueError(f"recompute must be 'all' or 'touched', not {recompute!r}")
-    load = load_bronze(read_payloads(spark, landing, layout), warehouse, batch_id, on_fail, fmt)
-    days = load.days if recompute == "touched" else None
-    silver = refresh_silver(spark, warehouse, date, symbol, days, mode, on_fail, fmt)
+    raw = read_payloads(spark, landing, layout)
+    load = load_bronze(raw, warehouse, batch_id, on_fail, fmt, list_days=recompute == "touched")
+    silver = refresh_silver(spark, warehouse, date, symbol, load.days, mode, on_fail, fmt)
     if database is not None:
         for table in (TRADE, DAILY_TRADES):
             sync_partitions(spark, table, database, fmt)

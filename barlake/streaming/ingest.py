@@ -36,7 +36,7 @@ def ingest_stream(
         # The stream's own 0, 1, 2... would count as older than any batch load.
         # Two micro-batches within a second must still differ: the later one wins.
         last_id = max(new_batch_id(), last_id + 1)
-        loaded = load_bronze(batch, warehouse, last_id, on_fail, fmt)
+        loaded = load_bronze(batch, warehouse, last_id, on_fail, fmt, list_days=refresh)
         if refresh:
             refresh_silver(
                 batch.sparkSession, warehouse, days=loaded.days, on_fail=on_fail, fmt=fmt

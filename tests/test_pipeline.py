@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 import barlake as b
+from barlake.__main__ import main
 from barlake.sources import staging, tables
 from barlake.streaming import ingest
 
@@ -119,7 +120,7 @@ def test_one_symbol_corrected(spark, landing, tmp_path):
 
 def test_touched_reads_only_its_days(spark, landing, tmp_path):
     w = str(tmp_path / "wh")
-    load = b.load_bronze(b.read_payloads(spark, str(landing)), w, 1)
+    load = b.load_bronze(b.read_payloads(spark, str(landing)), w, 1, list_days=True)
     assert sorted(load.days) == ["2024-01-02", "2024-01-03"]
     text = (
         tables.on_days(b.read_bars(spark, w), "partition", ["2024-01-02"])
@@ -144,7 +145,8 @@ def test_touched_with_a_bar_without_time(spark, tmp_path):
 def test_too_many_days_falls_back_to_everything(spark, landing, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "MAX_DAY_LITERALS", 1)
     w = str(tmp_path / "wh")
-    assert b.load_bronze(b.read_payloads(spark, str(landing)), w, 1).days is None
+    raw = b.read_payloads(spark, str(landing))
+    assert b.load_bronze(raw, w, 1, list_days=True).days is None
     b.run_pipeline(spark, str(landing), w, batch_id=2, recompute="touched")
     assert silver(spark, w) == TWO
 
@@ -243,3 +245,23 @@ def test_stream_repeats_a_failed_micro_batch(spark, tmp_path, monkeypatch):
     b.ingest_stream(spark, str(landing), w, state).awaitTermination()
     assert b.read_bars(spark, w).count() == 6
     assert silver(spark, w) == [r for r in TWO if r[1] == "A"]
+
+
+def test_jobs(spark, landing, tmp_path, capsys):
+    w, db = str(tmp_path / "wh"), "test_jobs"
+    common = ["--landing", str(landing), "--warehouse", w]
+    main(["ddl", "--warehouse", w, "--database", db])
+    main(["run", *common, "--database", db, "--date", "2024-01-02", "--symbol", "A"])
+    assert silver(spark, w) == TWO[:1]
+    assert "1 payloads rejected" in capsys.readouterr().out
+    main(["run", *common, "--database", db, "--recompute", "touched"])
+    assert silver(spark, w) == TWO
+    assert spark.table(f"{db}.daily_trades").count() == 4
+    b.drop_tables(spark, db)
+    w = str(tmp_path / "wh2")
+    common = ["--landing", str(landing), "--warehouse", w]
+    main(["stream", *common, "--checkpoint", str(tmp_path / "state"), "--max-files", "1"])
+    assert silver(spark, w) == TWO
+    main(["csv", "--landing", str(landing), "--folder", str(tmp_path / "csv")])
+    path = capsys.readouterr().out.split()[-1]
+    assert spark.read.option("header", True).csv(path).count() == 6
