@@ -377,11 +377,22 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- repeated bars and re-runs ----------------------------------------------
 
 
-def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some bars are sent again in a later batch with another close."""
+def _sent_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some bars as a later batch sends them, with another close."""
     again = _bars(spark, sf_dir, batch_id=2).filter(F.col("volume") >= 50)
-    again = again.withColumn("close", F.col("close") + 1)
-    return b.dedup_latest(_bars(spark, sf_dir).unionByName(again))
+    return again.withColumn("close", F.col("close") + 1)
+
+
+def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.dedup_latest(_bars(spark, sf_dir).unionByName(_sent_again(spark, sf_dir)))
+
+
+def dedup_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table rewritten without repeated bars."""
+    warehouse = _bronze(spark, sf_dir, "dedup")
+    b.write_table(_sent_again(spark, sf_dir), b.TRADE, warehouse)
+    b.deduplicate_bronze(spark, warehouse)
+    return _wall_clock(b.read_table(spark, b.TRADE, warehouse))
 
 
 def dedup_same_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -565,6 +576,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_round_trip": csv_round_trip,
         "catalog_tables": catalog_tables,
         "dedup_latest": dedup_latest,
+        "dedup_bronze_table": dedup_bronze_table,
         "dedup_same_batch": dedup_same_batch,
         "replace_days": replace_days,
         "replace_days_one_symbol": replace_days_one_symbol,
@@ -674,6 +686,11 @@ def oracle_sql() -> dict[str, str]:
     on_date = f"partition = '{DATE}'"
     for_symbol = f"symbol = '{SYMBOL}'"
     stale_open = "daily_open + 1000"
+    latest = f"""{_WITH_BARS}
+SELECT * EXCLUDE (trade_date) REPLACE (
+  CAST(CASE WHEN volume >= 50 THEN 2 ELSE 1 END AS BIGINT) AS batch_id,
+  CASE WHEN volume >= 50 THEN close + 1 ELSE close END AS close)
+FROM bars"""
 
     dq_bronze = _union(
         _row_count_sql("trade", "bars"),
@@ -834,11 +851,8 @@ FROM bars WHERE {on_date}""",
         "silver_append": f"{_DAILY} UNION ALL SELECT * FROM daily",
         "csv_round_trip": bars_plain,
         "catalog_tables": _DAILY,
-        "dedup_latest": f"""{_WITH_BARS}
-SELECT * EXCLUDE (trade_date) REPLACE (
-  CAST(CASE WHEN volume >= 50 THEN 2 ELSE 1 END AS BIGINT) AS batch_id,
-  CASE WHEN volume >= 50 THEN close + 1 ELSE close END AS close)
-FROM bars""",
+        "dedup_latest": latest,
+        "dedup_bronze_table": latest,
         "dedup_same_batch": f"""{_WITH_BARS},
 versions AS (
   SELECT * REPLACE (CAST(NULL AS DOUBLE) AS open) FROM bars

@@ -20,6 +20,7 @@ from barlake.operators import (
     with_trade_date,
 )
 from barlake.plans.pipeline import (
+    deduplicate_bronze,
     export_bars_csv,
     load_bronze,
     refresh_silver,

@@ -42,6 +42,11 @@ def arguments() -> argparse.ArgumentParser:
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--max-files", type=int, help="payload files per micro-batch")
 
+    dedup = jobs.add_parser("dedup", help="rewrite bronze without repeated bars")
+    dedup.add_argument("--warehouse", required=True)
+    dedup.add_argument("--date", help="this day only (yyyy-MM-dd)")
+    dedup.add_argument("--format", default="parquet")
+
     csv = jobs.add_parser("csv", help="landed payloads to CSV, values as they are")
     csv.add_argument("--landing", required=True)
     csv.add_argument("--layout", choices=LAYOUTS, default="files")
@@ -82,6 +87,8 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
             fmt=args.format,
             max_files_per_trigger=args.max_files,
         ).awaitTermination()
+    elif args.job == "dedup":
+        b.deduplicate_bronze(spark, args.warehouse, args.date, args.format)
     else:
         raw = b.read_payloads(spark, args.landing, args.layout)
         print(b.export_bars_csv(raw, args.folder))

@@ -17,8 +17,10 @@ from barlake.sources.payloads import read_payloads
 from barlake.sources.staging import staged
 from barlake.sources.tables import (
     distinct_days,
+    filter_bars,
     on_days,
     read_bars,
+    read_table,
     replace_days,
     write_csv,
     write_table,
@@ -77,6 +79,20 @@ def load_bronze(
         return BronzeLoad(batch_id, checks, rejected, days)
 
 
+def deduplicate_bronze(
+    spark: SparkSession, warehouse: str, date: str | None = None, fmt: str = "parquet"
+) -> None:
+    """Rewrite bronze, or one day of it, without repeated bars.
+
+    Feeds that send a whole series again every day make bronze grow by copies;
+    the roll-up skips them, this drops them and merges the small files of many
+    loads. Days are replaced one by one as the job commits.
+    """
+    bars = filter_bars(read_table(spark, TRADE, warehouse, fmt=fmt), date)
+    with staged(dedup_latest(bars), "dedup") as rows:
+        write_table(rows, TRADE, warehouse, "overwrite_days", fmt)
+
+
 def refresh_silver(
     spark: SparkSession,
     warehouse: str,

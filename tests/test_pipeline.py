@@ -90,6 +90,20 @@ def test_rerun_changes_nothing(spark, landing, tmp_path, recompute):
     assert b.read_bars(spark, w).count() == 12
 
 
+def test_deduplicate_bronze(spark, landing, tmp_path):
+    w = str(tmp_path / "wh")
+    for batch_id in (1, 2, 3):
+        b.load_bronze(b.read_payloads(spark, str(landing)), w, batch_id)
+    b.deduplicate_bronze(spark, w, date="2024-01-03")
+    counts = dict(b.read_bars(spark, w).groupBy("partition").count().collect())
+    assert counts == {"2024-01-02": 12, "2024-01-03": 2}
+    main(["dedup", "--warehouse", w])
+    bars = b.read_bars(spark, w).collect()
+    assert len(bars) == 6 and {r.batch_id for r in bars} == {3}
+    b.refresh_silver(spark, w)
+    assert silver(spark, w) == TWO
+
+
 def test_append_mode_doubles_silver(spark, landing, tmp_path):
     w = str(tmp_path / "wh")
     for batch_id in (1, 2):
