@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A number with a decimal point, surrounded by blanks or control characters.
-# Group 1 is what is left of it after truncation towards zero.
+# Group 1 is what is left of it after truncation towards zero; it may have no
+# digit ('.5', '-.', even '.'), which the built-in cast takes as zero.
 _DECIMAL = r"^[\x00-\x20\x7f]*([+-]?[0-9]*)\.[0-9]*[\x00-\x20\x7f]*$"
-# What group 1 holds when there is no digit before the point.
 _NO_DIGITS = ["", "+", "-"]
 
 
@@ -25,8 +25,6 @@ def text_to_int(text: Column) -> Column:
     """
     whole = F.regexp_extract(text, _DECIMAL, 1)
     truncated = F.when(whole.isin(_NO_DIGITS), F.lit(0)).otherwise(whole.try_cast("int"))
-    # A lone sign and point is no number unless there is a sign or digit: same
-    # as the built-in cast, '-.' and '.' both count as zero.
     return F.coalesce(text.try_cast("int"), F.when(text.rlike(_DECIMAL), truncated))
 
 

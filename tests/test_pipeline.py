@@ -186,6 +186,8 @@ def test_empty_batch_loads_nothing(spark, tmp_path):
     result = b.run_pipeline(spark, str(landing), w, batch_id=1)
     assert [r.passed for r in result.bronze_checks] == [False, True]
     assert silver(spark, w) == []
+    b.run_pipeline(spark, str(landing), w, batch_id=2, recompute="touched", symbol="A")
+    assert silver(spark, w) == []
     with pytest.raises(b.CheckFailed):
         b.run_pipeline(spark, str(landing), str(tmp_path / "wh2"), batch_id=1, on_fail="raise")
     assert not staging.path_exists(spark, str(tmp_path / "wh2"))
