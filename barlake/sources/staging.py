@@ -18,12 +18,12 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` or ``setCheckpointDir``.
 
     Only a local session, as in tests, may do without it: it gets a temporary
     folder of its own, kept for the rest of the session.
     """
-    root = spark.conf.get(_CHECKPOINT_DIR, None)
+    root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")

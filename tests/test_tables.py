@@ -97,6 +97,18 @@ def test_save_modes(spark, tmp_path):
     assert stored(spark, w) == [(D1, "A", 4.0)]
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_formats(spark, tmp_path, fmt):
+    w = str(tmp_path)
+    b.write_table(bars(spark, (1, D1, "A", 1.0), (1, D2, None, 2.0)), b.TRADE, w, fmt=fmt)
+    read = b.read_bars(spark, w, date="2024-01-02", symbol="A", fmt=fmt)
+    assert [(r.open, r.trade_date) for r in read.collect()] == [(1.0, D1)]
+    daily_rows = b.daily_rollup(b.read_bars(spark, w, fmt=fmt))
+    b.replace_days(daily_rows, w, fmt=fmt)
+    b.replace_days(daily_rows.filter("symbol IS NULL"), w, fmt=fmt)
+    assert b.read_table(spark, b.DAILY_TRADES, w, fmt=fmt).count() == 2
+
+
 def test_replace_days_first_write(spark, tmp_path):
     b.replace_days(daily(spark, (D1, "A", 1.0)), str(tmp_path))
     assert stored(spark, str(tmp_path)) == [(D1, "A", 1.0)]
@@ -185,8 +197,9 @@ def test_staging_is_removed_after_a_failure(spark):
 class FakeSession:
     """Just what the choice of the staging folder looks at."""
 
-    def __init__(self, master, root=None):
+    def __init__(self, master, root=None, checkpoint_dir=None):
         self.sparkContext = self
+        self.getCheckpointDir = lambda: checkpoint_dir
         self.master = master
         self.conf = self
         self.settings = {"spark.checkpoint.dir": root} if root else {}
@@ -202,5 +215,6 @@ def test_staging_folder_on_a_cluster_must_be_named():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.staging_root(FakeSession("yarn"))
     assert staging.staging_root(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert staging.staging_root(FakeSession("yarn", None, "hdfs:///set")) == "hdfs:///set"
     local = FakeSession("local[2]")
     assert staging.staging_root(local) == staging.staging_root(local)
