@@ -164,6 +164,16 @@ def _not_recomputed(fresh: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def write_csv(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Text bars as CSV with a header, in the DataFrame's column order."""
-    # Quotes inside values are doubled, as CSV readers outside Spark expect.
-    events.write.option("header", True).option("escape", '"').mode(mode).csv(path)
+    """Text bars as CSV with a header, in the DataFrame's column order.
+
+    Values stay as they are: blanks are not trimmed, quotes are doubled as CSV
+    readers outside Spark expect, and both NULL and empty text are empty fields.
+    """
+    options = {
+        "header": True,
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    events.write.options(**options).mode(mode).csv(path)

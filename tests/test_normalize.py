@@ -158,13 +158,16 @@ def test_layouts(spark, tmp_path):
 
 
 def test_csv_keeps_the_text(spark, tmp_path):
-    bar = {**BAR, "1. open": "1.500", "symbol": 'A "quoted", name'}
-    events = raw(spark, payload({"2024-12-16 19:59:00": bar})).coalesce(1)
+    values = ["1.500", " 2 ", "", None, 'say "x", y', "back\\slash", "two\nlines", "é", "'", "#"]
+    series = {f"2024-12-16 19:59:{i:02d}": {**BAR, "1. open": v} for i, v in enumerate(values)}
+    events = raw(spark, payload(series)).coalesce(1)
     path = b.export_bars_csv(events, str(tmp_path))
+    assert Path(path).name.startswith("trade_2")
     (part,) = Path(path).glob("*.csv")
-    with open(part, newline="") as handle:
-        rows = list(csv.reader(handle))
+    with open(part, newline="", encoding="utf-8") as handle:
+        header, *rows = list(csv.reader(handle))
+    assert header == ["trade_timestamp", "symbol", "open", "high", "low", "close", "volume"]
     assert rows == [
-        ["trade_timestamp", "symbol", "open", "high", "low", "close", "volume"],
-        ["2024-12-16 19:59:00", 'A "quoted", name', "1.500", "2", "1", "1.7", "10"],
+        [time, "IBM", value or "", "2", "1", "1.7", "10"]
+        for time, value in zip(series, values)
     ]
