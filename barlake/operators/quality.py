@@ -17,6 +17,7 @@ from barlake.schemas import CHECK_RESULT_SCHEMA
 
 log = logging.getLogger(__name__)
 
+_METRICS = ("row_count", "missing_count", "duplicate_count", "invalid_count")
 _COMPARE = {
     "=": lambda value, threshold: value == threshold,
     "!=": lambda value, threshold: value != threshold,
@@ -44,8 +45,14 @@ class Check:
     valid_min: float | None = None
 
     def __post_init__(self):
+        if self.metric not in _METRICS:
+            raise ValueError(f"unknown metric {self.metric!r}")
         if self.comparator not in _COMPARE:
             raise ValueError(f"unknown comparator {self.comparator!r}")
+        if self.metric == "invalid_count" and self.valid_min is None:
+            raise ValueError("invalid_count needs valid_min")
+        if self.metric == "duplicate_count" and not self.columns:
+            raise ValueError("duplicate_count needs at least one column")
 
     @property
     def column_list(self) -> str:
@@ -68,8 +75,6 @@ def missing_count(column: str, comparator: str = "=", threshold: float = 0) -> C
 
 def duplicate_count(*columns: str, comparator: str = "=", threshold: float = 0) -> Check:
     """Keys that occur more than once; a key with a NULL part is not counted."""
-    if not columns:
-        raise ValueError("duplicate_count needs at least one column")
     return Check("duplicate_count", columns, comparator, threshold)
 
 
@@ -100,9 +105,7 @@ def _row_metric(check: Check) -> Column:
     (column,) = check.columns
     if check.metric == "missing_count":
         return F.count_if(F.col(column).isNull())
-    if check.metric == "invalid_count":
-        return F.count_if(F.col(column) < F.lit(check.valid_min))
-    raise ValueError(f"unknown metric {check.metric!r}")
+    return F.count_if(F.col(column) < F.lit(check.valid_min))
 
 
 def _result_row(dataset: str, check: Check, value: Column) -> Column:

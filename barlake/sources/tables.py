@@ -41,12 +41,12 @@ def read_table(
 def filter_bars(bars: DataFrame, date: str | None = None, symbol: str | None = None) -> DataFrame:
     """Bars of a day and/or a symbol; all of them if neither is given.
 
-    ``date`` is compared with the partition column, so only that day's folder is
+    ``date`` (``yyyy-MM-dd``) is compared with the partition column, so only that day's folder is
     read; ``symbol`` is pushed down to the files.
     """
     conditions = []
     if date:
-        conditions.append(F.col("partition") == F.lit(date))
+        conditions.append(F.col("partition") == F.lit(str(date)))
     if symbol:
         conditions.append(F.col("symbol") == F.lit(symbol))
     return bars.filter(reduce(lambda a, b: a & b, conditions)) if conditions else bars

@@ -79,6 +79,14 @@ def test_of_repeated_times_the_last_counts(spark):
 REPEATED = [("30", 1), ("31", 2), ("30", 3), ("32", 4), ("30", 5), ("31", 6), ("59", 7)]
 
 
+def test_null_bar_loses_nothing(spark):
+    rows = bars_of(spark, payload({"2024-01-01 00:00:00": None, "2024-01-01 00:01:00": BAR}))
+    assert sorted((r.trade_timestamp.minute, r.symbol, r.open) for r in rows) == [
+        (0, "IBM", None),
+        (1, "IBM", 1.5),
+    ]
+
+
 def test_missing_price_is_null(spark):
     (row,) = bars_of(spark, payload({"2024-01-01 00:00:00": {"1. open": "1"}}))
     assert (row.low, row.volume) == (None, None)

@@ -129,4 +129,6 @@ def test_unknown_names_are_refused(spark):
     with pytest.raises(ValueError):
         b.run_checks(silver(spark, row()), "any", [])
     with pytest.raises(ValueError):
-        b.run_checks(silver(spark, row()), "any", [b.Check("odd", ("symbol",))])
+        b.Check("odd", ("symbol",))
+    with pytest.raises(ValueError):
+        b.Check("invalid_count", ("daily_open",))

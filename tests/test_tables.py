@@ -84,6 +84,7 @@ def test_symbol_with_quote_is_just_a_value(spark, tmp_path):
     b.write_table(bars(spark, (1, D1, "A'B", 1.0)), b.TRADE, str(tmp_path))
     assert b.read_bars(spark, str(tmp_path), symbol="A'B").count() == 1
     assert b.read_bars(spark, str(tmp_path), symbol="x' OR '1'='1").count() == 0
+    assert b.read_bars(spark, str(tmp_path), date=D1).count() == 1
 
 
 def test_save_modes(spark, tmp_path):
