@@ -1,0 +1,130 @@
+"""Hot symbols, days and copies: split or combined before the shuffle, results whole."""
+
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+import barlake as b
+from barlake.sources.adapters import bars_to_payloads
+
+ROWS = 60_000
+
+
+@contextmanager
+def settings(spark, **values):
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """Two thirds of the bars in one symbol and day; a third copies of one bar."""
+    path = str(tmp_path_factory.mktemp("hot") / "bars")
+    i = F.col("id")
+    second = F.when(i % 3 == 0, F.lit(0)).otherwise(i)
+    day = F.when(i % 3 < 2, F.lit(0)).otherwise(i % 20)
+    (
+        spark.range(0, ROWS, 1, 8)
+        .select(
+            (i % 2).alias("batch_id"),
+            F.timestamp_seconds(F.lit(1_704_067_200) + day * 86_400 + second).alias(
+                "trade_timestamp"
+            ),
+            F.when(i % 3 < 2, F.lit("HOT")).otherwise(F.concat(F.lit("S"), i % 50)).alias(
+                "symbol"
+            ),
+            *[F.pmod(F.xxhash64("id", F.lit(c)), F.lit(1000)).cast("double").alias(c)
+              for c in ("open", "high", "low", "close")],
+            (i % 100).cast("int").alias("volume"),
+        )
+        .withColumn("partition", F.to_date("trade_timestamp").cast("string"))
+        .write.parquet(path)
+    )
+    return spark.read.parquet(path)
+
+
+def test_hot_group_join_is_split(spark, hot):
+    with settings(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        },
+    ):
+        annotated = b.annotate_daily(hot)
+        rows = annotated.collect()
+        assert "skew" in annotated._jdf.queryExecution().executedPlan().toString()
+    assert len(rows) == ROWS
+    assert b.daily_distinct(annotated).count() == b.daily_rollup(hot).count()
+
+
+def test_hot_day_is_written_in_pieces(spark, hot, tmp_path):
+    with settings(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}):
+        b.write_table(hot, b.TRADE, str(tmp_path))
+    day = tmp_path / "trade" / "partition=2024-01-01"
+    assert len(list(day.glob("*.parquet"))) > 3
+    assert b.read_table(spark, b.TRADE, str(tmp_path)).count() == ROWS
+
+
+def test_rollup_shuffles_groups_not_bars(spark, hot):
+    """Rows into the final aggregate: at most one per group and input task."""
+    rollup = b.daily_rollup(hot)
+    rollup.collect()
+    groups = rollup.count()
+    tasks = hot.rdd.getNumPartitions()
+    plan = rollup._jdf.queryExecution().executedPlan()
+    exchanges = [
+        node
+        for node in _nodes(plan)
+        if node.nodeName() == "Exchange" and node.metrics().contains("shuffleRecordsWritten")
+    ]
+    written = sum(e.metrics().apply("shuffleRecordsWritten").value() for e in exchanges)
+    assert 0 < written <= groups * tasks < ROWS
+
+
+def test_copies_are_cut_before_the_shuffle(spark, hot):
+    deduplicated = b.dedup_latest(hot)
+    rows = deduplicated.collect()
+    distinct = hot.select("symbol", "trade_timestamp").distinct().count()
+    assert len(rows) == distinct
+    (exchange,) = [
+        node
+        for node in _nodes(deduplicated._jdf.queryExecution().executedPlan())
+        if node.nodeName() == "Exchange"
+    ]
+    written = exchange.metrics().apply("shuffleRecordsWritten").value()
+    assert written <= distinct + hot.rdd.getNumPartitions()
+
+
+def test_hot_symbol_payloads_stay_bounded(spark, hot):
+    bars = b.dedup_latest(hot).withColumn("batch_id", F.lit(1).cast("long"))
+    payloads = bars_to_payloads(bars, bars_per_payload=1024)
+    per_payload = payloads.select(F.size(F.split("value", "1. open")) - 1).collect()
+    assert max(n for (n,) in per_payload) <= 1024
+    got, _ = b.normalize_payloads(payloads, 1)
+    assert got.exceptAll(bars.select(*got.columns)).isEmpty()
+    assert got.count() == bars.count()
+
+
+def _nodes(plan):
+    """The physical plan's nodes, through adaptive wrappers and query stages."""
+    name = plan.nodeName()
+    if name.startswith("AdaptiveSparkPlan"):
+        yield from _nodes(plan.executedPlan())
+        return
+    if "QueryStage" in name:
+        yield from _nodes(plan.plan())
+        return
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
