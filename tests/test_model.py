@@ -166,3 +166,89 @@ def test_dedup_matches_the_model(spark, seed):
     )
     got = sorted(repr(tuple(r)) for r in b.dedup_latest(df).collect())
     assert got == sorted(repr(row) for _, row in best.values())
+
+
+class Model:
+    """Bronze as a list of bars, silver as a dict, following the documented rules."""
+
+    def __init__(self):
+        self.bronze = []
+        self.silver = {}
+
+    def run(self, batch_id, bars, date=None, symbol=None, recompute="all"):
+        self.bronze += [(batch_id, *bar) for bar in bars]
+        touched = {str(time.date()) for _, time, *_ in bars}
+        latest = {}
+        for batch, name, time, open, close, volume in self.bronze:
+            day = str(time.date())
+            if recompute == "touched" and day not in touched:
+                continue
+            if day != (date or day) or name != (symbol or name):
+                continue
+            rank = (batch, open, max(open, close), min(open, close), close, volume)
+            key = (name, time)
+            latest[key] = max(latest.get(key, rank), rank)
+        groups = {}
+        for (name, time), (_, open, high, low, close, volume) in sorted(latest.items()):
+            group = groups.setdefault((str(time.date()), name), [])
+            group.append((open, high, low, close, volume))
+        if symbol is None:
+            days = {day for day, _ in groups}
+            self.silver = {k: v for k, v in self.silver.items() if k[0] not in days}
+        for key, group in groups.items():
+            self.silver[key] = (
+                group[0][0],
+                group[-1][3],
+                max(bar[1] for bar in group),
+                min(bar[2] for bar in group),
+                sum(bar[4] for bar in group),
+            )
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_runs_match_the_model(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    warehouse, expected = str(tmp_path / "wh"), Model()
+    for batch_id in range(1, 8):
+        bars = [
+            (
+                rng.choice("ABC"),
+                T0 + timedelta(days=rng.randrange(3), minutes=rng.randrange(4)),
+                float(rng.randrange(1, 9)),
+                float(rng.randrange(1, 9)),
+                rng.randrange(50),
+            )
+            for _ in range(rng.randrange(1, 12))
+        ]
+        folder = tmp_path / f"landing-{batch_id}"
+        folder.mkdir()
+        for i, (name, time, open, close, volume) in enumerate(bars):
+            bar = {
+                "1. open": str(open),
+                "2. high": str(max(open, close)),
+                "3. low": str(min(open, close)),
+                "4. close": str(close),
+                "5. volume": str(volume),
+            }
+            payload = {"Meta Data": {"2. Symbol": name}, "S": {str(time): bar}}
+            (folder / f"{i}.json").write_text(json.dumps(payload))
+        how = {"recompute": rng.choice(["all", "touched"])}
+        if rng.random() < 0.4:
+            how["symbol"] = rng.choice("ABC")
+        if rng.random() < 0.3:
+            how["date"] = str((T0 + timedelta(days=rng.randrange(3))).date())
+        b.run_pipeline(spark, str(folder), warehouse, batch_id=batch_id, **how)
+        expected.run(batch_id, bars, **how)
+        stored = b.read_table(spark, b.DAILY_TRADES, warehouse).collect()
+        got = {
+            (str(r.trade_date), r.symbol): (
+                r.daily_open,
+                r.daily_close,
+                r.daily_high,
+                r.daily_low,
+                r.daily_volume,
+            )
+            for r in stored
+        }
+        assert len(stored) == len(got)
+        assert got == expected.silver, how
