@@ -152,7 +152,7 @@ def run_pipeline(
     silver = refresh_silver(spark, warehouse, date, symbol, load.days, mode, on_fail, fmt)
     if database is not None:
         for table in (TRADE, DAILY_TRADES):
-            sync_partitions(spark, table, database, fmt)
+            sync_partitions(spark, table, database, fmt, load.days)
     return PipelineResult(load.batch_id, load.rejected, load.checks, silver)
 
 

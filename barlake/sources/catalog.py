@@ -56,11 +56,26 @@ def drop_tables(spark: SparkSession, database: str = "barlake") -> None:
 
 
 def sync_partitions(
-    spark: SparkSession, table: Table, database: str = "barlake", fmt: str = "parquet"
+    spark: SparkSession,
+    table: Table,
+    database: str = "barlake",
+    fmt: str = "parquet",
+    days: list | None = None,
 ) -> None:
-    """Make days written by path visible to the catalog table."""
-    if fmt != "delta":
-        spark.catalog.recoverPartitions(f"{_quoted(database)}.{table.name}")
+    """Make days written by path visible to the catalog table.
+
+    With ``days`` (texts as in the partition folders) only those are added;
+    otherwise, or when bars without a day are among them, all folders are listed.
+    """
+    if fmt == "delta":
+        return
+    name = f"{_quoted(database)}.{table.name}"
+    if days is None or None in days:
+        spark.catalog.recoverPartitions(name)
+    elif days:
+        specs = " ".join(f"PARTITION ({table.partition}='{day}')" for day in sorted(days))
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+        spark.catalog.refreshTable(name)
 
 
 def insert_table(df: DataFrame, table: Table, database: str = "barlake") -> None:

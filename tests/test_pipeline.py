@@ -193,13 +193,24 @@ def test_empty_batch_loads_nothing(spark, tmp_path):
     assert not staging.path_exists(spark, str(tmp_path / "wh2"))
 
 
-def test_catalog_sees_new_days(spark, landing, tmp_path):
-    w, db = str(tmp_path / "wh"), "test_pipeline"
+@pytest.mark.parametrize("recompute", ["all", "touched"])
+def test_catalog_sees_new_days(spark, landing, tmp_path, recompute):
+    w, db = str(tmp_path / "wh"), f"test_pipeline_{recompute}"
     b.create_tables(spark, w, db)
     b.create_silver_tables(spark, w, db)
-    b.run_pipeline(spark, str(landing), w, batch_id=1, database=db)
-    assert spark.table(f"{db}.trade").count() == 6
-    assert spark.sql(f"SELECT sum(daily_volume) FROM {db}.daily_trades").first()[0] == 54
+    more = tmp_path / "more"
+    land(more, "a.json", "A", {"2024-01-04 09:30:00": bar(1, 2), "2024-01-02 10:00:00": bar(1, 5)})
+    undated = tmp_path / "undated"
+    land(undated, "a.json", "A", {"no time": bar(1, 2, 1000)})
+    volumes = []
+    for batch_id, folder in enumerate((landing, landing, more, undated)):
+        b.run_pipeline(
+            spark, str(folder), w, batch_id=batch_id, database=db, recompute=recompute
+        )
+        bars = spark.table(f"{db}.trade").count()
+        volume = spark.sql(f"SELECT sum(daily_volume) FROM {db}.daily_trades").first()[0]
+        volumes.append((bars, volume))
+    assert volumes == [(6, 54), (12, 54), (14, 74), (15, 1074)]
     b.drop_tables(spark, db)
 
 
