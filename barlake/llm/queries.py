@@ -4,25 +4,113 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barlake.llm import toxicity
+from barlake.llm.chat import format_chats
+from barlake.llm.decontamination import decontaminate
+from barlake.llm.jaccard import link_documents
+from barlake.llm.language_model import score_texts
 from barlake.llm.mixing import pareto_mix
 from barlake.llm.simhash import edited_fingerprints
 from barlake.llm.storage import read
+from barlake.llm.substrings import remove_repeated_windows
+from barlake.llm.suffixes import remove_repeated_substrings
+from barlake.llm.warc import archived
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def _remainder(divisor: int) -> Column:
+    """crc32 of the id as text, by the divisor."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(toxicity.learnt_from(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = _remainder(7)
+    part = F.when(remainder == 2, 2).when(remainder == 3, 1).otherwise(0)
+    return score_texts(read(spark, sf_dir, "documents"), part)
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(read(spark, sf_dir, "conversations"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = archived(read(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("_items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        F.col("_words").alias("n_words"),
+        F.col("_hits").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.col("_hits") > 0).alias("contaminated"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(read(spark, sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated_windows(read(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(read(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate(
+        "_removed", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"]
+    )
+    return remove_repeated_substrings(docs).select(
+        "doc_id",
+        F.col("_bytes").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("_removed").cast("long").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_toxicity": op2_toxicity,
+        "op3_language_model": op3_language_model,
+        "op4_chat": op4_chat,
+        "op5_warc": op5_warc,
+        "op6_decontamination": op6_decontamination,
         "op7_mixing": op7_mixing,
+        "op8_substrings": op8_substrings,
+        "op9_jaccard": op9_jaccard,
+        "op10_suffixes": op10_suffixes,
     }
 
 

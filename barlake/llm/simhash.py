@@ -143,60 +143,55 @@ def edited_fingerprints(
     The order is made on (id, hash, length) alone. A text is shuffled once, to meet
     its neighbours' keys, and the leading part that the neighbour needs once more.
     """
+    number, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
+    # The hash knows whether the id is null, so the key has no null in it.
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-    ).withColumn("_hash", F.xxhash64("_text"))
-    narrow = rows.groupBy("doc_id", "_hash").agg(
+        F.coalesce(number, F.lit(0)).alias("_id"),
+        F.xxhash64(number.isNull(), text).alias("_hash"),
+        number.alias("doc_id"),
+        text.alias("_text"),
+    )
+    key = ["_id", "_hash"]
+    narrow = rows.groupBy(*key, "doc_id").agg(
         F.max(F.length("_text")).cast("long").alias("n_chars"), F.count(F.lit(1)).alias("_copies")
     )
     # Descending ids, null last, as ascending order.
-    narrow = narrow.withColumn("_null", F.col("doc_id").isNull()).withColumn(
-        "_down", F.bitwise_not(F.coalesce(F.col("doc_id"), F.lit(0)))
-    )
+    narrow = narrow.withColumn("_null", F.col("doc_id").isNull())
+    narrow = narrow.withColumn("_down", F.bitwise_not("_id"))
     order = written(global_rank(narrow, ["_null", "_down", "_hash"], "_rank"), "order")
     total = max(order.count(), 1)
     following = order.select(
         F.pmod(F.col("_rank") - 1, F.lit(total)).alias("_rank"),
-        F.col("doc_id").alias("_next_id"),
+        F.col("_id").alias("_next_id"),
         F.col("_hash").alias("_next_hash"),
     )
-    links = written(
-        order.select("doc_id", "_hash", "n_chars", "_copies", "_rank").join(following, "_rank"),
-        "links",
-    ).drop("_rank")
-
-    def same(a: DataFrame, b: DataFrame, id_b: str, hash_b: str) -> Column:
-        return a["doc_id"].eqNullSafe(b[id_b]) & (a["_hash"] == b[hash_b])
-
+    links = order.select(*key, "doc_id", "n_chars", "_copies", "_rank").join(following, "_rank")
+    links = written(links.drop("_rank"), "links")
     need = links.select(
-        F.col("_next_id").alias("_from_id"),
-        F.col("_next_hash").alias("_from_hash"),
-        F.col("doc_id").alias("_to_id"),
+        F.col("_next_id").alias("_id"),
+        F.col("_next_hash").alias("_hash"),
+        F.col("_id").alias("_to_id"),
         F.col("_hash").alias("_to_hash"),
         F.expr("n_chars div 3").cast("int").alias("_take"),
     )
+    rows = rows.drop("doc_id")
     heads = (
-        rows.join(need, same(rows, need, "_from_id", "_from_hash"))
-        .select("_to_id", "_to_hash", F.substring("_text", F.lit(1), F.col("_take")).alias("_head"))
-        .groupBy("_to_id", "_to_hash")
+        rows.join(need, key)
+        .select(
+            F.col("_to_id").alias("_id"),
+            F.col("_to_hash").alias("_hash"),
+            F.substring("_text", F.lit(1), F.col("_take")).alias("_head"),
+        )
+        .groupBy(*key)
         .agg(F.first("_head").alias("_head"))
     )
-    mine = links.select(
-        F.col("doc_id").alias("_my_id"), F.col("_hash").alias("_my_hash"), "n_chars"
-    )
     cut = (F.col("n_chars") - F.expr("n_chars div 3")).cast("int")
-    joined = rows.join(mine, same(rows, mine, "_my_id", "_my_hash"))
-    joined = joined.join(heads, same(joined, heads, "_to_id", "_to_hash"))
+    joined = rows.join(links.select(*key, "n_chars"), key).join(heads, key)
     edited = joined.select(
-        "doc_id",
-        "_hash",
-        F.col("_text"),
-        F.concat(F.substring("_text", F.lit(1), cut), F.col("_head")).alias("_edited"),
+        *key, "_text", F.concat(F.substring("_text", F.lit(1), cut), F.col("_head")).alias("_edited")
     )
     both = edited.withColumn("edited_sha256", F.sha2("_edited", 256)).select(
-        "doc_id",
-        "_hash",
+        *key,
         "edited_sha256",
         F.explode(
             F.array(
@@ -206,32 +201,24 @@ def edited_fingerprints(
         ).alias("_v"),
     )
     both = both.select(
-        "doc_id", "_hash", "edited_sha256", F.col("_v.kind").alias("_kind"), F.col("_v.text").alias("_t")
+        *key, "edited_sha256", F.col("_v.kind").alias("_kind"), F.col("_v.text").alias("_t")
     )
-    prints = fingerprints(both, ["doc_id", "_hash", "edited_sha256", "_kind"], "_t")
+    prints = fingerprints(both, [*key, "edited_sha256", "_kind"], "_t")
     of = lambda kind, half: F.max(F.when(F.col("_kind") == kind, F.col(half)))
-    prints = written(
-        prints.groupBy("doc_id", "_hash", "edited_sha256").agg(
-            of(0, "f0").alias("f0"),
-            of(0, "f1").alias("f1"),
-            of(1, "f0").alias("e0"),
-            of(1, "f1").alias("e1"),
-        ),
-        "prints",
+    prints = prints.groupBy(*key, "edited_sha256").agg(
+        of(0, "f0").alias("f0"),
+        of(0, "f1").alias("f1"),
+        of(1, "f0").alias("e0"),
+        of(1, "f1").alias("e1"),
     )
+    prints = written(prints, "prints")
     after = prints.select(
-        F.col("doc_id").alias("_id"),
-        F.col("_hash").alias("_h"),
+        F.col("_id").alias("_next_id"),
+        F.col("_hash").alias("_next_hash"),
         F.col("f0").alias("n0"),
         F.col("f1").alias("n1"),
     )
-    linked = prints.join(
-        links.withColumnsRenamed({"doc_id": "_l_id", "_hash": "_l_hash"}),
-        F.col("doc_id").eqNullSafe(F.col("_l_id")) & (F.col("_hash") == F.col("_l_hash")),
-    )
-    linked = linked.join(
-        after, F.col("_next_id").eqNullSafe(F.col("_id")) & (F.col("_next_hash") == F.col("_h"))
-    )
+    linked = prints.join(links, key).join(after, ["_next_id", "_next_hash"])
     own, new, nxt = [tuple(F.col(f"{c}{i}") for i in (0, 1)) for c in "fen"]
     return linked.select(
         "doc_id",

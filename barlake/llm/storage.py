@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -37,29 +37,36 @@ def power_of_two(n: float) -> int:
     return 1 << max(0, int(n) - 1).bit_length() if n > 1 else 1
 
 
-def global_rank(keys: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Rows numbered from 0 in the order of the named columns, without one task for all.
+#: ``monotonically_increasing_id`` counts inside a partition in this many low bits.
+PART_BITS = 33
+
 
-    ``keys`` must be narrow. The rows are range-partitioned, numbered inside
-    their partition, and shifted by the row counts of the partitions before it:
-    the only table that meets in one task has a row for each partition. The
-    range-partitioned rows are written once, so that both uses see the same
-    partitions.
+def in_order(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``rows`` range-partitioned, sorted and written with a number that ascends in the order.
+
+    The numbers have gaps: the partition is in the bits above ``PART_BITS``.
     """
-    part = F.spark_partition_id().alias("_part")
-    spark = keys.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in order]
-    placed = written(keys.repartitionByRange(n, *cols).select("*", part), "ranked")
-    from pyspark.sql import Window
+    placed = rows.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    return written(placed.withColumn(name, F.monotonically_increasing_id()), "ordered")
+
 
+def global_rank(keys: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Rows numbered from 0 in the order of the named columns, without one task for all.
+
+    Rows are numbered inside their range partition, and shifted by the row counts of
+    the partitions before it: the only table that meets in one task has a row for
+    each partition.
+    """
+    placed = in_order(keys, order, "_place")
+    part = F.shiftright("_place", PART_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     shifts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*cols)) - 1
+    inside = F.col("_place").bitwiseAND(F.lit((1 << PART_BITS) - 1))
     return (
-        placed.withColumn("_in", inside)
-        .join(F.broadcast(shifts), "_part")  # a row for each shuffle partition
-        .withColumn(name, F.col("_shift") + F.col("_in"))
-        .drop("_part", "_in", "_shift")
+        placed.join(F.broadcast(shifts), part == F.col("_part"))  # a row for each partition
+        .withColumn(name, F.col("_shift") + inside)
+        .drop("_part", "_place", "_shift")
     )
