@@ -206,13 +206,14 @@ def decontaminate(
     run), itself where nothing is hit, null where it is null. How many hits are too many is for the
     caller to say. Rows are not moved. Null and empty texts and items have no words;
     repeated rows and items are looked at each by itself; items with a null id count as one item.
-    Empty tables are fine. Column names must not be those added.
+    Empty tables are fine. Input columns of the added names are replaced.
 
     The automaton is broadcast; it is built of at most ``BLOCK_BYTES`` of items (or one
     longer item). A larger benchmark is split by a hash of its texts, and the documents
     are gone through once for each block, what was found being kept beside them.
     """
     spark = docs.sparkSession
+    docs = docs.drop("_marks", "_found", "_words", "_hits", "_items", "_kept")
     state = T.StructType(list(docs.schema.fields))
     state.add("_marks", "binary").add("_found", T.ArrayType(T.LongType()))
     final = T.StructType(list(docs.schema.fields))

@@ -64,6 +64,7 @@ def pareto_mix(
     share: float = 1.5,
     cap: float = 2.0,
     seed: int = 0,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """How often each document is taken so that sources meet their target sizes.
 
@@ -81,10 +82,10 @@ def pareto_mix(
     of the rows.
 
     Returns ``doc_id``, ``source``, ``size``, ``source_size``, ``target``,
-    ``copies``, ``taken`` (``copies * size``), a row for each input row. Null text
-    has size 0. A null source is a source; null ids are ids. Rows that are wholly
-    equal tie and their order does not matter. An empty table gives an empty one.
-    Other columns are not read.
+    ``copies``, ``taken`` (``copies * size``) and the (narrow) columns named in
+    ``carry``, a row for each input row. Null text has size 0. A null source is a
+    source; null ids are ids. Rows that are wholly equal tie and their order does not
+    matter. An empty table gives an empty one. Other columns are not read.
     """
     sizes = written(
         docs.select(
@@ -92,6 +93,7 @@ def pareto_mix(
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
             F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("_hash"),
+            *carry,
         ),
         "sizes",
     )
@@ -160,5 +162,6 @@ def pareto_mix(
             "target",
             "copies",
             (F.col("copies") * F.col("size")).alias("taken"),
+            *carry,
         )
     )

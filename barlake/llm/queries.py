@@ -99,6 +99,12 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -111,8 +117,95 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substrings": op8_substrings,
         "op9_jaccard": op9_jaccard,
         "op10_suffixes": op10_suffixes,
+        "pipeline": pipeline,
     }
 
 
+# Words between blanks, and words of digits and letters, of one table's texts.
+_BLANK = r"[^ \t-\r]+"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words_sql(text: str, pattern: str, lower: bool) -> str:
+    text = f"coalesce({text}, '')"
+    text = _LOWER.format(text) if lower else text
+    return f"regexp_extract_all({text}, '{pattern}')"
+
+
+_WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((CAST('0x' || substr(s, 1 + 5 * (i // 4), 5) AS INTEGER) >> (15 - 5 * (i % 4))) & 31),
+         1) FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p"""
+
+_LEAKS_SQL = f"""
+WITH d AS (SELECT doc_id, {_words_sql("text", _LETTERS, True)} AS w FROM documents),
+b AS (SELECT item_id, {_words_sql("text", _LETTERS, True)} AS w FROM benchmark),
+m AS (SELECT item_id, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM m)),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM m) WHERE len(w) >= n)),
+found AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, k)),
+hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit
+         FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found)
+          GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+_WINDOWS_SQL = f"""
+WITH d AS (SELECT doc_id, {_words_sql("text", _BLANK, False)} AS w FROM documents),
+x AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+firsts AS (SELECT k, min(doc_id) AS first FROM x GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j
+         FROM x JOIN firsts USING (k) WHERE first < doc_id),
+numbered AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS t
+         FROM numbered ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""
+
+_JACCARD_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words_sql("text", _BLANK, True)} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i
+            FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+           FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * m >= 85 * (x.n + y.n - m)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents
+          UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a),
+groups AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id),
+degrees AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM groups LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that it can express."""
+    return {
+        "op5_warc": _WARC_SQL,
+        "op6_decontamination": _LEAKS_SQL,
+        "op8_substrings": _WINDOWS_SQL,
+        "op9_jaccard": _JACCARD_SQL,
+    }

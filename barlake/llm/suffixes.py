@@ -165,7 +165,7 @@ def _repeats(values: np.ndarray, _owner: np.ndarray, extras: list[bytes]) -> np.
 
 
 def remove_repeated_substrings(
-    docs: DataFrame, text_col: str = "text", length: int = 200
+    docs: DataFrame, text_col: str = "text", length: int = 200, as_text: bool = False
 ) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that starts anywhere else too.
 
@@ -174,20 +174,22 @@ def remove_repeated_substrings(
     told by 64-bit hashes (contexts: 48 bits, among equal prefixes only).
 
     Returns all columns of ``docs`` and ``_bytes`` (length of the text), ``_kept``
-    (binary: the bytes left; a code point may have lost a part), ``_removed`` (byte
-    ranges of the text), a row for each input row. Null and empty texts have no
-    bytes. Copies of a row remove each other's bytes, if there are ``length``; ids play no part. An empty table gives
-    an empty one. Column names must not be those added. One text must fit in a task's
-    memory some fifty times.
+    (binary: the bytes left, where a code point may have lost a part; with ``as_text`` a
+    string without such parts), ``_removed`` (byte ranges of the text), a row for each
+    input row. Null and empty texts have no bytes. Copies of a row remove each other's
+    bytes, if there are ``length``; ids play no part. An empty table gives an empty one.
+    Input columns of the added names are replaced. One text must fit in a task's memory
+    some fifty times.
     """
     if length < 2:
         raise ValueError("length must be 2 at least")
+    docs = docs.drop("_bytes", "_kept", "_removed")
     chunks = chunked(docs, text_col)
     # An anchor in about half the span of starts that may share one.
     buckets = bucket_count(chunks, 2 / (_span(length) + 1))
     schema = T.StructType(list(docs.schema.fields))
     span = T.StructType().add("start", "long").add("end", "long")
-    schema.add("_bytes", "long").add("_kept", "binary").add("_removed", T.ArrayType(span))
+    schema.add("_bytes", "long").add("_kept", "string" if as_text else "binary").add("_removed", T.ArrayType(span))
 
     def slim(rows: pa.Table) -> pa.Table:
         return pa.table({"text": rows.column(text_col)})
@@ -229,6 +231,8 @@ def remove_repeated_substrings(
             kept = pa.Array.from_buffers(
                 pa.binary(), end - begin, [None, pa.py_buffer(upto.astype(np.int32)), left]
             )
+            if as_text:
+                kept = pa.array([k.decode(errors="ignore") for k in kept.to_pylist()], pa.string())
             part = rows.slice(begin, end - begin)
             part = part.append_column("_bytes", pa.array(np.diff(a.at), pa.int64()))
             part = part.append_column("_kept", kept)

@@ -17,11 +17,11 @@ from barlake.llm.words import LOWER, Rolling, byte_values, pieces, split_words,
 #: Hash places of the terms.
 PLACES = 1 << 18
 #: Labelled rows that the model is fitted on, at most; see :func:`fit`.
-SAMPLE = 20_000
+SAMPLE = 50_000
 #: Terms that the model keeps, at most.
 TERMS = 4096
 #: A word counts as itself and as each beginning of so many bytes, which stand for its stem.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 
 
 def terms(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +83,7 @@ def train(
     index: np.ndarray,
     n_factors: int = 4,
     epochs: int = 40,
-    rate: float = 0.1,
+    rate: float = 0.2,
     decay: float = 1e-4,
     batch: int = 256,
     seed: int = 0,
@@ -128,7 +128,7 @@ def train(
     return model
 
 
-def select_terms(counts: np.ndarray, totals: np.ndarray, at_least: int = 5) -> np.ndarray:
+def select_terms(counts: np.ndarray, totals: np.ndarray, at_least: int = 3) -> np.ndarray:
     """Term numbers by hash place, -1 for those left out.
 
     ``counts``: place, rows with label 0, rows with label 1. Kept are the places
@@ -221,8 +221,9 @@ def score(docs: DataFrame, model: Machine, text_col: str = "text", name: str = "
     """All columns of ``docs`` and the score (0 to 1) of every whole text, in place.
 
     The text is all that a score depends on. A null or empty text has the score of
-    the bias alone. ``name`` must be a new column.
+    the bias alone. An input column called ``name`` is replaced.
     """
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PLACES and TERMS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

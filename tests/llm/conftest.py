@@ -1,0 +1,47 @@
+import pytest
+
+SF_DIR = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use themselves.
+CLASHING = [
+    "chunk", "part", "rows", "row", "set", "tokens", "n", "size", "score", "_score", "_hash",
+    "_text", "_id", "_rank", "_kept", "_removed", "_bytes", "_marks", "_found", "_hits",
+    "_items", "_words", "target", "copies", "taken", "bucket", "answer", "position", "seg",
+]
+
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
+EDGES = [
+    (None, "alone without an id and rather short", "en", "src1", 5),
+    (None, None, None, None, None),
+    (900_001, None, "en", None, None),
+    (900_002, "", None, "src1", 0),
+    (900_003, " \t\n ", "en", "src1", 4),
+    (900_004, "one", "en", "new", 3),
+    (900_005, LONG, "en", "new", None),
+    (900_006, LONG + " and an end", "en", "new", None),
+    (900_007, "é" * 300 + " ü " * 50, "fr", "src1", 400),
+    (900_007, "é" * 300 + " ü " * 50, "fr", "src1", 400),
+    (900_007, "another text under the same id, with a few words", "fr", "src1", 400),
+    (900_008, "a " * 500, "en", "src1", 1000),
+]
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """A small table of documents and every odd row there may be, with clashing columns."""
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs = given.unionByName(spark.createDataFrame(EDGES, SCHEMA)).repartition(5)
+    extra = spark.createDataFrame([(7, "x")], "i int, s string")
+    docs = docs.crossJoin(extra)  # one row: two more columns
+    return docs.withColumns({c: docs["s"] for c in CLASHING})
+
+
+@pytest.fixture(scope="session")
+def texts(documents):
+    """``(doc_id, text)`` of the same rows."""
+    return [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
+
+
+@pytest.fixture(scope="session")
+def no_documents(documents):
+    return documents.limit(0)

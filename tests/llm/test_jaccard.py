@@ -1,0 +1,143 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from barlake.llm import jaccard
+from barlake.llm.components import components
+
+LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+
+
+def shingles(text, n):
+    for blank in "\t\n\v\f\r":
+        text = (text or "").replace(blank, " ")
+    w = [x for x in (text or "").translate(LOWER).split(" ") if x]
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} - {()}
+
+
+def plain(texts, n, percent):
+    """Multiset of (id, set size, smallest id of the group, links), by comparing all pairs."""
+    sets = [shingles(t, n) for _, t in texts]
+    having = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            having[x].append(i)
+    parent, links = list(range(len(texts))), Counter()
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, s in enumerate(sets):
+        shared = Counter(j for x in s for j in having[x])
+        for j, k in shared.items():
+            if j > i and 100 * k >= percent * (len(s) + len(sets[j]) - k):
+                parent[find(j)] = find(i)
+                links[i] += 1
+                links[j] += 1
+    smallest = {}
+    for i, (doc, _) in enumerate(texts):
+        r = find(i)
+        ids = [x for x in (doc, smallest.get(r)) if x is not None]
+        smallest[r] = min(ids) if ids else None
+    return Counter((doc, len(sets[i]), smallest[find(i)], links[i]) for i, (doc, _) in enumerate(texts))
+
+
+def found(df):
+    return Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in df.collect())
+
+
+@pytest.fixture(autouse=True)
+def small_parts(monkeypatch):
+    """Several chunks, blocks of four sets."""
+    monkeypatch.setattr("barlake.llm.exchange.CHUNK_BYTES", 1 << 16)
+    monkeypatch.setattr(jaccard, "BLOCK_BITS", 2)
+
+
+@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80)])
+def test_given_documents(documents, texts, n, percent):
+    got = found(jaccard.link_documents(documents, n=n, percent=percent))
+    assert got == plain(texts, n, percent)
+
+
+@pytest.mark.parametrize("seed, percent", [(0, 85), (1, 60), (2, 100), (3, 30)])
+def test_families_of_edited_copies(spark, seed, percent):
+    rng = random.Random(seed)
+    texts = []
+    for family in range(6):
+        base = [f"f{family}w{rng.randrange(60)}" for _ in range(rng.randrange(1, 60))]
+        for _ in range(rng.choice([1, 2, 25])):
+            text = list(base)
+            for _ in range(rng.randrange(4)):
+                text[rng.randrange(len(text))] = f"e{rng.randrange(20)}"
+            texts.append((rng.choice([rng.randrange(1000), None]), " ".join(text)))
+    texts += [(None, None), (1, ""), (2, "ONE"), (3, "one"), (4, "one two"), (5, "One  TWO")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = found(jaccard.link_documents(df, n=3, percent=percent))
+    assert got == plain(texts, 3, percent)
+
+
+def test_one_of_each_group_stays(documents, texts):
+    kept = jaccard.keep_one(documents, n=5, percent=80)
+    assert kept.columns == documents.columns
+    rows = kept.collect()
+    groups = Counter()
+    for (doc, n, component, _), m in plain(texts, 5, 80).items():
+        groups[component if n else ("empty", doc)] += m
+    stay = Counter(r.doc_id for r in rows)
+    for component, m in groups.items():
+        if isinstance(component, tuple):
+            assert stay[component[1]] >= m
+        elif component is not None:
+            assert stay[component] >= 1
+    alone = sum(m for g, m in groups.items() if isinstance(g, tuple))
+    # Rows of one id that are not alike are groups of their own.
+    assert len(rows) >= len([g for g in groups if not isinstance(g, tuple)]) + alone
+    assert Counter((r.doc_id, r.text) for r in rows) <= Counter(texts)
+
+
+def test_empty_table(no_documents):
+    assert jaccard.link_documents(no_documents).collect() == []
+    assert jaccard.keep_one(no_documents).collect() == []
+
+
+@pytest.mark.parametrize("percent", [50, 85])
+def test_tree_join_finds_all_links(percent):
+    rng = random.Random(percent)
+    make = lambda: np.array(sorted(rng.sample(range(40), rng.randrange(1, 30))), np.int64)
+    left, right = [make() for _ in range(50)], [make() for _ in range(60)]
+    extra = lambda sets: np.array([len(s) + rng.randrange(2) for s in sets])
+    n_left, n_right = extra(left), extra(right)
+    got = {(j, int(i)) for j, hits in jaccard.tree_join(left, n_left, right, n_right, percent) for i in hits}
+    want = set()
+    for i, a in enumerate(left):
+        for j, b in enumerate(right):
+            k = len(np.intersect1d(a, b))
+            if 100 * k >= percent * (n_left[i] + n_right[j] - k):
+                want.add((j, i))
+    assert got == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    edges += [(i, i + 1) for i in range(1000, 1040)] + [(2000, 2000 + i) for i in range(1, 50)] + [(7, 7)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    df = spark.createDataFrame([*edges, (None, 3)], "a long, b long")
+    got = {r.node: r.root for r in components(df).collect()}
+    assert got == {x: find(x) for x in parent}

@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from barlake.llm import toxicity
+
+INSULTS = ["idiot", "scum", "moron"]
+GROUPS = ["tribe", "clan", "folk"]
+
+
+def made(rng, n):
+    """An insult or a group alone is fine, both together are not: no linear rule tells."""
+    rows = []
+    for i in range(n):
+        insult, group = i % 2, i // 2 % 2
+        words = [f"word{rng.randrange(300)}" for _ in range(rng.randrange(8, 30))]
+        words += [rng.choice(INSULTS)] * insult + [rng.choice(GROUPS)] * group
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(insult and group)))
+    return rows
+
+
+def test_learns_a_pair_that_no_sum_of_weights_tells(spark):
+    rng = random.Random(1)
+    rows = made(rng, 1600)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows[:1200]], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    right = sum((scored[i] >= 0.5) == bool(y) for i, _, y in rows[1200:])
+    assert right >= 0.97 * 400
+    # Without its factors the machine is linear: it cannot have all four kinds right.
+    model.factors[:] = 0
+    linear = model.scores(pa.array([r[1] for r in rows[1200:]]))
+    assert np.mean((linear >= 0.5) == [bool(r[2]) for r in rows[1200:]]) < 0.97
+
+
+def test_held_out_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(docs, labels.filter(toxicity.learnt_from(F.col("doc_id"))))
+    held_out = labels.filter(~toxicity.learnt_from(F.col("doc_id")))
+    rows = toxicity.score(docs, model).join(held_out, "doc_id").select("score", "toxic").collect()
+    toxic = [r.score >= 0.7 for r in rows if r.toxic]
+    clean = [r.score >= 0.7 for r in rows if not r.toxic]
+    assert np.mean(toxic) > 0.8 and np.mean(clean) < 0.005
+
+
+def test_odd_rows(spark, documents, no_documents, texts):
+    labels = [(0, 1), (1, 0), (2, None), (None, 1), (3, 0), (3, 1), (5, 7)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(documents, labels)
+    rows = toxicity.score(documents, model).collect()
+    assert len(rows) == len(texts)
+    assert all(0 <= r.score <= 1 for r in rows)
+    empty = {r.score for r in rows if not (r.text or "").strip()}
+    assert len(empty) == 1
+    scores = {}
+    for r in rows:
+        scores.setdefault(r.text, set()).add(r.score)
+    assert all(len(s) == 1 for s in scores.values())
+    assert toxicity.score(no_documents, model).collect() == []
+
+
+@pytest.mark.parametrize("toxic, score", [([], 0.5), ([0, 0], 0.5 / 3)])
+def test_without_labels_of_both_kinds(spark, documents, toxic, score):
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    model = toxicity.fit(documents, labels)
+    assert {round(r.score, 9) for r in toxicity.score(documents, model).collect()} == {round(score, 9)}
+
+
+def test_reruns_agree(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    first = toxicity.fit(docs, labels)
+    again = toxicity.fit(docs.repartition(7), labels.repartition(3))
+    assert np.array_equal(first.weights, again.weights) and first.bias == again.bias

@@ -1,0 +1,116 @@
+import base64
+import hashlib
+import random
+
+import pytest
+import zstandard
+
+from barlake.llm import warc
+
+SCHEMA = "page_id long, url string, html string, payload string, refers_to int"
+
+
+def digest(text):
+    return base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+
+
+def expected(rows, min_bytes=0):
+    first = {}
+    for page, _, html in rows:
+        if page is not None:
+            first[html or ""] = min(page, first.get(html or "", page))
+    out = []
+    for page, _, html in rows:
+        html = html or ""
+        at = first.get(html)
+        later = at is not None and (page is None or page > at) and len(html.encode()) >= min_bytes
+        out.append((page, len(html.encode()), digest(html), "revisit" if later else "response", at if later else None))
+    return sorted(out, key=repr)
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+
+
+def read(df):
+    names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
+
+
+ROWS = [
+    (3, "http://a/ b\r\nEvil: 1", "<p>same</p>"),
+    (1, "http://a", "<p>same</p>"),
+    (2, None, "<p>same</p>"),
+    (2, None, "<p>same</p>"),
+    (None, "http://n", "<p>same</p>"),
+    (None, "http://n", "only without an id"),
+    (None, "http://n", "only without an id"),
+    (5, "", None),
+    (6, "http://e", ""),
+    (7, "http://l", "ü\r\n\r\nWARC/1.1\r\n" + warc.SEPARATOR * 3 + "x" * 3_000_000),
+    (8, "http://l", "P*M\x18" + "(\xb5/\xfd"),
+]
+
+
+@pytest.mark.parametrize("min_bytes", [0, 12])
+def test_round_trip(spark, min_bytes):
+    df = pages(spark, ROWS).repartition(3)
+    back = warc.archived(df, min_bytes)
+    assert read(back) == expected(ROWS, min_bytes)
+    payloads = {(r.page_id, bytes(r.payload)) for r in back.collect() if r.record_type == "response"}
+    firsts = {(p, (h or "").encode()) for p, _, h in ROWS}
+    assert payloads <= firsts
+    urls = {r.page_id: r.url for r in back.collect()}
+    assert urls[1] == "http://a" and urls[2] == "urn:page:2"
+    assert urls[3] == "http://a/%20b%0D%0AEvil:%201"
+
+
+def test_given_pages(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [tuple(r) for r in df.select("page_id", "url", "html").collect()]
+    copies = df.withColumn("page_id", df["page_id"] + 1_000_000).filter("page_id % 3 = 0")
+    rows += [(i + 1_000_000, u, h) for i, u, h in rows if (i + 1_000_000) % 3 == 0]
+    got = read(warc.archived(df.unionByName(copies)))
+    assert got == expected(rows)
+    assert {r[3] for r in got} == {"response", "revisit"}
+
+
+def test_no_pages(spark):
+    assert warc.archived(pages(spark, ROWS).limit(0)).collect() == []
+
+
+def test_archive_begins_with_its_dictionary(spark, tmp_path):
+    rng = random.Random(0)
+    words = [f"word{i}" for i in range(500)]
+    rows = [(i, f"http://p/{i}", "<html><body>" + " ".join(rng.choices(words, k=300))) for i in range(400)]
+    warc.write_archives(pages(spark, rows).coalesce(1), str(tmp_path / "w"))
+    (file,) = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    content = file.read_bytes()
+    assert content[:4] == bytes([0x5D, 0x2A, 0x4D, 0x18])
+    size = int.from_bytes(content[4:8], "little")
+    assert 1000 < size <= warc.DICTIONARY_BYTES
+    # Any reader that knows the dictionary can read it frame by frame.
+    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(content[8 : 8 + size]))
+    at, records = content.index((0xFD2FB528).to_bytes(4, "little")), []
+    frame = reader.decompressobj()
+    records.append(frame.decompress(content[at:]))
+    assert records[0].startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
+    found = list(warc.archive_records(memoryview(content)))
+    assert len(found) == 400
+    alone = sum(len(zstandard.ZstdCompressor(level=3).compress(r)) for r in found)
+    assert len(content) < alone
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_few_records(n):
+    records = [b"record %d" % i for i in range(n)]
+    archive = b"".join(warc.archive_frames(iter(records)))
+    assert list(warc.archive_records(memoryview(archive))) == records
+
+
+def test_a_cut_archive_is_refused():
+    archive = b"".join(warc.archive_frames(iter([b"a record of some length" * 10])))
+    with pytest.raises(ValueError):
+        list(warc.archive_records(memoryview(archive[:-5])))
+    with pytest.raises(ValueError):
+        list(warc.archive_records(memoryview(b"nothing of the kind")))
