@@ -13,15 +13,17 @@ from barlake.llm.decontamination import decontaminate
 from barlake.llm.jaccard import link_documents
 from barlake.llm.language_model import score_texts
 from barlake.llm.mixing import pareto_mix
-from barlake.llm.simhash import edited_fingerprints
-from barlake.llm.storage import read
+from barlake.llm.simhash import edited_fingerprints, with_near_rows
+from barlake.llm.storage import read, written
 from barlake.llm.substrings import remove_repeated_windows
 from barlake.llm.suffixes import remove_repeated_substrings
 from barlake.llm.warc import archived
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_fingerprints(read(spark, sf_dir, "documents"))
+    """With the number of rows within three bits for a query set: ids divisible by 100."""
+    prints = written(edited_fingerprints(read(spark, sf_dir, "documents")), "prints")
+    return with_near_rows(prints, F.col("doc_id") % 100 == 0).drop("f0", "f1")
 
 
 def _remainder(divisor: int) -> Column:

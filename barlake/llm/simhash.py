@@ -83,49 +83,81 @@ def likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
     return 1 - distance(a, b) / F.lit(float(BITS))
 
 
-def _table_keys(radius: int, spare: int) -> list[Column]:
-    """One key for each choice of ``spare`` blocks out of ``radius + spare``.
+def _block_masks(radius: int, spare: int) -> list[tuple[int, int]]:
+    """One pair of masks for each choice of ``spare`` blocks out of ``radius + spare``.
 
     Fingerprints that differ in ``radius`` bits at most differ in as many blocks at
-    most, so some ``spare`` blocks agree and one of the keys is equal.
+    most, so some ``spare`` blocks agree: under one of the masks they are equal.
     """
     n = radius + spare
     edges = [round(BITS * i / n) for i in range(n + 1)]
-
-    def masked(chosen: tuple[int, ...]) -> Column:
+    masks = []
+    for chosen in combinations(range(n), spare):
         bits = {b for c in chosen for b in range(edges[c], edges[c + 1])}
-        masks = [sum(1 << b for b in range(64) if b + 64 * k in bits) for k in (0, 1)]
-        signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-        return F.xxhash64(*[F.col(h).bitwiseAND(F.lit(m)) for h, m in zip(HALVES, signed)])
+        pair = [sum(1 << b for b in range(64) if b + 64 * k in bits) for k in (0, 1)]
+        masks.append(tuple(m - (1 << 64) if m >> 63 else m for m in pair))
+    return masks
+
+
+def _masked(halves: list[Column], masks: tuple[int, int]) -> list[Column]:
+    return [h.bitwiseAND(F.lit(m)) for h, m in zip(halves, masks)]
 
-    return [masked(chosen) for chosen in combinations(range(n), spare)]
+
+def _tabled(prints: DataFrame, names: tuple[str, str], masks: list[tuple[int, int]]) -> DataFrame:
+    """Distinct fingerprints under a key for each table; ``_table`` is its number."""
+    halves = [F.col(h) for h in HALVES]
+    keys = [
+        F.struct(F.lit(i).alias("t"), F.xxhash64(F.lit(i), *_masked(halves, m)).alias("k"))
+        for i, m in enumerate(masks)
+    ]
+    rows = prints.select(*HALVES).distinct().select("*", F.explode(F.array(*keys)).alias("_e"))
+    renamed = [F.col(h).alias(n) for h, n in zip(HALVES, names)]
+    return rows.select(*renamed, F.col("_e.t").alias("_table"), F.col("_e.k").alias("_key"))
 
 
 def find_within(
-    queries: DataFrame, fingerprints: DataFrame, radius: int = 4, spare: int = 2
+    queries: DataFrame, fingerprints: DataFrame, radius: int = 3, spare: int = 1
 ) -> DataFrame:
     """All fingerprints within ``radius`` bits of each query fingerprint.
 
     Both tables have ``f0``, ``f1``; equal fingerprints are looked at once. Returns
     ``q0``, ``q1``, ``f0``, ``f1``, ``bits``, a row for each pair of distinct
     values, equal ones included. Every fingerprint is put under one key for each of
-    the permuted tables (15 with the defaults, of about 42 bits each); queries look
-    up their own keys, and the distance decides inside the join. The rows that come
-    out are those asked for, once for each table they agree in, then made distinct.
+    the permuted tables (four of 32 bits with the defaults; ``spare=2`` gives more
+    and longer ones, for more than some billion fingerprints); queries look up
+    their own keys. The join itself decides by the distance, and takes a pair in the first
+    of the tables it agrees in, so only what was asked for comes out.
     """
-    tables = _table_keys(radius, spare)
-    keys = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("t"), k.alias("k")) for i, k in enumerate(tables)])
-    )
-    left = queries.select(*HALVES).distinct().select("*", keys.alias("_key"))
-    right = fingerprints.select(*HALVES).distinct().select("*", keys.alias("_key"))
-    left = left.select(F.col("f0").alias("q0"), F.col("f1").alias("q1"), F.col("_key").alias("_q"))
-    bits = distance((F.col("q0"), F.col("q1")), (F.col("f0"), F.col("f1")))
-    return (
-        left.join(right, (F.col("_q") == F.col("_key")) & (bits <= radius))
-        .select("q0", "q1", *HALVES, bits.alias("bits"))
-        .distinct()
+    masks = _block_masks(radius, spare)
+    left = _tabled(queries, ("q0", "q1"), masks)
+    right = _tabled(fingerprints, HALVES, masks).withColumnRenamed("_table", "_other")
+    differ = [F.col(q).bitwiseXOR(F.col(f)) for q, f in zip(("q0", "q1"), HALVES)]
+    agree = [reduce(Column.bitwiseOR, _masked(differ, m)) == 0 for m in masks]
+    first = reduce(lambda rest, i: F.when(agree[i], i).otherwise(rest), range(len(masks) - 1, -1, -1), F.lit(-1))
+    bits = F.bit_count(differ[0]) + F.bit_count(differ[1])
+    same = (F.col("_key") == F.col("_same")) & (F.col("_table") == F.col("_other"))
+    right = right.withColumnRenamed("_key", "_same")
+    found = left.join(right, same & (bits <= radius) & (F.col("_table") == first))
+    return found.select("q0", "q1", *HALVES, bits.alias("bits"))
+
+
+def with_near_rows(
+    prints: DataFrame, queries: Column, radius: int = 3, spare: int = 1
+) -> DataFrame:
+    """``near_rows`` for the rows that ``queries`` is true for, null for the others.
+
+    It is the number of other rows whose fingerprint is within ``radius`` bits.
+    """
+    asked = prints.filter(queries).select(*HALVES)
+    copies = prints.groupBy(*HALVES).agg(F.count(F.lit(1)).alias("_copies"))
+    near = (
+        find_within(asked, prints, radius, spare)
+        .join(copies, list(HALVES))
+        .groupBy(F.col("q0").alias("f0"), F.col("q1").alias("f1"))
+        .agg(F.sum("_copies").alias("_near"))
     )
+    counted = prints.join(near, list(HALVES), "left")
+    return counted.withColumn("near_rows", F.when(queries, F.col("_near") - 1)).drop("_near")
 
 
 def edited_fingerprints(

@@ -6,7 +6,7 @@ import re
 
 import xxhash
 
-from barlake.llm.simhash import edited_fingerprints, find_within, fingerprints
+from barlake.llm.simhash import edited_fingerprints, find_within, fingerprints, with_near_rows
 
 
 def plain(text):
@@ -83,8 +83,10 @@ def test_search_finds_all_within_the_radius(spark):
     rows = [(signed(v & (1 << 64) - 1), signed(v >> 64)) for v in values]
     prints = spark.createDataFrame(rows, "f0 long, f1 long")
     queries = spark.createDataFrame(rows[::3], "f0 long, f1 long")
-    for radius in (0, 3, 4):
-        got = {((r.q0, r.q1), (r.f0, r.f1)): r.bits for r in find_within(queries, prints, radius).collect()}
+    for radius, spare in ((0, 1), (3, 1), (3, 2), (6, 2)):
+        rs = find_within(queries, prints, radius, spare).collect()
+        got = {((r.q0, r.q1), (r.f0, r.f1)): r.bits for r in rs}
+        assert len(got) == len(rs)
         want = {}
         for q in rows[::3]:
             for p in rows:
@@ -94,6 +96,13 @@ def test_search_finds_all_within_the_radius(spark):
         assert got == want
 
 
+def test_near_rows_count_copies(spark):
+    rows = [(i, f, 0) for i, f in enumerate([5, 5, 5, 4, 7, 127, 5, -1])]
+    prints = spark.createDataFrame(rows, "doc_id long, f0 long, f1 long")
+    got = {r.doc_id: r.near_rows for r in with_near_rows(prints, prints["doc_id"] % 2 == 0).collect()}
+    assert got == {0: 5, 1: None, 2: 5, 3: None, 4: 5, 5: None, 6: 5, 7: None}
+
+
 def test_copies_of_a_key_change_nothing(spark):
     rows = [(1, "some words and some more"), (1, "some words and some more"), (2, None)]
     df = spark.createDataFrame(rows, "k long, t string")
