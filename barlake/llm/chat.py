@@ -126,11 +126,11 @@ def _matrices(table: pa.Table) -> np.ndarray:
     return np.array(table.column("costs").to_pylist(), np.int64).reshape(-1, 4, 4)
 
 
-def _joined(table: pa.Table) -> pa.Table:
-    """Segments of a level as one of the next."""
+def _joined(key: tuple, table: pa.Table) -> pa.Table:
+    """Segments of a level as one of the next, whose number the key ends with."""
     table = _sorted(table, "seg")
     costs = _through(_matrices(table)).reshape(-1).tolist()
-    seg = table.column("seg")[0].as_py() >> SEGMENT_BITS
+    seg = key[-1].as_py()
     return pa.table(
         {
             "conv_id": table.column("conv_id")[:1],

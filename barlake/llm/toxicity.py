@@ -108,7 +108,7 @@ def train(
             slope = (guess - label[rows]) / len(rows)
             sums = np.stack([np.bincount(where, f[t], minlength=len(rows)) for f in model.factors.T], 1)
             touched, local = np.unique(t, return_inverse=True)
-            by_term = lambda x: np.bincount(local, x, minlength=len(touched))
+            by_term = lambda x: np.bincount(local, x, minlength=len(touched)) * 1.0
             g_w = by_term(slope[where]) + decay * model.weights[touched]
             g_v = np.stack(
                 [
@@ -162,7 +162,8 @@ def fit(
     repeated is used with each of its texts and labels. Terms are counted by Spark
     over these rows; a few thousand that tell the labels apart are kept, and only
     their numbers come to the driver, where the training runs. Without labels of
-    both kinds the score is their share, one half without any.
+    both kinds, or terms that tell them apart, the score is the share of the toxic
+    ones (half a row added), one half without any.
     """
     rows = labels.select(
         F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label")
@@ -197,7 +198,7 @@ def fit(
     found = np.array([tuple(r) for r in counted.collect()], np.int64).reshape(-1, 3)
     totals = found[found[:, 0] == -1, 1:].sum(0)
     index = select_terms(found[found[:, 0] >= 0], totals)
-    if not totals.all():
+    if not totals.all() or index.max() < 0:
         share = (totals[1] + 0.5) / (totals.sum() + 1)
         return Machine(index, float(np.log(share / (1 - share))), np.zeros(1), np.zeros((1, 1)))
 
