@@ -55,6 +55,14 @@ def _bronze(spark: SparkSession, sf_dir: str, label: str) -> str:
     return warehouse
 
 
+def _land_files(payloads: DataFrame, folder: str) -> None:
+    """Land payloads in the ``files`` layout: one file each, spread over several lines."""
+    spread = F.regexp_replace("value", r"\},", "},\n")
+    one_each = payloads.select(spread.alias("value"))
+    writer = one_each.withColumn("payload", F.xxhash64("value")).write
+    writer.option("maxRecordsPerFile", 1).partitionBy("payload").text(folder)
+
+
 def _land(payloads: DataFrame, folder: str, part: str) -> None:
     """Land payloads in the ``lines`` layout."""
     payloads.write.text(f"{folder}/{part}")
@@ -119,11 +127,16 @@ def daily_one_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bars(spark, sf_dir).drop("batch_id", "partition")
+    """The bar columns that parsing selects, renames and casts."""
+    return normalize_payloads(spark, sf_dir).drop("batch_id", "partition")
 
 
 def bars_with_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bars(spark, sf_dir)
+    """The partition that parsing takes from the time, as the stored table has it."""
+    bars, _ = b.normalize_payloads(_payloads(spark, sf_dir), BATCH)
+    warehouse = new_dir(spark, "partition")
+    b.write_table(bars, b.TRADE, warehouse)
+    return _wall_clock(b.read_table(spark, b.TRADE, warehouse))
 
 
 def bars_with_trade_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +192,27 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(bars)
 
 
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A payload per file, as the default layout has it: many lines, read as one text."""
+    landing = new_dir(spark, "files")
+    _land_files(_payloads(spark, sf_dir), landing)
+    bars, _ = b.normalize_payloads(b.read_payloads(spark, landing), BATCH)
+    return _wall_clock(bars)
+
+
+def payload_repeated_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every time twice in its payload, first with other values: the last one counts."""
+    series = F.regexp_replace("value", r'("[0-9-]+ [0-9:.]+"):\{[^}]*\}', '$1:{"1. open":"-1"}')
+    inner = r"^(.*\{)(\"[0-9-]+ .*)(\}\})$"
+    once = F.regexp_extract(series, inner, 2)
+    twice = F.concat(
+        F.regexp_extract("value", inner, 1), once, F.lit(","), F.regexp_extract("value", inner, 2),
+        F.regexp_extract("value", inner, 3),
+    )
+    payloads = _payloads(spark, sf_dir).select(twice.alias("value"))
+    return _wall_clock(b.normalize_payloads(payloads, BATCH)[0])
+
+
 def payload_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text stage, cast for comparison."""
     events = b.payload_events(_payloads(spark, sf_dir))
@@ -327,7 +361,11 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def union_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bars(spark, sf_dir).unionByName(_bars(spark, sf_dir, batch_id=2))
+    """Two batches of payloads loaded one after the other."""
+    warehouse = new_dir(spark, "batches")
+    for batch_id in (1, 2):
+        b.load_bronze(_payloads(spark, sf_dir), warehouse, batch_id)
+    return _wall_clock(b.read_table(spark, b.TRADE, warehouse))
 
 
 def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +395,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create, fill, query and drop catalog tables; dropped tables keep their files."""
     path = new_dir(spark, "catalog")
-    database = path.rsplit("/", 1)[-1].replace("-", "_")
+    database = _database(path)
     b.create_tables(spark, path, database)
     b.create_silver_tables(spark, path, database)
     b.insert_table(_bars(spark, sf_dir), b.TRADE, database)
@@ -397,6 +435,63 @@ def dedup_bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(b.read_table(spark, b.TRADE, warehouse))
 
 
+def catalog_after_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A session that has read the catalog table sees it rewritten."""
+    warehouse = _bronze(spark, sf_dir, "catalog-dedup")
+    database = _database(warehouse)
+    b.write_table(_sent_again(spark, sf_dir), b.TRADE, warehouse)
+    b.create_tables(spark, warehouse, database)
+    spark.table(f"{database}.trade").count()
+    b.deduplicate_bronze(spark, warehouse, database=database)
+    return _wall_clock(_last_read(spark, f"{database}.trade", b.TRADE, database))
+
+
+def catalog_after_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the incremental load stores is there for SQL users at once."""
+    root = new_dir(spark, "catalog-stream")
+    database = _database(root)
+    b.create_tables(spark, f"{root}/wh", database)
+    b.create_silver_tables(spark, f"{root}/wh", database)
+    _land(_payloads(spark, sf_dir), f"{root}/landing", "a")
+    b.ingest_stream(
+        spark,
+        f"{root}/landing",
+        f"{root}/wh",
+        f"{root}/state",
+        layout="lines",
+        database=database,
+    ).awaitTermination()
+    return _last_read(spark, f"{database}.daily_trades", b.DAILY_TRADES, database)
+
+
+def catalog_recreated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables made anew over folders that are filled already have their rows."""
+    warehouse = _bronze(spark, sf_dir, "recreated")
+    database = _database(warehouse)
+    for _ in range(2):
+        b.create_tables(spark, warehouse, database)
+    return _wall_clock(_last_read(spark, f"{database}.trade", b.TRADE, database))
+
+
+def _database(path: str) -> str:
+    return path.rsplit("/", 1)[-1].replace("-", "_")
+
+
+def _last_read(spark: SparkSession, name: str, table, database: str) -> DataFrame:
+    """A catalog table's rows as SQL reads them, kept beyond the table, which is dropped."""
+    path = new_dir(spark, "last-read")
+    b.write_table(spark.table(name), table, path)
+    b.drop_tables(spark, database)
+    return b.read_table(spark, table, path)
+
+
+def daily_untimed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many bars without a time in a group: the same row however they are dealt out."""
+    untimed = _bars(spark, sf_dir).withColumn("trade_timestamp", F.lit(None).cast("timestamp"))
+    daily = b.daily_rollup(b.dedup_latest(untimed.repartition(7)))
+    return daily.withColumn("trade_date", F.col("trade_date").cast("date"))
+
+
 def dedup_same_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of a bar within one batch: the values decide, not the row order."""
     bars = _bars(spark, sf_dir)
@@ -424,8 +519,8 @@ def replace_days_one_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One symbol replaced, twice; the other symbols of its days stay."""
     warehouse = _stale_silver(spark, sf_dir, "one-symbol")
     bars = b.filter_bars(_bars(spark, sf_dir), symbol=SYMBOL)
-    for _ in range(2):
-        b.replace_days(b.daily_rollup(bars), warehouse)
+    for symbol in (SYMBOL, None):
+        b.replace_days(b.daily_rollup(bars), warehouse, symbol=symbol)
     return b.read_table(spark, b.DAILY_TRADES, warehouse)
 
 
@@ -448,6 +543,58 @@ def end_to_end_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
 
 
+def end_to_end_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill: silver is rolled up from all of bronze, also days the batch has nothing for."""
+    root = new_dir(spark, "backfill")
+    bars = _bars(spark, sf_dir)
+    b.write_table(bars.filter(F.col("partition") != DATE), b.TRADE, f"{root}/wh")
+    day = bars.filter(F.col("partition") == DATE)
+    _land(bars_to_payloads(day), f"{root}/landing", "a")
+    b.run_pipeline(
+        spark,
+        f"{root}/landing",
+        f"{root}/wh",
+        batch_id=BATCH,
+        layout="lines",
+        recompute="all",
+    )
+    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+
+
+def end_to_end_touched_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days appended batch by batch: those a batch has nothing for are not stored again."""
+    root = new_dir(spark, "touched-append")
+    bars = _bars(spark, sf_dir)
+    early = F.col("partition") < DATE
+    for batch_id, part in ((1, bars.filter(early)), (2, bars.filter(~early))):
+        landing = f"{root}/landing-{batch_id}"
+        _land(bars_to_payloads(part), landing, "a")
+        b.run_pipeline(
+            spark, landing, f"{root}/wh", batch_id=batch_id, layout="lines", mode="append"
+        )
+    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+
+
+def end_to_end_raise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that fails its checks stops before the load; one that passes is loaded."""
+    root = new_dir(spark, "raise")
+    spark.createDataFrame([("nothing",)], "value string").write.text(f"{root}/bad")
+    _land(_payloads(spark, sf_dir), f"{root}/good", "a")
+    for batch_id, folder in ((1, "good"), (2, "bad")):
+        try:
+            b.run_pipeline(
+                spark,
+                f"{root}/{folder}",
+                f"{root}/wh",
+                batch_id=batch_id,
+                layout="lines",
+                on_fail="raise",
+            )
+        except b.CheckFailed as error:
+            assert folder == "bad", error
+    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+
+
 def end_to_end_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain appends: loading a folder twice leaves silver with two rows per key."""
     root = new_dir(spark, "append")
@@ -516,6 +663,14 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.read_table(spark, b.DAILY_TRADES, _streamed(spark, sf_dir, "stream"))
 
 
+def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default layout as a stream, bronze and silver; a payload per file."""
+    root = new_dir(spark, "stream-files")
+    _land_files(_payloads(spark, sf_dir), f"{root}/landing")
+    b.ingest_stream(spark, f"{root}/landing", f"{root}/wh", f"{root}/state").awaitTermination()
+    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+
+
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each landed file was loaded exactly once."""
     bars = b.read_table(spark, b.TRADE, _streamed(spark, sf_dir, "stream-bronze"))
@@ -565,6 +720,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lenient_casts": lenient_casts,
         "normalize_payloads": normalize_payloads,
         "landed_payloads": landed_payloads,
+        "landed_files": landed_files,
+        "payload_repeated_times": payload_repeated_times,
         "payload_events": payload_events,
         "payload_overrides": payload_overrides,
         "payload_rejects": payload_rejects,
@@ -590,15 +747,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_latest": dedup_latest,
         "dedup_bronze_table": dedup_bronze_table,
         "dedup_same_batch": dedup_same_batch,
+        "daily_untimed": daily_untimed,
+        "catalog_after_dedup": catalog_after_dedup,
+        "catalog_after_stream": catalog_after_stream,
+        "catalog_recreated": catalog_recreated,
         "replace_days": replace_days,
         "replace_days_one_symbol": replace_days_one_symbol,
         "end_to_end": end_to_end,
         "end_to_end_rerun": end_to_end_rerun,
         "end_to_end_append": end_to_end_append,
+        "end_to_end_all": end_to_end_all,
+        "end_to_end_touched_append": end_to_end_touched_append,
+        "end_to_end_raise": end_to_end_raise,
         "end_to_end_touched": end_to_end_touched,
         "end_to_end_date_symbol": end_to_end_date_symbol,
         "stream_ingest": stream_ingest,
         "stream_bronze": stream_bronze,
+        "stream_files": stream_files,
     }
 
 
@@ -665,6 +830,13 @@ def _zero_sql(dataset: str, metric: str, columns: str, value: str) -> str:
     return _check_sql(dataset, f"{metric}({columns}) = 0", columns, metric, value, "= 0")
 
 
+def _invalid_sql(dataset: str, column: str, source: str, least: int = 0) -> str:
+    below = f"{column} < {least}"
+    value = f"SELECT count(*) FROM {source} WHERE {below}"
+    check = f"invalid_count({below}) = 0"
+    return _check_sql(dataset, check, column, "invalid_count", value, "= 0")
+
+
 def _union(*parts: str) -> str:
     return "\nUNION ALL".join(parts)
 
@@ -684,9 +856,7 @@ def _silver_checks_sql(source: str) -> str:
             f"SELECT count(*) FROM {source} WHERE trade_date IS NULL",
         ),
         *[
-            _zero_sql(
-                "daily_trades", "invalid_count", c, f"SELECT count(*) FROM {source} WHERE {c} < 0"
-            )
+            _invalid_sql("daily_trades", c, source)
             for c in ("daily_volume", "daily_open", "daily_close")
         ],
     )
@@ -750,6 +920,8 @@ SELECT event_id, {_K} AS whole, {_K} AS fraction, CAST(NULL AS INTEGER) AS bad_i
 FROM events""",
         "normalize_payloads": _BARS,
         "landed_payloads": _BARS,
+        "landed_files": _BARS,
+        "payload_repeated_times": _BARS,
         "payload_events": bars_plain,
         "payload_overrides": f"""{_WITH_BARS}
 SELECT batch_id, trade_timestamp, CASE WHEN {for_symbol} THEN 'N/A' ELSE symbol END AS symbol,
@@ -800,12 +972,8 @@ FROM documents""",
         ),
         "dq_invalid_min": _WITH_BARS
         + _union(
-            _zero_sql(
-                "trade", "invalid_count", "volume", "SELECT count(*) FROM bars WHERE volume < 50"
-            ),
-            _zero_sql(
-                "trade", "invalid_count", "open", "SELECT count(*) FROM bars WHERE open < 0"
-            ),
+            _invalid_sql("trade", "volume", "bars", 50),
+            _invalid_sql("trade", "open", "bars"),
         ),
         "dq_bronze_report": _WITH_BARS + dq_bronze,
         "dq_silver_report": _WITH_DAILY + _silver_checks_sql("daily"),
@@ -841,12 +1009,7 @@ faulty AS (
                 "l_orderkey",
                 _repeated("lineitem", "l_orderkey"),
             ),
-            _zero_sql(
-                "lineitem",
-                "invalid_count",
-                "l_quantity",
-                "SELECT count(*) FROM lineitem WHERE l_quantity < 10",
-            ),
+            _invalid_sql("lineitem", "l_quantity", "lineitem", 10),
         ),
         "dq_view_sql": f"""{_WITH_BARS}
 SELECT symbol, count(*) AS n, max(volume) AS max_volume FROM bars GROUP BY symbol""",
@@ -866,6 +1029,14 @@ FROM bars WHERE {on_date}""",
         "catalog_tables": _DAILY,
         "dedup_latest": latest,
         "dedup_bronze_table": latest,
+        "catalog_after_dedup": latest,
+        "catalog_after_stream": _DAILY,
+        "catalog_recreated": _BARS,
+        "daily_untimed": f"""{_WITH_BARS}
+SELECT CAST(NULL AS DATE) AS trade_date, symbol, min(open) AS daily_open,
+       max(close) AS daily_close, max(high) AS daily_high, min(low) AS daily_low,
+       CAST(sum(volume) AS BIGINT) AS daily_volume
+FROM (SELECT DISTINCT symbol, open, high, low, close, volume FROM bars) GROUP BY symbol""",
         "dedup_same_batch": f"""{_WITH_BARS},
 versions AS (
   SELECT * REPLACE (CAST(NULL AS DOUBLE) AS open) FROM bars
@@ -883,9 +1054,13 @@ FROM daily""",
         "end_to_end": _DAILY,
         "end_to_end_rerun": _DAILY,
         "end_to_end_append": f"{_DAILY} UNION ALL SELECT * FROM daily",
+        "end_to_end_all": _DAILY,
         "end_to_end_touched": _DAILY,
+        "end_to_end_touched_append": _DAILY,
+        "end_to_end_raise": _DAILY,
         "end_to_end_date_symbol": f"""{_DAILY}
 WHERE trade_date = DATE '{DATE}' AND {for_symbol}""",
         "stream_ingest": _DAILY,
+        "stream_files": _DAILY,
         "stream_bronze": f"{_WITH_BARS} SELECT * EXCLUDE (trade_date, batch_id) FROM bars",
     }

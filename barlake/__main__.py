@@ -36,9 +36,8 @@ def arguments() -> argparse.ArgumentParser:
         job.add_argument("--format", default="parquet")
     run.add_argument("--date", help="roll up this day only (yyyy-MM-dd)")
     run.add_argument("--symbol", help="roll up this symbol only")
-    run.add_argument("--recompute", choices=("all", "touched"), default="all")
+    run.add_argument("--recompute", choices=("all", "touched"), default="touched")
     run.add_argument("--mode", choices=("replace", "append"), default="replace")
-    run.add_argument("--database", help="catalog tables to tell about new days")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--max-files", type=int, help="payload files per micro-batch")
 
@@ -47,6 +46,9 @@ def arguments() -> argparse.ArgumentParser:
     dedup.add_argument("--date", help="this day only (yyyy-MM-dd)")
     dedup.add_argument("--format", default="parquet")
 
+    for job in (run, stream, dedup):
+        job.add_argument("--database", help="catalog tables to tell about the days written")
+
     csv = jobs.add_parser("csv", help="landed payloads to CSV, values as they are")
     csv.add_argument("--landing", required=True)
     csv.add_argument("--layout", choices=LAYOUTS, default="files")
@@ -86,9 +88,10 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
             on_fail=args.on_fail,
             fmt=args.format,
             max_files_per_trigger=args.max_files,
+            database=args.database,
         ).awaitTermination()
     elif args.job == "dedup":
-        b.deduplicate_bronze(spark, args.warehouse, args.date, args.format)
+        b.deduplicate_bronze(spark, args.warehouse, args.date, args.format, args.database)
     else:
         raw = b.read_payloads(spark, args.landing, args.layout)
         print(b.export_bars_csv(raw, args.folder))

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # A number with a decimal point, surrounded by blanks or control characters.
 # Group 1 is what is left of it after truncation towards zero; it may have no
@@ -36,11 +35,3 @@ def text_to_timestamp(text: Column) -> Column:
     """Text to TIMESTAMP; text without a zone is read in the session time zone."""
     return text.try_cast("timestamp")
 
-
-def earliest(ts: Column, dtype: T.DataType) -> Column:
-    """``ts`` with NULL moved before every real time, as ascending order does.
-
-    ``min_by``/``max_by`` skip rows whose ordering value is NULL; ordering by
-    this column instead keeps such rows, and keeps the plan a hash aggregate.
-    """
-    return F.coalesce(ts, F.lit("0001-01-01 00:00:00").cast(dtype))

@@ -43,13 +43,16 @@ def _given_or(bar: Column, key: str, default: Column) -> Column:
 def _last_of_repeated(entries: Column) -> Column:
     """A map without repeated keys: of equal ones the last counts, as in JSON readers.
 
-    The search for later equal keys runs only for maps that have some, such as
-    the hour that wall clocks show twice.
+    Only maps that have some are put in order, such as those of the hour that wall
+    clocks show twice: keys are sorted with their places, each is set beside the one
+    after it, and those followed by an equal key go.
     """
-    keys = F.map_keys(entries)
-    kept = F.filter(
-        F.map_entries(entries),
-        lambda entry, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), entry["key"]),
+    keys, values = F.map_keys(entries), F.map_values(entries)
+    placed = F.array_sort(F.transform(keys, lambda key, i: F.struct(key.alias("k"), i.alias("i"))))
+    beside = F.arrays_zip(placed.alias("a"), F.slice(placed, 2, F.size(keys)).alias("b"))
+    last = F.filter(beside, lambda pair: ~pair["a"]["k"].eqNullSafe(pair["b"]["k"]))
+    kept = F.transform(
+        last, lambda pair: F.struct(pair["a"]["k"], F.element_at(values, pair["a"]["i"] + 1))
     )
     repeated = F.size(F.array_distinct(keys)) < F.size(keys)
     return F.when(repeated, F.map_from_entries(kept)).otherwise(entries)

@@ -61,6 +61,8 @@ class Check:
     @property
     def text(self) -> str:
         subject = f"{self.metric}({self.column_list})" if self.columns else self.metric
+        if self.valid_min is not None:
+            subject = f"{self.metric}({self.column_list} < {self.valid_min:g})"
         return f"{subject} {self.comparator} {self.threshold:g}"
 
 

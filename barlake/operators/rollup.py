@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.functions.casts import earliest
-
+# The columns of the daily table, in the order rows are given.
 DAILY_COLUMNS = [
     "trade_date",
     "symbol",
@@ -26,10 +25,6 @@ def with_trade_date(bars: DataFrame) -> DataFrame:
     return bars.withColumn("trade_date", F.to_date("trade_timestamp"))
 
 
-def _time_order(bars: DataFrame) -> Column:
-    return earliest(F.col("trade_timestamp"), bars.schema["trade_timestamp"].dataType)
-
-
 def daily_rollup(bars: DataFrame) -> DataFrame:
     """One row per ``(trade_date, symbol)``: open, close, high, low, volume.
 
@@ -37,14 +32,21 @@ def daily_rollup(bars: DataFrame) -> DataFrame:
     row per group and input task, so a symbol that holds most of the bars costs
     no more than any other. The first and last bar keep their NULLs; high, low
     and volume skip them. The result is not sorted: sorting is for display.
+
+    Bars without a time come before all others. Several of them in a group have no
+    order, so their smallest open and, where no bar has a time, their largest close
+    counts, whatever the partitioning.
     """
     bars = with_trade_date(bars)
-    when = _time_order(bars)
+    when = F.col("trade_timestamp")
+    untimed = F.count_if(when.isNull()) > 0
+    first = F.when(untimed, F.min(F.when(when.isNull(), F.col("open"))))
+    last = F.when(F.count(when) > 0, F.max_by("close", when))
     return (
         bars.groupBy("trade_date", "symbol")
         .agg(
-            F.min_by("open", when).alias("daily_open"),
-            F.max_by("close", when).alias("daily_close"),
+            first.otherwise(F.min_by("open", when)).alias("daily_open"),
+            last.otherwise(F.max("close")).alias("daily_close"),
             F.max("high").alias("daily_high"),
             F.min("low").alias("daily_low"),
             F.sum("volume").alias("daily_volume"),
@@ -60,6 +62,9 @@ def annotate_daily(bars: DataFrame) -> DataFrame:
     whole group to one task, whereas the aggregate is combined before the
     shuffle and the join (one row per group on the right side) is broadcast
     when small and split by adaptive execution when a group is hot.
+
+    The bars are read twice, once only the columns that are rolled up: pass a
+    stored table rather than a plan that is dear to evaluate.
     """
     bars = with_trade_date(bars)
     daily = daily_rollup(bars).select(
@@ -79,6 +84,18 @@ def daily_distinct(annotated: DataFrame) -> DataFrame:
     return annotated.select(*DAILY_COLUMNS).distinct()
 
 
+def _identity() -> list[Column]:
+    """What makes two bars the same one: symbol and time, without a time the values."""
+    unknown_time = F.when(F.col("trade_timestamp").isNull(), F.struct(*_VALUES))
+    return [F.col("symbol"), F.col("trade_timestamp"), unknown_time.alias("_untimed")]
+
+
+def days_with_repeats(bars: DataFrame) -> DataFrame:
+    """``partition`` of stored bars that are there more than once, with repeats."""
+    counts = bars.groupBy("partition", *_identity()).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter("_n > 1").select("partition")
+
+
 def dedup_latest(bars: DataFrame) -> DataFrame:
     """One bar per ``(symbol, trade_timestamp)``: the one of the latest batch.
 
@@ -89,8 +106,7 @@ def dedup_latest(bars: DataFrame) -> DataFrame:
     ``row_number() = 1`` lets the optimizer cut each group to one row per task
     before the shuffle, so a bar that was sent many times is no hot key.
     """
-    unknown_time = F.when(F.col("trade_timestamp").isNull(), F.struct(*_VALUES))
-    window = Window.partitionBy("symbol", "trade_timestamp", unknown_time).orderBy(
+    window = Window.partitionBy(*_identity()).orderBy(
         F.desc("batch_id"), *[F.desc(c) for c in _VALUES]
     )
     return (

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from barlake.operators.normalize import parse_payloads, payload_events, split_parsed
 from barlake.operators.quality import enforce, run_checks
-from barlake.operators.rollup import daily_rollup, dedup_latest
+from barlake.operators.rollup import daily_rollup, days_with_repeats, dedup_latest
 from barlake.schemas import DAILY_TRADES, REJECTS, TRADE
 from barlake.sources.catalog import sync_partitions
 from barlake.sources.payloads import read_payloads
-from barlake.sources.staging import staged
+from barlake.sources.staging import path_exists, staged
 from barlake.sources.tables import (
     distinct_days,
     filter_bars,
@@ -34,9 +37,8 @@ class BronzeLoad:
     batch_id: int
     checks: list[Row]
     rejected: int
-    # Days the batch has bars for (None among them for bars without a time); None
-    # when they were not asked for or are too many to list.
-    days: list[str | None] | None
+    # Days the batch has bars for, while they are staged (see ``loaded``).
+    days: DataFrame | None = None
 
 
 @dataclass
@@ -47,9 +49,75 @@ class PipelineResult:
     silver_checks: list[Row] = field(default_factory=list)
 
 
-def new_batch_id() -> int:
-    """Epoch seconds, taken once per batch."""
-    return int(time.time())
+def _last_id_path(warehouse: str) -> str:
+    return f"{warehouse.rstrip('/')}/_last_batch_id"
+
+
+def new_batch_id(spark: SparkSession, warehouse: str, fmt: str = "parquet") -> int:
+    """Epoch seconds, taken once per batch, but always above the last batch's id.
+
+    The last id is kept in a file beside the tables; where that is missing, it is
+    looked up in bronze.
+    """
+    last = None
+    if path_exists(spark, f"{_last_id_path(warehouse)}/_SUCCESS"):
+        last = spark.read.schema("id long").parquet(_last_id_path(warehouse)).agg(F.max("id")).first()[0]
+    if last is None and path_exists(spark, TRADE.path(warehouse)):
+        last = read_table(spark, TRADE, warehouse, fmt=fmt).agg(F.max("batch_id")).first()[0]
+    return max(int(time.time()), (last or 0) + 1)
+
+
+def _remember_id(spark: SparkSession, warehouse: str, batch_id: int) -> None:
+    spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(
+        _last_id_path(warehouse)
+    )
+
+
+@contextmanager
+def loaded(
+    raw: DataFrame,
+    warehouse: str,
+    batch_id: int | None = None,
+    on_fail: str = "report",
+    fmt: str = "parquet",
+    database: str | None = None,
+    again: bool = False,
+) -> Iterator[BronzeLoad]:
+    """Load a batch as :func:`load_bronze` does; the days it has bars for stay staged inside.
+
+    With ``again`` some of the batch may have been stored before, under the same id:
+    its days are written anew without those rows.
+    """
+    spark = raw.sparkSession
+    if batch_id is None:
+        batch_id = new_batch_id(spark, warehouse, fmt)
+    with staged(parse_payloads(raw, batch_id), "batch", warehouse) as parsed:
+        bars, rejects = split_parsed(parsed)
+        checks = enforce(run_checks(bars, "trade"), on_fail)
+        _remember_id(spark, warehouse, batch_id)
+        with staged(distinct_days(bars, "partition"), "days", warehouse) as days:
+            if again and path_exists(spark, TRADE.path(warehouse)):
+                stored = read_table(spark, TRADE, warehouse, fmt=fmt)
+                others = on_days(stored, "partition", days).filter(F.col("batch_id") != batch_id)
+                with staged(others.unionByName(bars), "again", warehouse, guards=True) as rows:
+                    write_table(rows, TRADE, warehouse, "overwrite_days", fmt)
+            else:
+                write_table(bars, TRADE, warehouse, "append", fmt)
+            rejected = rejects.count()
+            if rejected:
+                log.warning("batch %d: %d payloads rejected", batch_id, rejected)
+                if not (again and _has_rejects(spark, warehouse, batch_id, fmt)):
+                    write_table(rejects, REJECTS, warehouse, "append", fmt)
+            if database is not None:
+                sync_partitions(spark, TRADE, database, fmt, days)
+            yield BronzeLoad(batch_id, checks, rejected, days)
+
+
+def _has_rejects(spark: SparkSession, warehouse: str, batch_id: int, fmt: str) -> bool:
+    if not path_exists(spark, REJECTS.path(warehouse)):
+        return False
+    mine = F.col("batch_id") == batch_id
+    return not read_table(spark, REJECTS, warehouse, mine, fmt).isEmpty()
 
 
 def load_bronze(
@@ -58,39 +126,41 @@ def load_bronze(
     batch_id: int | None = None,
     on_fail: str = "report",
     fmt: str = "parquet",
-    list_days: bool = False,
+    database: str | None = None,
 ) -> BronzeLoad:
     """Parse, check and append one batch of payloads; rejects go to their own table.
 
     The parsed batch is staged, so JSON is parsed once although bars are checked,
     then written, and rejects are written too. With ``on_fail="raise"`` nothing is
-    loaded when a check fails.
+    loaded when a check fails. With ``database`` the catalog table is told about
+    the days written.
     """
-    batch_id = new_batch_id() if batch_id is None else batch_id
-    with staged(parse_payloads(raw, batch_id), "batch") as parsed:
-        bars, rejects = split_parsed(parsed)
-        checks = enforce(run_checks(bars, "trade"), on_fail)
-        write_table(bars, TRADE, warehouse, "append", fmt)
-        rejected = rejects.count()
-        if rejected:
-            log.warning("batch %d: %d payloads rejected", batch_id, rejected)
-            write_table(rejects, REJECTS, warehouse, "append", fmt)
-        days = distinct_days(bars, "partition") if list_days else None
-        return BronzeLoad(batch_id, checks, rejected, days)
+    with loaded(raw, warehouse, batch_id, on_fail, fmt, database) as load:
+        return BronzeLoad(load.batch_id, load.checks, load.rejected)
 
 
 def deduplicate_bronze(
-    spark: SparkSession, warehouse: str, date: str | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    warehouse: str,
+    date: str | None = None,
+    fmt: str = "parquet",
+    database: str | None = None,
 ) -> None:
-    """Rewrite bronze, or one day of it, without repeated bars.
+    """Rewrite the days of bronze that have repeated bars, or one such day, without them.
 
     Feeds that send a whole series again every day make bronze grow by copies;
-    the roll-up skips them, this drops them and merges the small files of many
-    loads. Days are replaced one by one as the job commits.
+    the roll-up skips them, this drops them. The days are found by an aggregate over
+    the bars' identities; only those are staged and replaced, one by one as the job
+    commits, and days without repeats keep their files. If that fails, the staged
+    rows are kept.
     """
     bars = filter_bars(read_table(spark, TRADE, warehouse, fmt=fmt), date)
-    with staged(dedup_latest(bars), "dedup") as rows:
-        write_table(rows, TRADE, warehouse, "overwrite_days", fmt)
+    with staged(distinct_days(days_with_repeats(bars), "partition"), "repeats", warehouse) as days:
+        kept = dedup_latest(on_days(bars, "partition", days))
+        with staged(kept, "dedup", warehouse, guards=True) as rows:
+            write_table(rows, TRADE, warehouse, "overwrite_days", fmt)
+        if database is not None:
+            sync_partitions(spark, TRADE, database, fmt, days)
 
 
 def refresh_silver(
@@ -98,28 +168,32 @@ def refresh_silver(
     warehouse: str,
     date: str | None = None,
     symbol: str | None = None,
-    days: list[str | None] | None = None,
+    days: DataFrame | None = None,
     mode: str = "replace",
     on_fail: str = "report",
     fmt: str = "parquet",
+    database: str | None = None,
 ) -> list[Row]:
-    """Recompute silver from bronze: everything, or a day, symbol or list of days.
+    """Recompute silver from bronze: everything, or a day, a symbol, or staged ``days``.
 
     ``mode`` is ``replace`` (re-runnable) or ``append``. Repeated bars are
-    removed first, so a bar sent twice does not count twice. Returns the results
-    of the silver checks.
+    removed first, so a bar sent twice does not count twice. With ``database`` the
+    catalog table is told about the days written. Returns the results of the silver
+    checks.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be 'replace' or 'append', not {mode!r}")
     bars = read_bars(spark, warehouse, date, symbol, fmt)
     if days is not None:
         bars = on_days(bars, "partition", days)
-    with staged(daily_rollup(dedup_latest(bars)), "daily") as daily:
+    with staged(daily_rollup(dedup_latest(bars)), "daily", warehouse) as daily:
         checks = enforce(run_checks(daily, "daily_trades"), on_fail)
         if mode == "append":
             write_table(daily, DAILY_TRADES, warehouse, "append", fmt)
         else:
-            replace_days(daily, warehouse, whole_days=not symbol, fmt=fmt, written=True)
+            replace_days(daily, warehouse, not symbol, fmt, written=True, symbol=symbol or None)
+        if database is not None:
+            sync_partitions(spark, DAILY_TRADES, database, fmt, distinct_days(daily, "trade_date"))
         return checks
 
 
@@ -131,7 +205,7 @@ def run_pipeline(
     symbol: str | None = None,
     batch_id: int | None = None,
     layout: str = "files",
-    recompute: str = "all",
+    recompute: str = "touched",
     mode: str = "replace",
     on_fail: str = "report",
     fmt: str = "parquet",
@@ -140,19 +214,17 @@ def run_pipeline(
     """Landed payloads to bronze to silver.
 
     ``date`` and ``symbol`` restrict the silver step, not the load. Without them
-    ``recompute="all"`` rolls up all of bronze; ``"touched"`` only the days this
-    batch has bars for, which gives the same table at a fraction of the reading
-    as long as silver was kept up by earlier runs. With ``database`` the catalog
-    tables of that name are told about new days.
+    ``recompute="touched"`` rolls up only the days this batch has bars for, which is
+    all that changes as long as silver was kept up by earlier runs; ``"all"`` rolls up
+    the whole of bronze, for a backfill. With ``database`` the catalog tables of that
+    name are told about the days written.
     """
     if recompute not in ("all", "touched"):
         raise ValueError(f"recompute must be 'all' or 'touched', not {recompute!r}")
     raw = read_payloads(spark, landing, layout)
-    load = load_bronze(raw, warehouse, batch_id, on_fail, fmt, list_days=recompute == "touched")
-    silver = refresh_silver(spark, warehouse, date, symbol, load.days, mode, on_fail, fmt)
-    if database is not None:
-        for table in (TRADE, DAILY_TRADES):
-            sync_partitions(spark, table, database, fmt, load.days)
+    with loaded(raw, warehouse, batch_id, on_fail, fmt, database) as load:
+        days = load.days if recompute == "touched" else None
+        silver = refresh_silver(spark, warehouse, date, symbol, days, mode, on_fail, fmt, database)
     return PipelineResult(load.batch_id, load.rejected, load.checks, silver)
 
 

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# Names, types and order of the columns of the two tables.
+
 # Bronze: one row per intraday bar, in table column order.
 BAR_SCHEMA = T.StructType(
     [

@@ -55,27 +55,52 @@ def drop_tables(spark: SparkSession, database: str = "barlake") -> None:
         spark.sql(f"DROP DATABASE IF EXISTS {_quoted(database)}")
 
 
+#: Days that one statement announces.
+_DAYS_AT_ONCE = 500
+
+
 def sync_partitions(
     spark: SparkSession,
     table: Table,
     database: str = "barlake",
     fmt: str = "parquet",
-    days: list | None = None,
+    days: DataFrame | None = None,
 ) -> None:
     """Make days written by path visible to the catalog table.
 
-    With ``days`` (texts as in the partition folders) only those are added;
-    otherwise, or when bars without a day are among them, all folders are listed.
+    With ``days`` (``_day``, as ``distinct_days`` gives them) those are added, which
+    the driver goes through one by one, as the catalog holds one entry for each;
+    otherwise all folders are listed. Files that a rewrite has replaced are forgotten.
     """
-    if fmt == "delta":
-        return
     name = f"{_quoted(database)}.{table.name}"
-    if days is None or None in days:
+    if fmt != "delta":
+        if days is None:
+            spark.catalog.recoverPartitions(name)
+        else:
+            _announce(spark, table, name, days)
+    spark.catalog.refreshTable(name)
+
+
+def _announce(spark: SparkSession, table: Table, name: str, days: DataFrame) -> None:
+    undated, held = False, []
+
+    def add() -> None:
+        if held:
+            specs = " ".join(f"PARTITION ({table.partition}='{day}')" for day in held)
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+            held.clear()
+
+    for row in days.toLocalIterator():
+        if row["_day"] == "":
+            undated = True
+            continue
+        held.append(row["_day"])
+        if len(held) == _DAYS_AT_ONCE:
+            add()
+    add()
+    if undated:
+        # The folder of rows without a day has no name that a statement could give.
         spark.catalog.recoverPartitions(name)
-    elif days:
-        specs = " ".join(f"PARTITION ({table.partition}='{day}')" for day in sorted(days))
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
-        spark.catalog.refreshTable(name)
 
 
 def insert_table(df: DataFrame, table: Table, database: str = "barlake") -> None:

@@ -7,34 +7,34 @@ back column by column.
 
 from __future__ import annotations
 
-import tempfile
+import logging
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def staging_root(spark: SparkSession) -> str:
+def staging_root(spark: SparkSession, warehouse: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` or ``setCheckpointDir``.
 
-    Only a local session, as in tests, may do without it: it gets a temporary
-    folder of its own, kept for the rest of the session.
+    Without either it is ``_staging`` beside the tables, which all executors reach
+    too: under ``warehouse``, or Spark's own warehouse folder.
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="barlake-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+        beside = warehouse or spark.conf.get("spark.sql.warehouse.dir")
+        root = f"{beside.rstrip('/')}/_staging"
     return root.rstrip("/")
 
 
-def new_dir(spark: SparkSession, label: str) -> str:
+def new_dir(spark: SparkSession, label: str, warehouse: str | None = None) -> str:
     """A path under the staging folder that nothing uses yet."""
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark, warehouse)}/{label}-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -47,18 +47,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)
 
 
 @contextmanager
-def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """Write ``df`` once and yield it as read back; the copy is removed at exit."""
+def staged(
+    df: DataFrame, label: str, warehouse: str | None = None, guards: bool = False
+) -> Iterator[DataFrame]:
+    """Write ``df`` once and yield it as read back; the copy is removed at exit.
+
+    With ``guards`` it holds rows of a table that is overwritten meanwhile. If that
+    fails once the copy is complete, the copy may be the only one left of some rows:
+    it is kept, and the error says where.
+    """
     spark = df.sparkSession
-    path = new_dir(spark, label)
+    path = new_dir(spark, label, warehouse)
+    complete = False
     try:
         df.write.parquet(path)
+        complete = True
         yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        _remove(spark, path)
+    except BaseException as error:
+        if guards and complete:
+            note = f"the rows being written are kept in {path}"
+            error.add_note(note)
+            log.error(note)
+        else:
+            remove(spark, path)
+        raise
+    remove(spark, path)

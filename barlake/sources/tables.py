@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from barlake.schemas import DAILY_TRADES, TRADE, Table
 from barlake.sources.staging import path_exists, staged
 
-# Days are passed on as literals up to this many (some ten years of trading
-# days); beyond it they stay a DataFrame.
-MAX_DAY_LITERALS = 3660
-
 
 def read_table(
     spark: SparkSession,
@@ -68,17 +64,27 @@ def read_bars(
     return bars.withColumn("trade_date", F.col("partition").cast("date"))
 
 
-def distinct_days(df: DataFrame, column: str) -> list | None:
-    """The values of a partition column, or None when there are too many to list."""
-    rows = df.select(column).distinct().limit(MAX_DAY_LITERALS + 1).collect()
-    return [row[0] for row in rows] if len(rows) <= MAX_DAY_LITERALS else None
+def _day_key(column: str) -> Column:
+    """A partition value as text that is never NULL, so that plain equality finds it."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def distinct_days(df: DataFrame, column: str) -> DataFrame:
+    """The values of a partition column, as ``_day`` (text, empty for NULL).
+
+    To be staged before :func:`on_days` reads it, so that it is worked out once.
+    """
+    return df.select(_day_key(column).alias("_day")).distinct()
+
 
+def on_days(df: DataFrame, column: str, days: DataFrame) -> DataFrame:
+    """Rows of the given days, however many those are; prunes folders.
 
-def on_days(df: DataFrame, column: str, days: list) -> DataFrame:
-    """Rows of the listed days, NULL included if listed; prunes folders."""
-    known = [day for day in days if day is not None]
-    wanted = F.col(column).isin(known)
-    return df.filter(wanted | F.col(column).isNull() if len(known) < len(days) else wanted)
+    A semi join. Spark prunes folders by one at run time if the condition is a plain
+    equality and the days carry a comparison filter; it is there for that.
+    """
+    days = days.filter(F.col("_day") >= "")
+    return df.join(days, _day_key(column) == F.col("_day"), "left_semi")
 
 
 def aligned(df: DataFrame, table: Table) -> DataFrame:
@@ -125,42 +131,46 @@ def replace_days(
     whole_days: bool = False,
     fmt: str = "parquet",
     written: bool = False,
+    symbol: str | None = None,
 ) -> None:
     """Store recomputed daily rows in place of the ones they recompute.
 
     Repeating it changes nothing, unlike an append. With ``whole_days`` the new
     rows are all there is for their days, and the stored table is not read.
-    Otherwise other symbols of those days are kept: they are read, joined
-    null-safely (a NULL symbol or day must match itself) and written again. Only
-    the folders of those days are read.
-
-    The rows to write are put in the shared staging folder first, because the
-    folders they are read from are the ones replaced; so are the new rows, which
-    are read several times, unless they are ``written`` already. Days are
-    published one by one as the job commits; one writer at a time is assumed.
+    Otherwise other symbols of those days are kept: their rows are read, from the
+    folders of those days alone, and written again. With ``symbol`` all new rows are
+    of that one and a filter tells the others; without, a null-safe join does (a NULL
+    symbol or day must match itself).
+
+    The rows to write are staged first, because the folders they are read from are
+    the ones replaced; so are the new rows, which are read several times, unless they
+    are ``written`` already. Days are published one by one as the job commits; one
+    writer at a time is assumed. If publishing fails, the staged rows are kept.
     """
     spark = new.sparkSession
     if whole_days or not path_exists(spark, DAILY_TRADES.path(warehouse)):
         write_table(new, DAILY_TRADES, warehouse, "overwrite_days", fmt)
         return
     new = aligned(new, DAILY_TRADES)
-    with nullcontext(new) if written else staged(new, "replace-new") as fresh:
-        kept = _not_recomputed(fresh, read_table(spark, DAILY_TRADES, warehouse, fmt=fmt))
-        with staged(kept.unionByName(fresh), "replace-days") as rows:
-            write_table(rows, DAILY_TRADES, warehouse, "overwrite_days", fmt)
+    with nullcontext(new) if written else staged(new, "replace-new", warehouse) as fresh:
+        with staged(distinct_days(fresh, "trade_date"), "replace-of", warehouse) as days:
+            stored = read_table(spark, DAILY_TRADES, warehouse, fmt=fmt)
+            affected = on_days(stored, "trade_date", days)
+            if symbol is not None:
+                kept = affected.filter(~F.col("symbol").eqNullSafe(F.lit(symbol)))
+            else:
+                kept = _not_recomputed(fresh, affected)
+            rows = kept.unionByName(fresh)
+            with staged(rows, "replace-days", warehouse, guards=True) as rows:
+                write_table(rows, DAILY_TRADES, warehouse, "overwrite_days", fmt)
 
 
 def _not_recomputed(fresh: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored rows of the days of ``fresh`` whose ``(trade_date, symbol)`` is not in it."""
+    """Stored rows whose ``(trade_date, symbol)`` is not in ``fresh``."""
     keys = fresh.select(F.col("trade_date").alias("_day"), F.col("symbol").alias("_symbol"))
     same_day = stored["trade_date"].eqNullSafe(F.col("_day"))
     same_symbol = stored["symbol"].eqNullSafe(F.col("_symbol"))
-    days = distinct_days(fresh, "trade_date")
-    if days is None:
-        affected = stored.join(keys.select("_day").distinct(), same_day, "left_semi")
-    else:
-        affected = on_days(stored, "trade_date", days)
-    return affected.join(keys, same_day & same_symbol, "left_anti")
+    return stored.join(keys, same_day & same_symbol, "left_anti")
 
 
 def write_csv(events: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.plans.pipeline import load_bronze, new_batch_id, refresh_silver
+from barlake.plans.pipeline import loaded, new_batch_id, refresh_silver
 from barlake.sources.payloads import payload_stream
+from barlake.sources.staging import path_exists
+
+
+def _id_of(spark: SparkSession, checkpoint: str, epoch: int, warehouse: str, fmt: str):
+    """The batch id of a micro-batch, and whether it was given one before.
+
+    It is kept beside the stream's own state before anything is loaded, so a
+    micro-batch that is repeated after a failure has the same one again.
+    """
+    path = f"{checkpoint.rstrip('/')}/batch_ids/{epoch}"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.schema("id long").parquet(path).first()[0], True
+    batch_id = new_batch_id(spark, warehouse, fmt)
+    spark.range(batch_id, batch_id + 1, 1, 1).write.mode("overwrite").parquet(path)
+    return batch_id, False
 
 
 def ingest_stream(
@@ -20,27 +35,34 @@ def ingest_stream(
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
+    database: str | None = None,
 ) -> StreamingQuery:
     """Start loading new payload files; by default stop when all are loaded.
 
-    Each micro-batch is appended to bronze under its own batch id and, with
-    ``refresh``, the days it has bars for are recomputed in silver, which is how
-    late bars are taken in: no event-time state is kept. A micro-batch that is
-    repeated after a failure appends its bars again; they are removed as
-    repeats when the day is recomputed.
+    Each micro-batch goes to bronze under its own batch id and, with ``refresh``,
+    the days it has bars for are recomputed in silver, which is how late bars are
+    taken in: no event-time state is kept. A micro-batch that is repeated after a
+    failure replaces what it had stored. With ``database`` the catalog tables are
+    told about the days written.
+
+    With ``on_fail="raise"`` a batch that fails its checks stops the stream, and
+    again at each start, until its files are mended or the policy is changed.
     """
-    last_id = 0
 
-    def load(batch: DataFrame, _epoch: int) -> None:
-        nonlocal last_id
+    def load(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
         # The stream's own 0, 1, 2... would count as older than any batch load.
-        # Two micro-batches within a second must still differ: the later one wins.
-        last_id = max(new_batch_id(), last_id + 1)
-        loaded = load_bronze(batch, warehouse, last_id, on_fail, fmt, list_days=refresh)
-        if refresh:
-            refresh_silver(
-                batch.sparkSession, warehouse, days=loaded.days, on_fail=on_fail, fmt=fmt
-            )
+        batch_id, again = _id_of(session, checkpoint, epoch, warehouse, fmt)
+        with loaded(batch, warehouse, batch_id, on_fail, fmt, database, again) as done:
+            if refresh:
+                refresh_silver(
+                    session,
+                    warehouse,
+                    days=done.days,
+                    on_fail=on_fail,
+                    fmt=fmt,
+                    database=database,
+                )
 
     return (
         payload_stream(spark, landing, layout, max_files_per_trigger)

@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 import time
 from datetime import date
 
@@ -10,6 +11,7 @@ from pyspark.errors import StreamingQueryException
 
 import barlake as b
 from barlake.__main__ import main
+from barlake.plans import pipeline
 from barlake.sources import staging, tables
 from barlake.streaming import ingest
 
@@ -134,15 +136,17 @@ def test_one_symbol_corrected(spark, landing, tmp_path):
 
 def test_touched_reads_only_its_days(spark, landing, tmp_path):
     w = str(tmp_path / "wh")
-    load = b.load_bronze(b.read_payloads(spark, str(landing)), w, 1, list_days=True)
-    assert sorted(load.days) == ["2024-01-02", "2024-01-03"]
-    text = (
-        tables.on_days(b.read_bars(spark, w), "partition", ["2024-01-02"])
-        ._jdf.queryExecution()
-        .executedPlan()
-        .toString()
-    )
-    assert "2024-01-02" in text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    with pipeline.loaded(b.read_payloads(spark, str(landing)), w, 1) as load:
+        assert sorted(r[0] for r in load.days.collect()) == ["2024-01-02", "2024-01-03"]
+    b.run_pipeline(spark, str(landing), w, batch_id=2)
+    days = spark.createDataFrame([("2024-01-02",), ("",)], "_day string")
+    for table, column in ((b.TRADE, "partition"), (b.DAILY_TRADES, "trade_date")):
+        with staging.staged(days, "days") as stored:
+            rows = tables.on_days(b.read_table(spark, table, w), column, stored)
+            assert {str(r[column]) for r in rows.collect()} == {"2024-01-02"}
+            text = rows._jdf.queryExecution().executedPlan().toString()
+            filters = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+            assert "dynamicpruning" in filters
 
 
 def test_touched_with_a_bar_without_time(spark, tmp_path):
@@ -156,13 +160,70 @@ def test_touched_with_a_bar_without_time(spark, tmp_path):
         ]
 
 
-def test_too_many_days_falls_back_to_everything(spark, landing, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_DAY_LITERALS", 1)
+def test_appended_days_are_stored_once(spark, tmp_path):
+    """Two batches of many days each, appended: as rolled up day by day."""
     w = str(tmp_path / "wh")
-    raw = b.read_payloads(spark, str(landing))
-    assert b.load_bronze(raw, w, 1, list_days=True).days is None
-    b.run_pipeline(spark, str(landing), w, batch_id=2, recompute="touched")
-    assert silver(spark, w) == TWO
+    expected = []
+    for batch_id, month in ((1, "01"), (2, "02")):
+        landing = tmp_path / month
+        times = [f"2024-{month}-{day:02} 09:30:00" for day in range(1, 29)]
+        land(landing, "a.json", "A", {t: bar(i, i + 1, i) for i, t in enumerate(times)})
+        b.run_pipeline(spark, str(landing), w, batch_id=batch_id, mode="append")
+        expected += [(t[:10], "A", float(i), i + 1.0, i) for i, t in enumerate(times)]
+    assert silver(spark, w) == expected
+
+
+def test_days_without_repeats_keep_their_files(spark, landing, tmp_path):
+    w = str(tmp_path / "wh")
+    more = tmp_path / "more"
+    land(more, "a.json", "A", {"2024-01-03 09:30:00": bar(5, 4, 7)})
+    for batch_id, folder in ((1, landing), (2, more)):
+        b.load_bronze(b.read_payloads(spark, str(folder)), w, batch_id)
+    files = lambda: {f for f in b.read_bars(spark, w).inputFiles()}
+    before = files()
+    b.deduplicate_bronze(spark, w)
+    assert {f for f in before if "2024-01-02" in f} == {f for f in files() if "2024-01-02" in f}
+    assert not {f for f in before if "2024-01-03" in f} & files()
+    assert b.read_bars(spark, w).count() == 6
+
+
+def test_rows_survive_a_rewrite_that_fails(spark, landing, tmp_path, monkeypatch):
+    w = str(tmp_path / "wh")
+    for batch_id in (1, 2):
+        b.load_bronze(b.read_payloads(spark, str(landing)), w, batch_id)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(pipeline, "write_table", broken)
+    with pytest.raises(RuntimeError) as caught:
+        b.deduplicate_bronze(spark, w)
+    (note,) = [n for n in caught.value.__notes__ if "kept in" in n]
+    assert spark.read.parquet(note.split("kept in ")[1]).count() == 6
+
+
+def test_the_later_of_two_loads_in_a_second_wins(spark, tmp_path, monkeypatch):
+    w = str(tmp_path / "wh")
+    monkeypatch.setattr(pipeline.time, "time", lambda: 1_700_000_000)
+    ids = []
+    for open_price in (9, 5):
+        landing = tmp_path / str(open_price)
+        land(landing, "a.json", "A", {"2024-01-02 09:30:00": bar(open_price, 2)})
+        ids.append(b.run_pipeline(spark, str(landing), w).batch_id)
+    assert ids == [1_700_000_000, 1_700_000_001]
+    assert silver(spark, w) == [("2024-01-02", "A", 5.0, 2.0, 10)]
+    shutil.rmtree(f"{w}/_last_batch_id")
+    assert b.run_pipeline(spark, str(landing), w).batch_id == 1_700_000_002
+
+
+def test_open_of_bars_without_time_does_not_depend_on_partitioning(spark, tmp_path):
+    landing, w = tmp_path / "landing", str(tmp_path / "wh")
+    land(landing, "a.json", "A", {f"no time {i}": bar(100 + i, 200 + i) for i in range(40)})
+    b.run_pipeline(spark, str(landing), w, batch_id=1)
+    assert silver(spark, w) == [("None", "A", 100.0, 239.0, 400)]
+    for n in (1, 3, 8):
+        rows = b.daily_rollup(b.dedup_latest(b.read_bars(spark, w).repartition(n))).collect()
+        assert [(r.daily_open, r.daily_close) for r in rows] == [(100.0, 239.0)]
 
 
 def test_failed_checks_report_or_raise(spark, tmp_path):
@@ -257,7 +318,7 @@ def test_stream_correction_wins_over_an_earlier_micro_batch(spark, tmp_path):
 
 
 def test_stream_repeats_a_failed_micro_batch(spark, tmp_path, monkeypatch):
-    """A failure between the two tables: bronze gets the bars twice, silver once."""
+    """A failure between the two tables: the bars are in both once."""
     landing, w, state = tmp_path / "landing", str(tmp_path / "wh"), str(tmp_path / "state")
     land(landing, "a.json", "A", two_days())
 
@@ -269,8 +330,10 @@ def test_stream_repeats_a_failed_micro_batch(spark, tmp_path, monkeypatch):
         with pytest.raises(StreamingQueryException):
             b.ingest_stream(spark, str(landing), w, state).awaitTermination()
     assert not staging.path_exists(spark, f"{w}/daily_trades")
+    assert b.read_bars(spark, w).count() == 3
     b.ingest_stream(spark, str(landing), w, state).awaitTermination()
-    assert b.read_bars(spark, w).count() == 6
+    assert b.read_bars(spark, w).count() == 3
+    assert b.read_bars(spark, w).select("batch_id").distinct().count() == 1
     assert silver(spark, w) == [r for r in TWO if r[1] == "A"]
 
 

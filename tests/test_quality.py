@@ -37,9 +37,9 @@ def test_silver_checks_find_each_fault(spark):
     assert values(b.run_checks(df, "daily_trades")) == {
         "duplicate_count(symbol, trade_date) = 0": (1, False),
         "missing_count(trade_date) = 0": (1, False),
-        "invalid_count(daily_volume) = 0": (1, False),
-        "invalid_count(daily_open) = 0": (1, False),
-        "invalid_count(daily_close) = 0": (1, False),
+        "invalid_count(daily_volume < 0) = 0": (1, False),
+        "invalid_count(daily_open < 0) = 0": (1, False),
+        "invalid_count(daily_close < 0) = 0": (1, False),
     }
 
 
@@ -106,7 +106,7 @@ def test_outcome_policy(spark, caplog):
     with caplog.at_level("WARNING"):
         rows = b.enforce(results)
     assert len(rows) == 5
-    assert "invalid_count(daily_open) = 0" in caplog.text
+    assert "invalid_count(daily_open < 0) = 0" in caplog.text
     with pytest.raises(b.CheckFailed, match="daily_open") as failure:
         b.enforce(results, "raise")
     assert [r.value for r in failure.value.failed] == [1]

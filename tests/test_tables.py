@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import barlake as b
-from barlake.sources import staging, tables
+from barlake.sources import staging
 
 D1, D2 = date(2024, 1, 2), date(2024, 1, 3)
 DAILY = "trade_date date, symbol string, daily_open double, daily_volume long"
@@ -115,9 +115,7 @@ def test_replace_days_first_write(spark, tmp_path):
     assert stored(spark, str(tmp_path)) == [(D1, "A", 1.0)]
 
 
-@pytest.mark.parametrize("listed", [3660, 0])
-def test_replace_keeps_other_symbols_and_days(spark, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(tables, "MAX_DAY_LITERALS", listed)
+def test_replace_keeps_other_symbols_and_days(spark, tmp_path):
     w = str(tmp_path)
     first = [(D1, "A", 1.0), (D1, "B", 1.0), (D1, None, 1.0), (D2, "A", 1.0), (None, "A", 1.0)]
     b.write_table(daily(spark, *first), b.DAILY_TRADES, w)
@@ -129,6 +127,17 @@ def test_replace_keeps_other_symbols_and_days(spark, tmp_path, monkeypatch, list
         )
 
 
+def test_replace_one_symbol_by_filter(spark, tmp_path):
+    w = str(tmp_path)
+    first = [(D1, "A", 1.0), (D1, "B", 1.0), (D1, None, 1.0), (D2, "A", 1.0), (None, "A", 1.0)]
+    b.write_table(daily(spark, *first), b.DAILY_TRADES, w)
+    b.replace_days(daily(spark, (D1, "A", 9.0), (None, "A", 7.0)), w, symbol="A")
+    assert stored(spark, w) == sorted(
+        [(D1, "A", 9.0), (D1, "B", 1.0), (D1, None, 1.0), (D2, "A", 1.0), (None, "A", 7.0)],
+        key=repr,
+    )
+
+
 def test_replace_whole_days_drops_vanished_symbols(spark, tmp_path):
     w = str(tmp_path)
     b.write_table(daily(spark, (D1, "A", 1.0), (D1, "B", 1.0), (D2, "A", 1.0)), b.DAILY_TRADES, w)
@@ -195,6 +204,15 @@ def test_staging_is_removed_after_a_failure(spark):
     assert not staging.path_exists(spark, path)
 
 
+def test_staging_that_guards_an_overwrite_is_kept(spark):
+    with pytest.raises(RuntimeError) as caught:
+        with staging.staged(spark.range(3).toDF("id"), "probe", guards=True):
+            raise RuntimeError
+    path = caught.value.__notes__[0].split("kept in ")[1]
+    assert spark.read.parquet(path).count() == 3
+    staging.remove(spark, path)
+
+
 class FakeSession:
     """Just what the choice of the staging folder looks at."""
 
@@ -212,10 +230,11 @@ class FakeSession:
         self.settings[key] = value
 
 
-def test_staging_folder_on_a_cluster_must_be_named():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.staging_root(FakeSession("yarn"))
+def test_staging_folder_is_shared():
     assert staging.staging_root(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
     assert staging.staging_root(FakeSession("yarn", None, "hdfs:///set")) == "hdfs:///set"
-    local = FakeSession("local[2]")
-    assert staging.staging_root(local) == staging.staging_root(local)
+    unset = FakeSession("yarn")
+    unset.settings["spark.sql.warehouse.dir"] = "hdfs:///warehouse"
+    assert staging.staging_root(unset, "s3a://lake/") == "s3a://lake/_staging"
+    assert staging.staging_root(unset) == "hdfs:///warehouse/_staging"
+    assert "spark.checkpoint.dir" not in unset.settings
