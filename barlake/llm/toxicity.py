@@ -84,7 +84,7 @@ def train(
     n_factors: int = 4,
     epochs: int = 40,
     rate: float = 0.2,
-    decay: float = 1e-4,
+    decay: float = 1e-5,
     batch: int = 256,
     seed: int = 0,
 ) -> Machine:
