@@ -251,21 +251,31 @@ def _linked(
 
     sets = written(met(chunks, documents, gather, _SETS), "sets")
     linked = _link(sets, percent)
-    rows = sets.drop("tokens").join(linked, "set", "left").drop("set")
+    rows = sets.drop("tokens")
+    alone = rows.filter("set IS NULL")  # they would all meet in one task of a join
+    rows = rows.filter("set IS NOT NULL").join(linked, "set")
     # The smallest id of a group, and the one row that stands for it.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "chunk", "row")
-    firsts = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("_first"))
+    firsts = rows.groupBy("root").agg(F.min(order).alias("_first"))
     first = F.col("_first")
-    return (
-        rows.join(firsts, "root", "left")
-        .select(
+    grouped = rows.join(firsts, "root").select(
+        "chunk",
+        "row",
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        first["doc_id"].alias("component_id"),
+        (F.col("links") + F.col("copies") - 1).alias("n_links"),
+        ((first["chunk"] == F.col("chunk")) & (first["row"] == F.col("row"))).alias("first"),
+    )
+    return grouped.unionByName(
+        alone.select(
             "chunk",
             "row",
             "doc_id",
             F.col("n").alias("n_shingles"),
-            F.when(first.isNotNull(), first["doc_id"]).otherwise(F.col("doc_id")).alias("component_id"),
-            F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
-            F.coalesce((first["chunk"] == F.col("chunk")) & (first["row"] == F.col("row")), F.lit(True)).alias("first"),
+            F.col("doc_id").alias("component_id"),
+            F.lit(0).cast("long").alias("n_links"),
+            F.lit(True).alias("first"),
         )
     )
 
