@@ -132,31 +132,13 @@ class Keys:
     ``bits`` is 32 or 64 (of each key, after the ones that name the bucket).
     """
 
-    def __init__(
-        self,
-        hashes: np.ndarray,
-        buckets: int,
-        bits: int = 32,
-        second: np.ndarray | None = None,
-    ):
-        """With ``second``, pairs are made distinct; ``seconds`` has the other halves."""
+    def __init__(self, hashes: np.ndarray, buckets: int, bits: int = 32):
         name_bits = buckets.bit_length() - 1
         width = 64 if bits == 64 else bits + name_bits
         self.bits = bits
-        cut = hashes >> np.uint64(64 - width)
-        if second is None:
-            self.values, self.inverse, self.counts = np.unique(
-                cut, return_inverse=True, return_counts=True
-            )
-        else:
-            order = np.lexsort((second, cut))
-            a, b = cut[order], second[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            self.values, self.seconds = a[new], b[new]
-            self.inverse = np.empty(len(a), np.int64)
-            self.inverse[order] = np.cumsum(new) - 1
-            self.counts = np.bincount(self.inverse, minlength=len(self.values))
+        self.values, self.inverse, self.counts = np.unique(
+            hashes >> np.uint64(64 - width), return_inverse=True, return_counts=True
+        )
         names = self.values >> np.uint64(width - name_bits)
         self._edges = np.searchsorted(names, np.arange(buckets + 1, dtype=np.uint64))
 
@@ -213,15 +195,32 @@ def ask(chunks: DataFrame, rows_to_requests: Callable[[int, pa.Table], pa.Table]
     return chunks.select("chunk", "rows").mapInArrow(run, _ASKED)
 
 
-def answer(requests: DataFrame, look: Callable, bits: int, label: str) -> DataFrame:
+#: Different kinds of keys may go in one exchange: a kind's buckets start at its multiple of this.
+KIND = 1 << 24
+
+
+def of_kind(requests: pa.Table, kind: int) -> pa.Table:
+    """The requests with their buckets moved to those of a kind."""
+    moved = pa.array(requests.column("bucket").to_numpy() + kind * KIND, pa.int32())
+    return requests.set_column(0, "bucket", moved)
+
+
+def answers_of_kind(received: dict[int, bytes], kind: int) -> dict[int, bytes]:
+    """Of the answers of one chunk those of a kind, by plain bucket number."""
+    return {b - kind * KIND: a for b, a in received.items() if b // KIND == kind}
+
+
+def answer(requests: DataFrame, looks: list[tuple[Callable, int]], label: str) -> DataFrame:
     """Answers of all buckets, written: ``chunk``, ``bucket``, ``answer``.
 
+    ``looks`` has for each kind of keys a function and the number of bits sent.
     ``look(values, owner, extras)`` gets the keys of all requests of a bucket end to
-    end, the number of the request each belongs to, and the requests' extras, and
-    gives an array with a value for each key, or several requests' worth of bytes.
+    end, the number of the request each belongs to (in the order of the chunks), and
+    the requests' extras, and gives an array with a value for each key.
     """
 
     def run(table: pa.Table) -> pa.Table:
+        look, bits = looks[table.column("bucket")[0].as_py() // KIND]
         order = np.argsort(table.column("chunk").to_numpy(), kind="stable")
         table = table.take(pa.array(order))
         dtype = np.uint32 if bits == 32 else np.uint64

@@ -214,7 +214,7 @@ def _linked(
         counts = keys.counts.astype(np.uint32)
         return request_rows(chunk, keys, lambda part: pack(counts[part]))
 
-    documents = answer(ask(chunks, request), _documents, 32, "documents")
+    documents = answer(ask(chunks, request), [(_documents, 32)], "documents")
 
     def gather(chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
         row, values = shingles(rows.column(text_col).combine_chunks(), n)

@@ -9,7 +9,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.exchange import Keys, answer, ask, bucket_count, chunked, met, pack, request_rows, unpack
+from barlake.llm.exchange import (
+    KIND,
+    Keys,
+    answer,
+    answers_of_kind,
+    ask,
+    bucket_count,
+    chunked,
+    met,
+    of_kind,
+    pack,
+    request_rows,
+    unpack,
+)
 from barlake.llm.words import BLANKS, LOWER, hashed, scramble
 
 #: Bytes of a word with the gap after it, to size the buckets by.
@@ -19,8 +32,8 @@ TRAINED, TUNING, HELD_OUT = 0, 1, 2
 #: Context counts are told apart by powers of two, 0 on its own.
 LEVELS = 48
 _END, _START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
-#: Words are told from word pairs by their bucket number.
-_WORDS = 1 << 24
+#: Kinds of keys.
+_PAIRS, _WORDS = 0, 1
 _FIRST = np.uint64(1 << 63)
 #: Steps of the logarithms that the mixture weights are learned from, per factor of two.
 FINE = 8
@@ -46,11 +59,10 @@ class _Tokens:
 
     def requests(self, chunk: int, trains: bool) -> pa.Table:
         tables = []
-        for keys, base in ((self.words, _WORDS), (self.pairs, 0)):
+        for kind, keys in ((_WORDS, self.words), (_PAIRS, self.pairs)):
             counts = keys.counts.astype(np.uint64) * np.uint64(trains)
-            table = request_rows(chunk, keys, lambda part: pack(counts[part]))
-            named = pa.array(table.column("bucket").to_numpy() + base, pa.int32())
-            tables.append(table.set_column(0, "bucket", named))
+            asked = request_rows(chunk, keys, lambda part: pack(counts[part]))
+            tables.append(of_kind(asked, kind))
         return pa.concat_tables(tables)
 
     def trained(self, got: dict[int, bytes], own: bool) -> tuple[np.ndarray, ...]:
@@ -58,9 +70,8 @@ class _Tokens:
 
         Without ``own`` this chunk's counts are left out: what remains is held out from it.
         """
-        named = {b - _WORDS: a for b, a in got.items() if b >= _WORDS}
-        c_words = self.words.answers(named, np.uint64) & ~_FIRST
-        c_pairs = self.pairs.answers(got, np.uint64) & ~_FIRST
+        c_words = self.words.answers(answers_of_kind(got, _WORDS), np.uint64) & ~_FIRST
+        c_pairs = self.pairs.answers(answers_of_kind(got, _PAIRS), np.uint64) & ~_FIRST
         c_words, c_pairs = c_words.astype(np.int64), c_pairs.astype(np.int64)
         if not own:
             c_words -= self.words.counts
@@ -99,7 +110,7 @@ def _vocabulary(counts: DataFrame) -> tuple[int, int]:
                 kinds, tokens = kinds + len(first), tokens + int(first.sum())
         yield pa.RecordBatch.from_pydict({"kinds": [kinds], "tokens": [tokens]})
 
-    words = counts.filter(F.col("bucket") >= _WORDS).select("answer")
+    words = counts.filter(F.col("bucket") >= _WORDS * KIND).select("answer")
     sums = words.mapInArrow(run, "kinds long, tokens long")
     row = sums.agg(F.sum("kinds"), F.sum("tokens")).first()
     return int(row[0] or 0), int(row[1] or 0)
@@ -204,7 +215,7 @@ def score_texts(
     def request(chunk: int, rows: pa.Table) -> pa.Table:
         return _Tokens(rows, buckets).requests(chunk, chunk & 15 != HELD_OUT)
 
-    counts = answer(ask(chunks, request), _count, 64, "counts")
+    counts = answer(ask(chunks, request), [(_count, 64), (_count, 64)], "counts")
     kinds, tokens = _vocabulary(counts)
     weights = learn_weights(_events(chunks, counts, buckets, kinds, tokens))
 

@@ -7,7 +7,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.exchange import Keys, answer, ask, bucket_count, chunked, met, pack, request_rows, unpack
+from barlake.llm.exchange import (
+    KIND,
+    Keys,
+    answer,
+    answers_of_kind,
+    ask,
+    bucket_count,
+    chunked,
+    met,
+    pack,
+    request_rows,
+    unpack,
+)
 from barlake.llm.words import (
     covered,
     fits,
@@ -23,8 +35,6 @@ from barlake.llm.words import (
 #: Bytes of a word with the gap after it, to size the buckets by.
 WORD_BYTES = 6
 _LAST = np.iinfo(np.int64).max
-#: Second answers are told from first ones by their bucket number.
-_SECOND = 1 << 24
 _OUT = "doc_id long, n_words long, n_removed long, kept string, removed array<struct<start:long,end:long>>"
 
 
@@ -127,26 +137,21 @@ def remove_repeated_windows(
         flags = found.probe_flags()
         return request_rows(chunk, found.probes, lambda part: pack(flags[part]))
 
-    hits = answer(ask(chunks, probe), _hits, 32, "hits")
+    hits = answer(ask(chunks, probe), [(_hits, 32)], "hits")
 
     def extend(chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
         found = _Windows(rows, window, buckets)
         found.extend(found.probes.answers(got, np.uint8), buckets)
         return request_rows(chunk, found.whole, lambda part: pack(found.smallest[part]))
 
-    smaller = answer(
-        met(chunks, hits, extend, "bucket int, chunk long, asked binary, extra binary"),
-        _smaller,
-        64,
-        "smaller",
-    )
-    both = hits.unionByName(smaller.withColumn("bucket", F.col("bucket") + _SECOND))
+    windows = met(chunks, hits, extend, "bucket int, chunk long, asked binary, extra binary")
+    smaller = answer(windows, [(_smaller, 64)], "smaller")
+    both = hits.unionByName(smaller.withColumn("bucket", F.col("bucket") + KIND))
 
     def remove(_chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
         found = _Windows(rows, window, buckets)
         found.extend(found.probes.answers(got, np.uint8), buckets)
-        later = {b - _SECOND: a for b, a in got.items() if b >= _SECOND}
-        gone = found.removed(found.whole.answers(later, np.uint8))
+        gone = found.removed(found.whole.answers(answers_of_kind(got, 1), np.uint8))
         text, out, at = rows.column("text").combine_chunks(), [], 0
         for first, last in pieces(text, 1 << 20):
             words = split_words(*utf8(text.slice(first, last - first)))

@@ -24,13 +24,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.llm.exchange import Keys, answer, ask, bucket_count, chunked, met, pack, request_rows, unpack
+from barlake.llm.exchange import (
+    KIND,
+    Keys,
+    answer,
+    answers_of_kind,
+    ask,
+    bucket_count,
+    chunked,
+    met,
+    of_kind,
+    pack,
+    request_rows,
+    unpack,
+)
 from barlake.llm.words import Rolling, byte_values, covered, pieces, scramble, span_lists, utf8
 
 SEED = 16
-_SECOND = 1 << 24
 _ASKED = "bucket int, chunk long, asked binary, extra binary"
-_REPEATED, _COMPARE = 1, 2
+#: Kinds of keys.
+_PREFIXES, _CONTEXTS, _WINDOWS = 0, 1, 2
+_REPEATED, _FIRST = 1, 2
 
 
 def _span(length: int) -> int:
@@ -72,10 +86,10 @@ class _Anchors:
         return self.rolling(self.place, self.place + (self.length - _span(self.length) + 1))
 
     def contexts(self) -> np.ndarray:
-        """Hash of the bytes of all windows of the anchor and of where it is in them; 48 bits."""
+        """Hash of the bytes of all windows of the anchor and of where it is in them."""
         around = self.rolling(self.first, self.last + self.length)
         lead = (self.place - self.first).astype(np.uint64)
-        return scramble(around + lead * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)
+        return scramble(around + lead * np.uint64(0x9E3779B97F4A7C15))
 
     def window_hashes(self, starts: np.ndarray) -> np.ndarray:
         return self.rolling(starts, starts + self.length)
@@ -93,66 +107,92 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 class _Chunk:
     """Anchors of a chunk, gone through a megabyte (or one text) at a time."""
 
-    def __init__(self, rows: pa.Table, length: int, buckets: int):
+    def __init__(self, rows: pa.Table, length: int, buckets: int, wide: int):
         self.text = rows.column("text").combine_chunks()
-        self.length, self.buckets = length, buckets
+        self.length, self.wide = length, wide
         self.cuts = list(pieces(self.text, 1 << 20))
         prefixes, contexts, self.sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], []
         for a in self.parts():
             prefixes.append(a.prefixes())
             contexts.append(a.contexts())
             self.sizes.append(len(a.place))
-        self.keys = Keys(
-            np.concatenate(prefixes), buckets, second=np.concatenate(contexts)
-        )
+        self._contexts = np.concatenate(contexts)
+        self.prefixes = Keys(np.concatenate(prefixes), buckets)
+        self.contexts = Keys(self._contexts, buckets, 64)
 
     def parts(self):
         for first, last in self.cuts:
             yield _Anchors(self.text.slice(first, last - first), self.length)
 
-    def to_compare(self, codes: np.ndarray) -> np.ndarray:
-        """Of each context to be compared, its first anchor in the chunk."""
-        first = np.zeros(len(self.keys.inverse), bool)
-        _, at = np.unique(self.keys.inverse, return_index=True)
-        first[at] = True
-        return first & (codes[self.keys.inverse] & _COMPARE > 0)
+    def requests(self, chunk: int) -> pa.Table:
+        """Prefixes, each with one of its contexts and whether it has others; and contexts."""
+        marks = (self._contexts >> np.uint64(32)).astype(np.uint32)
+        least = np.full(len(self.prefixes.values), 0xFFFFFFFF, np.uint32)
+        np.minimum.at(least, self.prefixes.inverse, marks)
+        most = np.zeros(len(least), np.uint32)
+        np.maximum.at(most, self.prefixes.inverse, marks)
+        several = (least != most).astype(np.uint8)
+        many = (self.contexts.counts > 1).astype(np.uint8)
+
+        def one_and_more(part: slice) -> bytes:
+            mark = pack(least[part])
+            return len(mark).to_bytes(8, "little") + mark + pack(several[part])
+
+        return pa.concat_tables(
+            [
+                of_kind(request_rows(chunk, self.prefixes, one_and_more), _PREFIXES),
+                of_kind(request_rows(chunk, self.contexts, lambda p: pack(many[p])), _CONTEXTS),
+            ]
+        )
 
-    def windows(self, codes: np.ndarray):
+    def ranked(self, got: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For each anchor whether its context is repeated, and whether it is to be compared.
+
+        To be compared are contexts that share their prefix with others; of a repeated
+        one only the first copy of all.
+        """
+        shared = self.prefixes.answers(answers_of_kind(got, _PREFIXES), np.uint8)
+        codes = self.contexts.answers(answers_of_kind(got, _CONTEXTS), np.uint8)
+        inverse = self.contexts.inverse
+        first = np.zeros(len(inverse), bool)
+        first[np.unique(inverse, return_index=True)[1]] = True
+        first &= codes[inverse] & _FIRST > 0
+        return codes[inverse] & _REPEATED > 0, first & (shared[self.prefixes.inverse] > 0)
+
+    def windows(self, repeated: np.ndarray, compare: np.ndarray):
         """Piece by piece: anchors, which of them are repeated, starts of the windows to compare."""
-        compare, repeated = self.to_compare(codes), codes[self.keys.inverse] & _REPEATED > 0
         at = 0
         for a, n in zip(self.parts(), self.sizes):
             mine = compare[at : at + n]
-            yield a, repeated[at : at + n], _ranges(a.first[mine], a.last[mine]), mine
+            yield a, repeated[at : at + n], _ranges(a.first[mine], a.last[mine])
             at += n
 
-    def compared(self, codes: np.ndarray) -> Keys:
-        found = [a.window_hashes(starts) for a, _, starts, _ in self.windows(codes)]
-        return Keys(np.concatenate([np.zeros(0, np.uint64), *found]), self.buckets, 64)
-
+    def compared(self, repeated: np.ndarray, compare: np.ndarray) -> Keys:
+        found = [a.window_hashes(starts) for a, _, starts in self.windows(repeated, compare)]
+        return Keys(np.concatenate([np.zeros(0, np.uint64), *found]), self.wide, 64)
 
-def _rank(values: np.ndarray, owner: np.ndarray, extras: list[bytes]) -> np.ndarray:
-    """Ranks contexts under their prefixes: which are repeated, which are to be compared.
 
-    To be compared are contexts that share their prefix with others; of a repeated
-    one only the copy of the first chunk that has it.
-    """
-    halves = [unpack(x[8:], np.uint64, False) for x in extras]
+def _shared(values: np.ndarray, _owner: np.ndarray, extras: list[bytes]) -> np.ndarray:
+    """Prefixes that have several contexts. A chunk has one entry for a prefix, however hot."""
     sizes = [int.from_bytes(x[:8], "little") for x in extras]
-    context = np.concatenate([h[:n] for h, n in zip(halves, sizes)])
-    many = np.concatenate([h[n:] for h, n in zip(halves, sizes)])
-    order = np.lexsort((owner, context, values))
-    v, c = values[order], context[order]
-    new_prefix = np.ones(len(v), bool)
-    new_prefix[1:] = v[1:] != v[:-1]
-    new = new_prefix.copy()
-    new[1:] |= c[1:] != c[:-1]
-    prefix_rank, rank = np.cumsum(new_prefix) - 1, np.cumsum(new) - 1
-    places = np.bincount(rank, 1 + many[order].astype(np.int64))
-    contexts = np.bincount(prefix_rank, new)
-    code = (places[rank] > 1) * _REPEATED + ((contexts[prefix_rank] > 1) & new) * _COMPARE
-    out = np.empty(len(v), np.uint8)
-    out[order] = code
+    marks = np.concatenate([unpack(x[8 : 8 + n], np.uint32) for x, n in zip(extras, sizes)])
+    several = np.concatenate([unpack(x[8 + n :], np.uint8) for x, n in zip(extras, sizes)])
+    distinct, inverse = np.unique(values, return_inverse=True)
+    least = np.full(len(distinct), 0xFFFFFFFF, np.uint32)
+    np.minimum.at(least, inverse, marks)
+    most = np.zeros(len(distinct), np.uint32)
+    np.maximum.at(most, inverse, marks)
+    more = np.bincount(inverse, several, minlength=len(distinct)) > 0
+    return ((least != most) | more)[inverse].astype(np.uint8)
+
+
+def _places(values: np.ndarray, _owner: np.ndarray, extras: list[bytes]) -> np.ndarray:
+    """Contexts at two places or more, and the first request of each."""
+    many = np.concatenate([unpack(x, np.uint8) for x in extras])
+    distinct, first, inverse = np.unique(values, return_index=True, return_inverse=True)
+    places = np.bincount(inverse, 1 + many.astype(np.int64), minlength=len(distinct))
+    out = ((places > 1) * np.uint8(_REPEATED))[inverse]
+    out[first] |= _FIRST
     return out
 
 
@@ -171,7 +211,8 @@ def remove_repeated_substrings(
 
     Texts are UTF-8 bytes; matches do not cross documents but may be in one, may
     overlap, and are judged on the input. See the module for the method. Repeats are
-    told by 64-bit hashes (contexts: 48 bits, among equal prefixes only).
+    told by 64-bit hashes. A prefix that very many places share makes one entry a chunk:
+    contexts are counted by themselves.
 
     Returns all columns of ``docs`` and ``_bytes`` (length of the text), ``_kept``
     (binary: the bytes left, where a code point may have lost a part; with ``as_text`` a
@@ -187,6 +228,8 @@ def remove_repeated_substrings(
     chunks = chunked(docs, text_col)
     # An anchor in about half the span of starts that may share one.
     buckets = bucket_count(chunks, 2 / (_span(length) + 1))
+    # Windows to compare one by one: an eighth of all starts would be many.
+    wide = bucket_count(chunks, 1 / 8)
     schema = T.StructType(list(docs.schema.fields))
     span = T.StructType().add("start", "long").add("end", "long")
     schema.add("_bytes", "long").add("_kept", "string" if as_text else "binary").add("_removed", T.ArrayType(span))
@@ -195,33 +238,25 @@ def remove_repeated_substrings(
         return pa.table({"text": rows.column(text_col)})
 
     def first(chunk: int, rows: pa.Table) -> pa.Table:
-        keys = _Chunk(slim(rows), length, buckets).keys
-
-        def contexts(part: slice) -> bytes:
-            many = (keys.counts[part] > 1).astype(np.uint64)
-            n = part.stop - part.start
-            return n.to_bytes(8, "little") + pack(np.concatenate([keys.seconds[part], many]))
-
-        return request_rows(chunk, keys, contexts)
+        return _Chunk(slim(rows), length, buckets, wide).requests(chunk)
 
-    ranks = answer(ask(chunks, first), _rank, 32, "ranks")
+    ranks = answer(ask(chunks, first), [(_shared, 32), (_places, 64)], "ranks")
 
     def second(chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
-        found = _Chunk(slim(rows), length, buckets)
-        keys = found.compared(found.keys.answers(got, np.uint8))
+        found = _Chunk(slim(rows), length, buckets, wide)
+        keys = found.compared(*found.ranked(got))
         return request_rows(chunk, keys, lambda p: pack((keys.counts[p] > 1).astype(np.uint8)))
 
-    repeats = answer(met(chunks, ranks, second, _ASKED), _repeats, 64, "repeats")
-    both = ranks.unionByName(repeats.withColumn("bucket", F.col("bucket") + _SECOND))
+    repeats = answer(met(chunks, ranks, second, _ASKED), [(_repeats, 64)], "repeats")
+    both = ranks.unionByName(repeats.withColumn("bucket", F.col("bucket") + _WINDOWS * KIND))
 
     def last(_chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
-        found = _Chunk(slim(rows), length, buckets)
-        codes = found.keys.answers(got, np.uint8)
-        keys = found.compared(codes)
-        later = {b - _SECOND: a for b, a in got.items() if b >= _SECOND}
-        again = keys.answers(later, np.uint8)[keys.inverse] > 0
+        found = _Chunk(slim(rows), length, buckets, wide)
+        ranked = found.ranked(got)
+        keys = found.compared(*ranked)
+        again = keys.answers(answers_of_kind(got, _WINDOWS), np.uint8)[keys.inverse] > 0
         out, at = [], 0
-        for (begin, end), (a, repeated, starts, _) in zip(found.cuts, found.windows(codes)):
+        for (begin, end), (a, repeated, starts) in zip(found.cuts, found.windows(*ranked)):
             mine = again[at : at + len(starts)]
             at += len(starts)
             gone = np.concatenate([_ranges(a.first[repeated], a.last[repeated]), starts[mine]])
