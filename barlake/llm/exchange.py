@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm.storage import power_of_two, written
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 #: Distinct keys that a bucket should have to look at.
 BUCKET_KEYS = 1 << 20
 _CHUNKS = "chunk long, part int, n_bytes long, rows binary"
@@ -191,6 +191,7 @@ def ask(chunks: DataFrame, rows_to_requests: Callable[[int, pa.Table], pa.Table]
         for batch in batches:
             for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 yield from rows_to_requests(chunk, rows_of(blob.as_buffer())).to_batches()
+                pa.default_memory_pool().release_unused()
 
     return chunks.select("chunk", "rows").mapInArrow(run, _ASKED)
 
@@ -253,6 +254,7 @@ def met(chunks: DataFrame, answers: DataFrame, run: Callable, schema: str) -> Da
     """``run(chunk id, rows, answers by bucket)`` for each chunk with its answers."""
 
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # of the chunk before
         chunk = left.column("chunk")[0].as_py()
         return run(chunk, rows_of(left.column("rows")[0].as_buffer()), received(right))
 

@@ -175,7 +175,7 @@ def fit(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, seen = np.zeros(2, np.int64), np.zeros((2, PLACES), np.int64)
-        for batch in batches:
+        for batch in _small(batches):
             label = batch.column(1).to_numpy(False)
             totals += np.bincount(label, minlength=2)
             row, place = terms(batch.column(0))
@@ -203,7 +203,7 @@ def fit(
         return Machine(index, float(np.log(share / (1 - share))), np.zeros(1), np.zeros((1, 1)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             row, term = chosen_terms(batch.column(0), index)
             edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(term, pa.int32()))
@@ -218,6 +218,13 @@ def fit(
     return train(row, term, label, index)
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of a megabyte of text (the first column), or of one row."""
+    for batch in batches:
+        for first, last in pieces(batch.column(0), 1 << 20):
+            yield batch.slice(first, last - first)
+
+
 def score(docs: DataFrame, model: Machine, text_col: str = "text", name: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score (0 to 1) of every whole text, in place.
 
