@@ -173,41 +173,73 @@ def _safe(text: str | None) -> str:
     return (text or "").replace("<|", "<\u200b|")
 
 
-def _rendered(span: pa.Table, turns: pa.Table) -> pa.Table:
-    turns = _sorted(turns, "position")
-    row = span.to_pylist()[0]
-    roles = _codes(turns.column("role"))
-    states = _repaired(roles, row["entry"], row["leave"])
-    at, new, actions, inserted, costs, fragments = row["entry"], [], [], [], [], []
-    for role, state, text in zip(roles, states, turns.column("text").to_pylist()):
+def _fragments(roles: bytes, states, texts: list, entry: int, ends: bool) -> list[tuple]:
+    """For each turn: new role, action, number of messages put in, cost, rendered fragment."""
+    at, out = entry, []
+    for role, state, text in zip(roles, states, texts):
         cost, way, action = STEP[role, at, state]
         merges = action.endswith("merge")
         pieces = ["\n"] if merges else [CLOSE if at != START else ""]
         pieces += [f"{OPEN}{ROLES[s - 1]}\n{CLOSE}" for s in way]
         if not merges:
             pieces.append(f"{OPEN}{ROLES[state - 1]}\n")
-        fragments.append("".join(pieces) + _safe(text))
-        new.append(ROLES[state - 1])
-        actions.append(action)
-        inserted.append(len(way))
-        costs.append(cost)
+        out.append((ROLES[state - 1], action, len(way), cost, "".join(pieces) + _safe(text)))
         at = state
-    if row["ends"]:
-        fragments[-1] += CLOSE + "".join(f"{OPEN}{ROLES[s - 1]}\n{CLOSE}" for s in END[at])
-        inserted[-1] += len(END[at])
-        costs[-1] += INSERT * len(END[at])
+    if ends:
+        role, action, inserted, cost, fragment = out[-1]
+        fragment += CLOSE + "".join(f"{OPEN}{ROLES[s - 1]}\n{CLOSE}" for s in END[at])
+        out[-1] = (role, action, inserted + len(END[at]), cost + INSERT * len(END[at]), fragment)
+    return out
+
+
+_MADE = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
+
+
+def _with_fragments(turns: pa.Table, made: list[tuple]) -> pa.Table:
     out = turns.select(["conv_id", "turn", "position", "role"])
-    for name, values, kind in (
-        ("new_role", new, pa.string()),
-        ("action", actions, pa.string()),
-        ("inserted", inserted, pa.int64()),
-        ("cost", costs, pa.int64()),
-        ("fragment", fragments, pa.string()),
-    ):
-        out = out.append_column(name, pa.array(values, kind))
+    names = ("new_role", "action", "inserted", "cost", "fragment")
+    for i, (name, kind) in enumerate(zip(names, _MADE)):
+        out = out.append_column(name, pa.array([m[i] for m in made], kind))
     return out
 
 
+def _rendered(span: pa.Table, turns: pa.Table) -> pa.Table:
+    """A segment of a longer conversation, by the states it is entered and left in."""
+    turns = _sorted(turns, "position")
+    row = span.to_pylist()[0]
+    roles = _codes(turns.column("role"))
+    states = _repaired(roles, row["entry"], row["leave"])
+    texts = turns.column("text").to_pylist()
+    return _with_fragments(turns, _fragments(roles, states, texts, row["entry"], row["ends"]))
+
+
+@lru_cache(1 << 14)
+def _alone(roles: bytes) -> tuple[int, ...]:
+    """The states of a whole conversation."""
+    costs = np.array(_segment_costs(roles)).reshape(4, 4)[START]
+    leave = int(np.argmin(costs + np.array([INSERT * len(w) for w in END])))
+    return _repaired(roles, START, leave)
+
+
+def _rendered_inside(turns: pa.Table, crossing: pa.Table) -> pa.Table:
+    """The conversations of a segment but those that go on in another one."""
+    turns = _sorted(turns, "position")
+    elsewhere = set(crossing.column("conv_id").to_pylist())
+    ids = turns.column("conv_id").to_pylist()
+    turns = turns.filter(pa.array([i not in elsewhere for i in ids], pa.bool_()))
+    ids = turns.column("conv_id").to_pylist()
+    roles, texts, made = _codes(turns.column("role")), turns.column("text").to_pylist(), []
+    at = 0
+    while at < len(ids):
+        end = at + 1
+        while end < len(ids) and ids[end] == ids[at]:
+            end += 1
+        mine = roles[at:end]
+        made += _fragments(mine, _alone(mine), texts[at:end], START, True)
+        at = end
+    return _with_fragments(turns, made)
+
+
 _OUT = (
     "conv_id long, turn long, position long, role string, new_role string, action string, "
     "inserted long, cost long, fragment string"
@@ -224,11 +256,13 @@ def format_chats(turns: DataFrame) -> DataFrame:
     cheapest repair is found by dynamic programming over what role the message so far
     has; among equals the fewer messages put in, then the earlier role.
 
+    The ordered turns are cut into segments of 1024, which are repaired by themselves;
+    only conversations that go on in another segment (two a segment at most) need more.
     A turn depends on the ones before and after it, but through four states only. So
-    segments of 1024 turns are summed up as 4 by 4 matrices of least costs, those by
-    1024 again, until a conversation has one group; then the states at the segments' ends are
-    settled from the top down, and each segment is repaired by itself. A conversation
-    may have any share of all rows.
+    their segments are summed up as 4 by 4 matrices of least costs, those by 1024
+    again, until a conversation has one group; then the states at the segments' ends
+    are settled from the top down, and each segment is repaired by itself. A
+    conversation may have any share of all rows.
 
     Returns a row for each input row: ``conv_id, turn, position, role, new_role,
     action, inserted, cost, fragment``. A conversation's fragments, joined in the order of
@@ -242,13 +276,37 @@ def format_chats(turns: DataFrame) -> DataFrame:
     )
     rows = in_order(rows, ["conv_id", "turn", "role", "text"], "position")
     rows = rows.withColumn("seg", F.shiftright("position", SEGMENT_BITS))
+    crossing = written(_crossing(rows), "crossing")
+    inside = rows.groupBy("seg").cogroup(crossing.groupBy("seg")).applyInArrow(_rendered_inside, _OUT)
+    same = (rows["seg"] == crossing["seg"]) & rows["conv_id"].eqNullSafe(crossing["conv_id"])
+    return inside.unionByName(_across(written(rows.join(crossing, same, "left_semi"), "across")))
+
+
+def _crossing(rows: DataFrame) -> DataFrame:
+    """``seg`` and ``conv_id`` of the conversations that are in several segments.
+
+    Such a conversation is the first or the last one of each of its segments.
+    """
+    conversation = F.struct("conv_id")
+    ends = rows.groupBy("seg").agg(
+        F.array_distinct(
+            F.array(F.min_by(conversation, "position"), F.max_by(conversation, "position"))
+        ).alias("ends")
+    )
+    ends = ends.select("seg", F.explode("ends").alias("end")).select("seg", "end.conv_id")
+    several = ends.groupBy(F.col("conv_id").alias("which")).count().filter("count > 1")
+    return ends.join(several, F.col("conv_id").eqNullSafe(F.col("which"))).select("seg", "conv_id")
+
+
+def _across(rows: DataFrame) -> DataFrame:
     by = ["conv_id", "seg"]
     levels = [
         written(rows.drop("text", "turn").groupBy(*by).applyInArrow(_summed, _LEVEL), "segments")
     ]
     while _most(levels[-1]) > 1 << SEGMENT_BITS:
         above = F.shiftright("seg", SEGMENT_BITS).alias("up")
-        levels.append(written(levels[-1].groupBy("conv_id", above).applyInArrow(_joined, _LEVEL), "segments"))
+        joined = levels[-1].groupBy("conv_id", above).applyInArrow(_joined, _LEVEL)
+        levels.append(written(joined, "segments"))
     spans = levels[-1].groupBy("conv_id").applyInArrow(_whole, _SPANS)
     for level in reversed(levels[:-1]):
         up = F.shiftright("seg", SEGMENT_BITS).alias("up")
