@@ -195,7 +195,7 @@ def fit(
     counted = labelled.mapInArrow(count, "place long, n0 long, n1 long")
     counted = counted.groupBy("place").agg(F.sum("n0"), F.sum("n1"))
     # A row for each hash place at most.
-    found = np.array([tuple(r) for r in counted.collect()], np.int64).reshape(-1, 3)
+    found = np.stack([c.to_numpy() for c in counted.toArrow().columns], 1).reshape(-1, 3)
     totals = found[found[:, 0] == -1, 1:].sum(0)
     index = select_terms(found[found[:, 0] >= 0], totals)
     if not totals.all() or index.max() < 0:
@@ -209,13 +209,15 @@ def fit(
             lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(term, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(1), lists], names=["label", "terms"])
 
-    cut_rows = labelled.mapInArrow(cut, "label int, terms array<int>").collect()
+    table = labelled.mapInArrow(cut, "label int, terms array<int>").toArrow().combine_chunks()
+    label = table.column("label").to_numpy().astype(float)
+    lists = pa.concat_arrays(table.column("terms").chunks)
+    flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
     # In an order of their own, so that reruns agree.
-    cut_rows = sorted((r["label"], list(r["terms"])) for r in cut_rows)
-    label = np.array([y for y, _ in cut_rows], float)
-    row = np.repeat(np.arange(len(cut_rows)), [len(t) for _, t in cut_rows])
-    term = np.array([i for _, t in cut_rows for i in t], np.int64)
-    return train(row, term, label, index)
+    order = sorted(range(len(label)), key=lambda i: (label[i], flat[at[i] : at[i + 1]].tobytes()))
+    row = np.repeat(np.arange(len(label)), np.diff(at)[order])
+    term = np.concatenate([flat[:0], *[flat[at[i] : at[i + 1]] for i in order]]).astype(np.int64)
+    return train(row, term, label[order], index)
 
 
 def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
