@@ -153,7 +153,7 @@ def remove_repeated_windows(
         found.extend(found.probes.answers(got, np.uint8), buckets)
         gone = found.removed(found.whole.answers(answers_of_kind(got, 1), np.uint8))
         text, out, at = rows.column("text").combine_chunks(), [], 0
-        for first, last in pieces(text, 1 << 20):
+        for first, last in pieces(text):
             words = split_words(*utf8(text.slice(first, last - first)))
             mine = gone[at : at + len(words.start)]
             at += len(words.start)

@@ -105,12 +105,12 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """Anchors of a chunk, gone through a megabyte (or one text) at a time."""
+    """Anchors of a chunk, gone through a piece (or one text) at a time."""
 
     def __init__(self, rows: pa.Table, length: int, buckets: int, wide: int):
         self.text = rows.column("text").combine_chunks()
         self.length, self.wide = length, wide
-        self.cuts = list(pieces(self.text, 1 << 20))
+        self.cuts = list(pieces(self.text))
         prefixes, contexts, self.sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], []
         for a in self.parts():
             prefixes.append(a.prefixes())

@@ -106,7 +106,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def pieces(column: pa.Array, limit: int = 4 << 20):
+#: Bytes gone through at once. Arrays of 64-bit values over them stay in the processor's cache,
+#: and a worker that waits for its next task holds little.
+PIECE = (1 << 19) - 1
+
+
+def pieces(column: pa.Array, limit: int = PIECE):
     """Row ranges ``(first, last + 1)`` of about ``limit`` bytes, one row at least."""
     _, at = utf8(column)
     first, n = 0, len(column)
@@ -164,11 +169,11 @@ def hashed(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a string column, and where each row's words start and the last end.
 
-    ``change`` maps bytes before, such as ``LOWER``. Bytes are gone through a
-    megabyte (or one row) at a time.
+    ``change`` maps bytes before, such as ``LOWER``. Bytes are gone through
+    ``PIECE`` (or one row) at a time.
     """
     hashes, counts = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
-    for first, last in pieces(column, 1 << 20):
+    for first, last in pieces(column):
         data, at = utf8(column.slice(first, last - first))
         words = split_words(data if change is None else change[data], at, is_gap)
         hashes.append(words.hashes())
