@@ -114,8 +114,8 @@ _LABELS = "set long, root long, links long"
 
 def _join_blocks(table: pa.Table, percent: int) -> pa.Table:
     """Links between the sets of one block, or of two, as a label and a count for each set."""
-    sets, first = np.unique(table.column("set").to_numpy(), return_index=True)
-    table = table.take(pa.array(first))  # a set may come from several chunks
+    table = table.take(pa.array(np.argsort(table.column("set").to_numpy())))
+    sets = table.column("set").to_numpy()
     lists = table.column("tokens").combine_chunks()
     flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy()
     at = at - at[0]
@@ -153,7 +153,9 @@ def _link(sets: DataFrame, percent: int) -> DataFrame:
     """
     copies = sets.filter("set IS NOT NULL").groupBy("set", "n").agg(F.count(F.lit(1)).alias("copies"))
     copies = written(copies, "copies")
-    with_tokens = sets.filter("tokens IS NOT NULL").select("set", "n", "tokens")
+    # Every chunk with a copy has the n-grams: one row for each set is kept, combined map-side.
+    with_tokens = sets.filter("tokens IS NOT NULL").groupBy("set")
+    with_tokens = written(with_tokens.agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "tokens")
     least = F.expr(f"(n * {percent} + 99) div 100")
     rare = F.size("tokens") - least + 1
     keys = with_tokens.select("set", F.explode(F.slice("tokens", F.lit(1), rare.cast("int"))).alias("token"))

@@ -99,6 +99,23 @@ def test_one_of_each_group_stays(documents, texts):
     assert Counter((r.doc_id, r.text) for r in rows) <= Counter(texts)
 
 
+def test_a_block_has_each_set_once(spark, monkeypatch):
+    """Copies in many chunks send the n-grams of their set to a block once."""
+    join = jaccard._join_blocks
+
+    def once(table, percent):
+        sets = table.column("set").to_pylist()
+        assert len(sets) == len(set(sets))
+        return join(table, percent)
+
+    monkeypatch.setattr(jaccard, "_join_blocks", once)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:i] + [f"e{i}"] + base[i + 1 :]) for i in range(0, 60, 10)]
+    rows = [(100 * copy + i, t) for copy in range(40) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert found(jaccard.link_documents(df, n=3, percent=60)) == plain(rows, 3, 60)
+
+
 def test_empty_table(no_documents):
     assert jaccard.link_documents(no_documents).collect() == []
     assert jaccard.keep_one(no_documents).collect() == []
