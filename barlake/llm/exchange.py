@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,19 +28,37 @@ from pyspark.sql import functions as F
 from barlake.llm.storage import power_of_two, written
 
 CHUNK_BYTES = 4 << 20
+#: What a row counts towards a chunk besides the bytes of its columns.
+ROW_BYTES = 16
 #: Distinct keys that a bucket should have to look at.
 BUCKET_KEYS = 1 << 20
 _CHUNKS = "chunk long, part int, n_bytes long, rows binary"
 
 
-def _serialized(batch: pa.RecordBatch) -> bytes:
+def _serialized(table: pa.Table) -> bytes:
+    """The table with all its batches: a column over 2 GiB does not combine to one."""
     sink = pa.BufferOutputStream()
     options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
-    with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
-        out.write_batch(batch)
+    with pa.ipc.new_stream(sink, table.schema, options=options) as out:
+        out.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
+def _text_bytes(column: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(False)
+
+
+def _row_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of each row in all columns; those of nested columns are spread evenly."""
+    total = np.full(batch.num_rows, ROW_BYTES, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            total += _text_bytes(column)
+        else:
+            total += -(-column.nbytes // max(1, batch.num_rows))
+    return total
+
+
 def rows_of(blob) -> pa.Table:
     """The rows of a chunk, all their columns."""
     with pa.ipc.open_stream(pa.py_buffer(blob)) as stream:
@@ -49,34 +68,36 @@ def rows_of(blob) -> pa.Table:
 def chunked(docs: DataFrame, text_col: str, part_col: str | None = None) -> DataFrame:
     """Rows gathered into chunks and written: ``chunk``, ``part``, ``n_bytes``, ``rows``.
 
-    A chunk holds about ``CHUNK_BYTES`` of text, or one longer text, and rows of one
+    A chunk holds about ``CHUNK_BYTES`` in all columns, or one longer row, and rows of one
     value of ``part_col`` only, if given: an INT from 0 to 15, also the chunk number's last four
-    bits. The chunks stay where their rows were: nothing is shuffled.
+    bits. ``n_bytes`` counts the text alone. The chunks stay where their rows were: nothing
+    is shuffled.
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
         held: dict[int, list] = {}
         size: dict[int, int] = {}
+        n_bytes: dict[int, int] = {}
 
         def flush(part: int) -> pa.RecordBatch:
             nonlocal made
-            table = pa.Table.from_batches(held.pop(part)).combine_chunks()
-            blob = _serialized(table.to_batches()[0])
+            blob = _serialized(pa.Table.from_batches(held.pop(part)).combine_chunks())
             made += 1
+            del size[part]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([(((task << 28) + made) << 4) + int(part)], pa.int64()),
                     pa.array([part], pa.int32()),
-                    pa.array([size.pop(part)], pa.int64()),
+                    pa.array([n_bytes.pop(part)], pa.int64()),
                     pa.array([blob], pa.binary()),
                 ],
                 names=["chunk", "part", "n_bytes", "rows"],
             )
 
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index(text_col))
-            lengths = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy(False)
+            text = _text_bytes(batch.column(batch.schema.get_field_index(text_col)))
+            lengths = _row_bytes(batch)
             if part_col:
                 parts = batch.column(batch.schema.get_field_index(part_col)).to_numpy(False)
             else:
@@ -91,6 +112,7 @@ def chunked(docs: DataFrame, text_col: str, part_col: str | None = None) -> Data
                     taken = batch.take(pa.array(rows[:n]))
                     held.setdefault(part, []).append(taken)
                     size[part] = size.get(part, 0) + int(upto[n - 1] - base)
+                    n_bytes[part] = n_bytes.get(part, 0) + int(text[rows[:n]].sum())
                     rows, upto = rows[n:], upto[n:]
                     if size[part] >= CHUNK_BYTES or len(rows):
                         yield flush(part)

@@ -1,0 +1,34 @@
+import numpy as np
+import pyarrow as pa
+
+from barlake.llm import exchange
+from barlake.llm.exchange import _row_bytes, _serialized, chunked, rows_of
+from barlake.llm.suffixes import remove_repeated_substrings
+
+
+def test_every_batch_of_a_chunk_is_written():
+    batches = [pa.RecordBatch.from_pydict({"text": ["a", None]}), pa.RecordBatch.from_pydict({"text": ["b"]})]
+    table = pa.Table.from_batches(batches)
+    assert rows_of(_serialized(table)).to_pydict() == table.to_pydict()
+
+
+def test_row_bytes_count_every_column():
+    rows = {"text": ["ab", None], "html": ["é" * 50, ""], "raw": [b"x", None], "n": [1, 2]}
+    got = _row_bytes(pa.RecordBatch.from_pydict(rows)) - exchange.ROW_BYTES
+    assert np.array_equal(got - got[1], [2 + 100 + 1, 0]) and got[1] >= 8
+
+
+def test_rows_without_text_fill_chunks_too(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "CHUNK_BYTES", 1 << 16)
+    rows = [(i, [None, "", "one"][i % 3], f"{i:4}" * 1000) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, html string").coalesce(1)
+    chunks = chunked(df, "text")
+    blobs = [rows_of(bytes(r["rows"])) for r in chunks.collect()]
+    assert len(blobs) >= 200 * 4000 // (1 << 16)
+    assert all(_row_bytes(b.combine_chunks().to_batches()[0]).sum() <= 2 << 16 for b in blobs)
+    assert sorted(i for b in blobs for i in b.column("doc_id").to_pylist()) == list(range(200))
+    assert chunks.agg({"n_bytes": "sum"}).first()[0] == 3 * len(rows[2::3])
+    bare = spark.range(1 << 14).selectExpr("id", "CAST(NULL AS STRING) AS text").coalesce(1)
+    assert chunked(bare, "text").count() > 1
+    kept = remove_repeated_substrings(df).select("doc_id", "text", "html").collect()
+    assert sorted(map(tuple, kept)) == rows
