@@ -78,7 +78,8 @@ def pareto_mix(
 
     The front is found without sorting a source: sizes are summed by source and
     step of the ranking (map-side), the step that crosses the target is looked up,
-    and only the rows of that step are put in order. A source may hold any share
+    and only the rows of that step are put in order. A source at a whole number of
+    copies has nothing to choose: none of its rows are. A source may hold any share
     of the rows.
 
     Returns ``doc_id``, ``source``, ``size``, ``source_size``, ``target``,
@@ -125,7 +126,8 @@ def pareto_mix(
             .cast("int"),
         )
     )
-    steps = ranked.groupBy("source", "_step").agg(
+    # Sources with p = 0 have no crossing step, and no rows to put in order.
+    steps = ranked.filter("_p > 0").groupBy("source", "_step").agg(
         F.sum("size").alias("_sum"), F.max("_want").alias("_want")
     )
     upto = Window.partitionBy("source").orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
@@ -143,10 +145,7 @@ def pareto_mix(
     cut = placed.filter(F.col("_step") == last)
     order = Window.partitionBy("source").orderBy("_odds", "_hash")
     running = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    cut = cut.withColumn(
-        "_pick",
-        (F.col("_before") + running - F.col("size") / 2 <= F.col("_want")) & (F.col("_p") > 0),
-    )
+    cut = cut.withColumn("_pick", F.col("_before") + running - F.col("size") / 2 <= F.col("_want"))
     rest = placed.filter(F.col("_step") != last).withColumn(
         "_pick", (F.col("_step") < last) & (F.col("_p") > 0)
     )

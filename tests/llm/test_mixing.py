@@ -58,6 +58,24 @@ def test_a_hot_source_and_empty_ones(spark, seed):
     check(got.collect())
 
 
+def test_a_source_at_its_cap_is_not_sorted(spark, monkeypatch):
+    """Only rows of the crossing step are put in order, and a source at its cap has none."""
+    rows = [(i, "a" if i % 3 == 0 else "bc"[i % 2], "w " * (1 + i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    sorted_rows, union = [], type(df).unionByName
+
+    def spied(self, other, *args, **how):
+        if "_pick" in other.columns:
+            sorted_rows.extend(r.source for r in other.select("source").collect())
+        return union(self, other, *args, **how)
+
+    monkeypatch.setattr(type(df), "unionByName", spied)
+    got = mixing.pareto_mix(df).collect()
+    assert {r.target == 2 * r.source_size and r.copies == 2 for r in got if r.source == "a"} == {True}
+    assert sorted_rows and "a" not in sorted_rows and len(sorted_rows) < 30
+    check(got)
+
+
 def test_reruns_agree(documents):
     documents = documents.filter("doc_id < 900000")
     first = mixing.pareto_mix(documents).select("doc_id", "copies", "size").collect()
