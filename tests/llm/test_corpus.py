@@ -2,10 +2,12 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from barlake.llm import queries
+from tests.llm.test_mixing import plain_targets
 
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,6 +65,31 @@ def test_clean_documents_go_through_unchanged(spark):
         assert {(r.doc_id, r.text) for r in docs.collect()} == {r[:2] for r in rows}
 
 
+def test_further_columns_of_any_name_are_carried(spark, tmp_path):
+    """Also under names that stages use themselves; the added ones are replaced."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(*COLUMNS)
+    names = ["_row", "_score", "_kept", "_removed", "_hits", "chunk", "size", "set", "target", "Copies", "taken"]
+    docs = docs.withColumns({c: F.concat(F.lit(c), docs["doc_id"].cast("string")) for c in names})
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF_DIR)
+        carried = [c for c in names if name != "mixing" or c not in ("Copies", "taken")]
+        assert out.columns == COLUMNS + carried + ["copies", "taken"] * (name == "mixing")
+        out.write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        rows = docs.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in carried)
+    # A row stands for all its copies: by them the words come to the target of their source.
+    words = {}
+    for r in rows:
+        assert r.taken == r.copies * len((r.text or "").split())
+        words[r.source] = words.get(r.source, 0) + r.taken
+    sizes = {}
+    for r in spark.read.parquet(f"{tmp_path}/3").collect():
+        sizes.setdefault(r.source, []).append(len((r.text or "").split()))
+    targets = plain_targets({s: sum(n) for s, n in sizes.items()}, (3, 1, 2), 1.5, 2.0)
+    assert all(abs(words.get(s, 0) - targets[s]) <= max(n) / 2 + 1e-6 for s, n in sizes.items())
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(*COLUMNS).limit(0)
     for _, stage in corpus_pipeline.STAGES:
