@@ -1,19 +1,18 @@
-"""Suffix-array dedup: ranks of text positions by ever longer prefixes find repeated substrings.
+"""Substring dedup: hashes of anchored substrings find those that occur twice.
 
-Ranking every byte position would shuffle several times the corpus in each round.
-Two things keep the rounds small and the result exact:
+No suffix array is built: positions get no ranks and are not sorted. Asking about every
+byte position would shuffle several times the corpus. Two things keep that small and the
+result exact, up to collisions of 64-bit hashes:
 
-* Only some suffixes enter the array. Of the positions that a ``length``-byte
+* Only some positions are asked about. Of the positions that a ``length``-byte
   window begins with, the one whose next ``SEED`` bytes hash lowest is its anchor.
   The choice depends on the window's own bytes, so equal windows have their
   anchors at the same place in them, and consecutive windows mostly share theirs.
-* A round sorts (position, rank) pairs by the rank so far and the bytes that a
-  longer prefix adds, reranks, and lets unique positions go. The first round takes
-  at once the longest prefix that any window of an anchor must have, as almost
-  all positions turn out unique in it; the second takes the longer context that
-  all windows of an anchor make up together. Where that context is repeated, all its
-  windows are; where it is unique but its prefix is not, the third round ranks the
-  anchor's windows one by one at the full length, which is past the threshold.
+* Two exchanges look hashes up by equality. The first asks for the longest prefix that any
+  window of an anchor must have, as almost all positions turn out unique in it; along with
+  it, for the longer context that all windows of an anchor make up together. Where that
+  context is repeated, all its windows are; where it is unique but its prefix is not, the
+  second asks for the anchor's windows one by one at the full length.
 """
 
 from __future__ import annotations
@@ -145,7 +144,7 @@ class _Chunk:
             ]
         )
 
-    def ranked(self, got: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def looked_up(self, got: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """For each anchor whether its context is repeated, and whether it is to be compared.
 
         To be compared are contexts that share their prefix with others; of a repeated
@@ -240,23 +239,23 @@ def remove_repeated_substrings(
     def first(chunk: int, rows: pa.Table) -> pa.Table:
         return _Chunk(slim(rows), length, buckets, wide).requests(chunk)
 
-    ranks = answer(ask(chunks, first), [(_shared, 32), (_places, 64)], "ranks")
+    shared = answer(ask(chunks, first), [(_shared, 32), (_places, 64)], "shared")
 
     def second(chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
         found = _Chunk(slim(rows), length, buckets, wide)
-        keys = found.compared(*found.ranked(got))
+        keys = found.compared(*found.looked_up(got))
         return request_rows(chunk, keys, lambda p: pack((keys.counts[p] > 1).astype(np.uint8)))
 
-    repeats = answer(met(chunks, ranks, second, _ASKED), [(_repeats, 64)], "repeats")
-    both = ranks.unionByName(repeats.withColumn("bucket", F.col("bucket") + _WINDOWS * KIND))
+    repeats = answer(met(chunks, shared, second, _ASKED), [(_repeats, 64)], "repeats")
+    both = shared.unionByName(repeats.withColumn("bucket", F.col("bucket") + _WINDOWS * KIND))
 
     def last(_chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
         found = _Chunk(slim(rows), length, buckets, wide)
-        ranked = found.ranked(got)
-        keys = found.compared(*ranked)
+        known = found.looked_up(got)
+        keys = found.compared(*known)
         again = keys.answers(answers_of_kind(got, _WINDOWS), np.uint8)[keys.inverse] > 0
         out, at = [], 0
-        for (begin, end), (a, repeated, starts) in zip(found.cuts, found.windows(*ranked)):
+        for (begin, end), (a, repeated, starts) in zip(found.cuts, found.windows(*known)):
             mine = again[at : at + len(starts)]
             at += len(starts)
             gone = np.concatenate([_ranges(a.first[repeated], a.last[repeated]), starts[mine]])
