@@ -18,8 +18,6 @@ from barlake.llm.words import LOWER, Rolling, byte_values, pieces, split_words,
 PLACES = 1 << 18
 #: Labelled rows that the model is fitted on, at most; see :func:`fit`.
 SAMPLE = 50_000
-#: Terms that the model keeps, at most.
-TERMS = 4096
 #: A word counts as itself and as each beginning of so many bytes, which stand for its stem.
 STEMS = (4, 5, 6, 7, 8)
 
@@ -50,8 +48,8 @@ def chosen_terms(text: pa.Array, index: np.ndarray) -> tuple[np.ndarray, np.ndar
     row, place = terms(text)
     number = index[place]
     kept = number >= 0
-    pairs = np.unique(row[kept] * np.int64(TERMS) + number[kept].astype(np.int64))
-    return pairs // TERMS, pairs % TERMS
+    pairs = np.unique(row[kept] * np.int64(PLACES) + number[kept].astype(np.int64))
+    return pairs // PLACES, pairs % PLACES
 
 
 @dataclass
@@ -133,7 +131,7 @@ def select_terms(counts: np.ndarray, totals: np.ndarray, at_least: int = 3) -> n
 
     ``counts``: place, rows with label 0, rows with label 1. Kept are the places
     whose share of the labels differs from the whole by four standard deviations, the most
-    different first, up to ``TERMS``.
+    different first: all of them, as a pair may tell what its members hardly do.
     """
     index = np.full(PLACES, -1, np.int32)
     if not len(counts) or not totals.all():
@@ -142,7 +140,7 @@ def select_terms(counts: np.ndarray, totals: np.ndarray, at_least: int = 3) -> n
     share = totals[1] / totals.sum()
     deviation = np.abs(counts[:, 2] - n * share) / np.sqrt(n * share * (1 - share))
     good = np.flatnonzero((n >= at_least) & (deviation >= 4))
-    best = good[np.lexsort((counts[good, 0], -deviation[good]))][:TERMS]
+    best = good[np.lexsort((counts[good, 0], -deviation[good]))]
     index[counts[best, 0]] = np.arange(len(best))
     return index
 
@@ -160,7 +158,7 @@ def fit(
     It is fitted on ``sample`` labelled rows at most, those whose ids hash lowest, so
     that the rows, cut to the terms kept, fit on the driver. Rows with a null id or label are left out; an id that is
     repeated is used with each of its texts and labels. Terms are counted by Spark
-    over these rows; a few thousand that tell the labels apart are kept, and only
+    over these rows; all that tell the labels apart are kept (``PLACES`` bounds them), and only
     their numbers come to the driver, where the training runs. Without labels of
     both kinds, or terms that tell them apart, the score is the share of the toxic
     ones (half a row added), one half without any.
@@ -234,7 +232,7 @@ def score(docs: DataFrame, model: Machine, text_col: str = "text", name: str = "
     the bias alone. An input column called ``name`` is replaced.
     """
     docs = docs.drop(name)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PLACES and TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PLACES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

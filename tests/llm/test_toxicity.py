@@ -79,3 +79,16 @@ def test_reruns_agree(spark):
     first = toxicity.fit(docs, labels)
     again = toxicity.fit(docs.repartition(7), labels.repartition(3))
     assert np.array_equal(first.weights, again.weights) and first.bias == again.bias
+
+
+def test_every_telling_term_is_kept():
+    """However many pass the test; the last of them still has a number of its own in a row."""
+    n = 6000
+    counts = np.array([[place, 1, 9] for place in range(n)] + [[n, 900, 100]])
+    index = toxicity.select_terms(counts, np.array([9000, 1000]))
+    assert sorted(index[:n]) == list(range(n)) and index[n] == -1
+    text = pa.array(["some words of a text", "and others"])
+    row, place = toxicity.terms(text)
+    index = np.arange(toxicity.PLACES, dtype=np.int32)
+    got = set(zip(*map(list, toxicity.chosen_terms(text, index))))
+    assert got == set(zip(row, place))
