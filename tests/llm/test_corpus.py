@@ -1,12 +1,15 @@
 """The pipeline, the registered queries and their SQL."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from barlake.llm import queries
+from barlake.llm import queries, toxicity
+from tests.llm import test_decontamination, test_jaccard, test_suffixes
 from tests.llm.test_mixing import plain_targets
 
 
@@ -65,6 +68,84 @@ def test_clean_documents_go_through_unchanged(spark):
         assert {(r.doc_id, r.text) for r in docs.collect()} == {r[:2] for r in rows}
 
 
+def plain_cut(text, items):
+    """The text without its runs of hit words, and whether it stays."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    spans = [m.span() for m in re.finditer(word, text.translate(test_decontamination.LOWER))]
+    words, hit = test_decontamination.words(text), [False] * len(spans)
+    for item in items:
+        n = min(10, len(item))
+        windows = {tuple(item[j : j + n]) for j in range(len(item) - n + 1 if n else 0)}
+        for j in range(len(words) - n + 1 if n else 0):
+            if tuple(words[j : j + n]) in windows:
+                hit[j : j + n] = [True] * n
+    out, upto = "", 0
+    for j, h in enumerate(hit):
+        if h and (j == 0 or not hit[j - 1]):
+            out += text[upto : spans[j][0]]
+        if h:
+            upto = spans[j][1]
+    return out + text[upto:], sum(hit) <= 0.5 * len(words)
+
+
+def plain_mix(rows):
+    """Copies by id from ``(doc_id, source, words, hash)``."""
+    by, copies = {}, {}
+    for row in rows:
+        by.setdefault(row[1], []).append(row)
+    sizes = {s: sum(r[2] for r in rs) for s, rs in by.items()}
+    targets = plain_targets(sizes, (3, 1, 2), 1.5, 2.0)
+    for s, rs in by.items():
+        each = targets[s] / sizes[s]
+        whole, p = int(each), each - int(each)
+        want, seen = targets[s] - whole * sizes[s], 0
+
+        def odds(r):
+            u = (((r[3] % (1 << 64)) >> 11) + 0.5) / (1 << 53)
+            return (u / (1 - u) * (1 - p) / p if p else 0, r[3])
+
+        for r in sorted(rs, key=odds):
+            copies[r[0]] = whole + (p > 0 and seen + r[2] / 2 <= want)
+            seen += r[2]
+    return {i: n for i, n in copies.items() if n}
+
+
+def test_stages_against_a_plain_pipeline(spark):
+    """Ids, texts and copies after each stage, exactly; the scores of toxicity are given."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(*COLUMNS)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").filter(toxicity.learnt_from(F.col("doc_id")))
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    items = [test_decontamination.words(r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    want = {r.doc_id: r.text for r in docs.collect()}
+    source = {r.doc_id: r.source for r in docs.collect()}
+    assert len(want) == docs.count() and None not in want
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_DIR).collect()
+        if name == "toxicity":
+            want = {i: t for i, t in want.items() if scores[i] < 0.7}
+        elif name == "jaccard":
+            groups = test_jaccard.plain(list(want.items()), 5, 80)
+            want = {i: want[i] for i, _, component, _ in groups if i == component}
+        elif name == "suffixes":
+            cut = test_suffixes.plain(list(want.items()), 200)
+            want = {i: kept.decode(errors="ignore") for i, _, kept, _ in cut}
+        elif name == "decontamination":
+            cut = {i: plain_cut(t, items) for i, t in want.items()}
+            want = {i: t for i, (t, stays) in cut.items() if stays}
+        else:
+            hashes = docs.select("doc_id", F.xxhash64(F.lit(0), "doc_id", "text").alias("h")).collect()
+            hashes = {r.doc_id: r.h for r in hashes}
+            words = {i: len(re.findall(r"[^ \t-\r]+", t)) for i, t in want.items()}
+            copies = plain_mix([(i, source[i], words[i], hashes[i]) for i in want])
+            assert {r.doc_id: r.copies for r in out} == copies
+            want = {i: want[i] for i in copies}
+        got = {r.doc_id: r.text for r in out}
+        assert len(out) == len(got) and got.keys() == want.keys(), name
+        assert not [(name, i, got[i], want[i]) for i in got if got[i] != want[i]]
+        assert name == "mixing" or all(r.n_chars == len(r.text) for r in out)
+        docs = spark.createDataFrame([tuple(r)[:5] for r in out], docs.schema)
+
+
 def test_further_columns_of_any_name_are_carried(spark, tmp_path):
     """Also under names that stages use themselves; the added ones are replaced."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(*COLUMNS)

@@ -99,6 +99,33 @@ def test_one_of_each_group_stays(documents, texts):
     assert Counter((r.doc_id, r.text) for r in rows) <= Counter(texts)
 
 
+def test_exactly_one_of_each_group_stays(documents, texts):
+    """The smallest id of each group by comparing all pairs; every document without words."""
+    sets, parent = [shingles(t, 5) for _, t in texts], list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            k = len(a & sets[j])
+            if k and 100 * k >= 80 * (len(a) + len(sets[j]) - k):
+                parent[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, (doc, text) in enumerate(texts):
+        groups[find(i)].append((doc is None, doc, text))
+    firsts = {g: min(rows, key=lambda r: (r[0], r[1] or 0))[1] for g, rows in groups.items()}
+    rows = jaccard.keep_one(documents, n=5, percent=80).collect()
+    assert len(groups) < len(texts)
+    assert Counter(r.doc_id for r in rows) == Counter(firsts.values())
+    of = defaultdict(set)
+    for g, members in groups.items():
+        of[firsts[g]] |= {t for _, doc, t in members if doc == firsts[g]}
+    assert all(r.text in of[r.doc_id] for r in rows)
+
+
 def test_a_block_has_each_set_once(spark, monkeypatch):
     """Copies in many chunks send the n-grams of their set to a block once."""
     join = jaccard._join_blocks
