@@ -13,6 +13,7 @@ from barlake.llm.decontamination import decontaminate
 from barlake.llm.jaccard import link_documents
 from barlake.llm.language_model import score_texts
 from barlake.llm.mixing import pareto_mix
+from barlake.llm.resampling import importance_resample
 from barlake.llm.simhash import edited_fingerprints, with_near_rows
 from barlake.llm.storage import read, written
 from barlake.llm.substrings import remove_repeated_windows
@@ -101,6 +102,11 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -119,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substrings": op8_substrings,
         "op9_jaccard": op9_jaccard,
         "op10_suffixes": op10_suffixes,
+        "op12_resampling": op12_resampling,
         "pipeline": pipeline,
     }
 
@@ -203,6 +210,57 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0)
 FROM groups LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees USING (doc_id)"""
 
 
+
+def _crc32_sql(text: str, table: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of ``text``; ``table`` is a list of 256 numbers."""
+    bytes_ = (
+        f"[CAST('0x' || substr(hex(encode({text})), 2 * i - 1, 2) AS BIGINT) "
+        f"FOR i IN range(1, CAST(strlen({text}) AS BIGINT) + 1)]"
+    )
+    step = f"xor(c // 256, {table}[CAST(xor(c % 256, b) AS BIGINT) + 1])"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {bytes_}), lambda c, b: {step}), 4294967295)"
+    )
+
+
+# The table of CRC-32: eight steps of its polynomial, bits reversed, for each byte.
+_CRC_TABLE_SQL = """crc AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)),
+                          lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384)
+                                            ELSE c // 2 END) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b))"""
+
+_RESAMPLING_SQL = f"""
+WITH {_CRC_TABLE_SQL},
+d AS (SELECT doc_id, {_words_sql("text", _LETTERS, True)} AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS w FROM d),
+bw AS (SELECT unnest({_words_sql("text", _LETTERS, True)}) AS w FROM benchmark),
+buckets AS (SELECT w, {_crc32_sql("w", "t")} % 10000 AS b
+            FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc),
+s AS (SELECT b, count(*) AS n FROM dw JOIN buckets USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM bw JOIN buckets USING (w) GROUP BY b),
+sums AS (SELECT (SELECT count(*) FROM dw) AS s, (SELECT count(*) FROM bw) AS t),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln(
+      (CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (sums.s + 10000)
+      / ((CAST(coalesce(s.n, 0) AS DOUBLE) + 1) * (sums.t + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT b FROM buckets) LEFT JOIN s USING (b) LEFT JOIN t USING (b), sums),
+weights AS (SELECT doc_id, sum(gain) AS weight
+            FROM dw JOIN buckets USING (w) JOIN gains USING (b) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features,
+         CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(
+           sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)))
+           AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r
+           FROM scored WHERE n_features >= 20),
+quota AS (SELECT 10 * count(*) // 100 AS q FROM ranked)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= q THEN r END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id), quota"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that it can express."""
     return {
@@ -210,4 +268,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": _LEAKS_SQL,
         "op8_substrings": _WINDOWS_SQL,
         "op9_jaccard": _JACCARD_SQL,
+        "op12_resampling": _RESAMPLING_SQL,
     }
