@@ -18,6 +18,7 @@ from barlake.llm.simhash import edited_fingerprints, with_near_rows
 from barlake.llm.storage import read, written
 from barlake.llm.substrings import remove_repeated_windows
 from barlake.llm.suffixes import remove_repeated_substrings
+from barlake.llm.trie import ordered_turns, prefix_trie, rebuilt
 from barlake.llm.warc import archived
 
 
@@ -107,6 +108,10 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(*ordered_turns(read(spark, sf_dir, "conversations"))))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard": op9_jaccard,
         "op10_suffixes": op10_suffixes,
         "op12_resampling": op12_resampling,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": pipeline,
     }
 
@@ -261,6 +267,37 @@ SELECT doc_id, n_features, weight, score, CASE WHEN r <= q THEN r END AS rank
 FROM scored LEFT JOIN ranked USING (doc_id), quota"""
 
 
+_TRIE_SQL = f"""
+WITH {_CRC_TABLE_SQL},
+t AS (SELECT conv_id, turn, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+      FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list(said ORDER BY turn NULLS FIRST, md5(length(said.role) || ':' || said.role
+                           || said.text), strlen(said.text)) AS turns
+      FROM t GROUP BY conv_id),
+c AS (SELECT conv_id, turns, conv_id - conv_id % 5 AS giver,
+             CAST({_crc32_sql("CAST(conv_id AS VARCHAR)", "crc.t")} % 9 AS BIGINT) AS h FROM l, crc),
+r AS (SELECT c.conv_id, list_concat(coalesce(g.turns[1:h], []), c.turns[h + 1:]) AS turns
+      FROM c LEFT JOIN l g ON g.conv_id = c.giver),
+m AS (SELECT conv_id, d, turns[1:d] AS prefix, len(turns) = d AS ends
+      FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+nodes AS (SELECT d, prefix, min(conv_id) AS node, count(*) AS n,
+                 coalesce(strlen(prefix[-1].text), 0) AS size,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                                 FILTER (ends), '')) AS ends_sha256
+          FROM m GROUP BY d, prefix),
+mm AS (SELECT conv_id, d, node FROM m JOIN nodes USING (d, prefix)),
+up AS (SELECT u.node, u.d, mm.node AS parent
+       FROM nodes u JOIN mm ON mm.conv_id = u.node AND mm.d = u.d - 1),
+kids AS (SELECT parent AS node, d - 1 AS d, count(*) AS n FROM up GROUP BY ALL),
+below AS (SELECT mm.node, mm.d, sum((u.n - 1) * u.size) AS saved, count_if(k.n IS NULL) AS leaves
+          FROM nodes u LEFT JOIN kids k USING (node, d)
+          JOIN mm ON mm.conv_id = u.node AND mm.d <= u.d GROUP BY mm.node, mm.d)
+SELECT node AS conv_id, d AS depth, up.parent AS parent_conv_id, nodes.n AS n_convs,
+       coalesce(kids.n, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM nodes JOIN below USING (node, d) LEFT JOIN up USING (node, d) LEFT JOIN kids USING (node, d)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that it can express."""
     return {
@@ -269,4 +306,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_substrings": _WINDOWS_SQL,
         "op9_jaccard": _JACCARD_SQL,
         "op12_resampling": _RESAMPLING_SQL,
+        "op13_prefix_trie": _TRIE_SQL,
     }

@@ -38,15 +38,17 @@ def _starts(words: Column, length: int) -> Column:
     return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
 
 
+def _runs(items: Column, length: int) -> Column:
+    """All runs of so many consecutive items."""
+    return F.transform(_starts(items, length), lambda i: F.slice(items, i, length))
+
+
 def _inside(words: Column, n: int, buckets: int) -> Column:
     """Buckets of all runs of 1 to ``n`` words of a line, with repeats."""
     runs = [F.transform(words, lambda w: _bucket(w, buckets))]
     for length in range(2, n + 1):
         runs.append(
-            F.transform(
-                _starts(words, length),
-                lambda i, k=length: _bucket(F.array_join(F.slice(words, i, k), " "), buckets),
-            )
+            F.transform(_runs(words, length), lambda run: _bucket(F.array_join(run, " "), buckets))
         )
     return F.concat(*runs)
 
@@ -71,10 +73,9 @@ def _across(lines: Column, n: int, buckets: int) -> Column:
     ended = F.flatten(F.transform(lines, lambda line, i: ends(_words(line), i)))
     runs = []
     for length in range(2, n + 1):
-        slices = F.transform(_starts(ended, length), lambda i, k=length: F.slice(ended, i, k))
         crossing = F.filter(
-            slices,
-            lambda run, k=length: (run[0]["line"] != run[k - 1]["line"])
+            _runs(ended, length),
+            lambda run: (F.element_at(run, 1)["line"] != F.element_at(run, -1)["line"])
             & ~F.exists(run, lambda w: w["word"] == ""),
         )
         runs.append(
