@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import toxicity
+from barlake.llm import quality, toxicity
 from barlake.llm.chat import format_chats
 from barlake.llm.decontamination import decontaminate
 from barlake.llm.jaccard import link_documents
@@ -103,6 +103,18 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(quality.learnt_from(F.col("doc_id")))
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = importance_resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -130,6 +142,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substrings": op8_substrings,
         "op9_jaccard": op9_jaccard,
         "op10_suffixes": op10_suffixes,
+        "op11_quality": op11_quality,
         "op12_resampling": op12_resampling,
         "op13_prefix_trie": op13_prefix_trie,
         "pipeline": pipeline,
