@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars by turns: every node's larger neighbours are handed to its
     smallest one, then its smaller ones, until nothing moves. The number of edges
     does not grow, and a round is two aggregates with partial combining and two joins
-    back, whose hot keys adaptive execution splits. Rounds are few (logarithmic in
+    back. The aggregates are written first: both sides of a join are plain shuffles then, whose hot keys adaptive
+    execution splits. Rounds are few (logarithmic in
     practice); each is written. Nulls and loops are left out; nodes without another
     one do not appear.
     """
@@ -27,14 +28,15 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             now.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = (
             both.join(least, "u")
             .filter("v > u")
             .select(F.col("v").alias("hi"), F.col("m").alias("lo"))
             .distinct()
         )
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        large = written(large, "large")
+        least = written(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         ends = F.explode(F.array("hi", "lo")).alias("hi")
         small = large.join(least, "hi").select(ends, F.col("m").alias("lo"))
         now = written(small.filter("hi <> lo").distinct(), "edges")

@@ -192,7 +192,8 @@ def _link(sets: DataFrame, percent: int) -> DataFrame:
         "labelled",
     )
     roots = components(labelled.select(F.col("set").alias("a"), F.col("root").alias("b")))
-    links = labelled.groupBy("set").agg(F.sum("links").alias("links"))
+    roots = written(roots, "roots")
+    links = written(labelled.groupBy("set").agg(F.sum("links").alias("links")), "links")
     return (
         copies.drop("n")
         .join(links, "set", "left")
@@ -252,13 +253,14 @@ def _linked(
         )
 
     sets = written(met(chunks, documents, gather, _SETS), "sets")
-    linked = _link(sets, percent)
+    # Written: the joins below have plain shuffles on both sides, whose hot sets and groups are split.
+    linked = written(_link(sets, percent), "linked")
     rows = sets.drop("tokens")
     alone = rows.filter("set IS NULL")  # they would all meet in one task of a join
-    rows = rows.filter("set IS NOT NULL").join(linked, "set")
+    rows = written(rows.filter("set IS NOT NULL").join(linked, "set"), "rooted")
     # The smallest id of a group, and the one row that stands for it.
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "chunk", "row")
-    firsts = rows.groupBy("root").agg(F.min(order).alias("_first"))
+    firsts = written(rows.groupBy("root").agg(F.min(order).alias("_first")), "firsts")
     first = F.col("_first")
     grouped = rows.join(firsts, "root").select(
         "chunk",

@@ -132,13 +132,16 @@ def pareto_mix(
     )
     upto = Window.partitionBy("source").orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)
     steps = steps.withColumn("_upto", F.sum("_sum").over(upto))
-    crossing = (
+    # A row for each source at most, written so that its size is known: rows of a hot source are not
+    # shuffled by it.
+    crossing = written(
         steps.filter(F.col("_upto") > F.col("_want"))
         .groupBy(F.col("source").alias("_at"))
         .agg(
             F.min("_step").alias("_cross"),
             F.min_by(F.col("_upto") - F.col("_sum"), "_step").alias("_before"),
-        )
+        ),
+        "crossing",
     )
     placed = ranked.join(crossing, F.col("source").eqNullSafe(F.col("_at")), "left")
     last = F.coalesce(F.col("_cross"), F.lit(BINS + 1))

@@ -2,7 +2,9 @@
 
 Hashes are polynomials modulo 2**64 over random byte values, taken from running
 sums, so a hash of any substring costs the same, whatever its length. They are
-scrambled at the end, because the low bits of such polynomials are weak.
+scrambled at the end, because the low bits of such polynomials are weak. Long
+sequences of two symbols exist (Thue-Morse words of 1024 and more) whose polynomials are equal
+whatever the base, so words longer than ``SPAN`` bytes are hashed as trees, of ``SPAN`` parts at most at each node.
 """
 
 from __future__ import annotations
@@ -86,6 +88,32 @@ class Rolling:
             return _splitmix(self.raw(start, end) + _splitmix((end - start).astype(_U)))
 
 
+#: Bytes, or parts, that one polynomial of :func:`tree_hashes` takes.
+SPAN = 64
+
+
+def tree_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of ranges; those longer than ``SPAN`` are cut into spans, whose hashes are hashed alike.
+
+    Spans are counted from the range's start, so equal ranges have equal hashes wherever they are.
+    """
+    rolling = Rolling(values)
+    out = rolling(start, end)
+    long = np.flatnonzero(end - start > SPAN)
+    if len(long):
+        low, high = start[long], end[long]
+        parts = -(-(high - low) // SPAN)
+        upto = np.cumsum(parts)
+        inside = np.arange(upto[-1]) - np.repeat(upto - parts, parts)
+        at = np.repeat(low, parts) + inside * SPAN
+        spans = rolling(at, np.minimum(at + SPAN, np.repeat(high, parts)))
+        above = tree_hashes(spans, upto - parts, upto)
+        with np.errstate(over="ignore"):
+            # Another salt than short ranges have; the length tells depths apart.
+            out[long] = _splitmix(above + _splitmix((high - low).astype(_U) + _U(1 << 63)))
+    return out
+
+
 def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE_VALUES[data]
 
@@ -137,7 +165,7 @@ class Words:
         return np.diff(self.row_at)
 
     def hashes(self) -> np.ndarray:
-        return Rolling(byte_values(self.data))(self.start, self.end)
+        return tree_hashes(byte_values(self.data), self.start, self.end)
 
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.at) - 1), self.per_row)

@@ -185,3 +185,34 @@ def test_components(spark, seed):
     df = spark.createDataFrame([*edges, (None, 3)], "a long, b long")
     got = {r.node: r.root for r in components(df).collect()}
     assert got == {x: find(x) for x in parent}
+
+
+def test_hot_keys_of_components_are_split(spark):
+    """The node in the middle of a star: both sides of the join are plain shuffles, so its key is split."""
+    from pyspark.sql import functions as F
+
+    from barlake.llm.storage import written
+
+    options = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        spokes = spark.range(1, 200_001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+        both = written(spokes.unionByName(spokes.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")), "least")
+        joined = both.join(least, "u")
+        assert joined.count() == 400_000
+        joined.collect()
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+        found = components(spokes.toDF("a", "b")).select("root").distinct().collect()
+        assert [r.root for r in found] == [0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -95,3 +95,12 @@ def test_chunks_keep_every_row(documents, small_chunks):
     chunks = chunked(documents, "text")
     assert chunks.count() > 5
     assert chunks.select("chunk").distinct().count() == chunks.count()
+
+
+def test_long_words_whose_polynomials_are_equal(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(0, one, 0), (1, other, 2), (2, one, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part int")
+    scored = lm.score_texts(docs, F.col("part")).collect()
+    assert {r.doc_id: r.n_known for r in scored} == {0: 2, 1: 1, 2: 2}

@@ -70,3 +70,13 @@ def test_few_different_words(spark, window):
 
 def test_empty_table(no_documents):
     assert remove_repeated_windows(no_documents).collect() == []
+
+
+def test_long_words_whose_polynomials_are_equal(spark):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    same = ["word"] * 49
+    rows = [(1, " ".join([*same, one])), (2, " ".join([*same, other])), (3, " ".join([*same, other]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = remove_repeated_windows(docs).select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, kept)) == [(1, 0), (2, 0), (3, 50)]

@@ -96,3 +96,33 @@ def test_keys_meet_their_answers(bits, buckets):
     answers = keys.answers(got, np.uint32)
     _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     assert (answers[keys.inverse] == counts[inverse]).all()
+
+
+def thue_morse(n, symbols):
+    return "".join(symbols[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048, 8192, 1 << 17])
+@pytest.mark.parametrize("symbols", ["ab", "xyzzy é".split()])
+def test_texts_whose_polynomials_are_equal(n, symbols):
+    """Whatever the base, a plain polynomial modulo 2**64 cannot tell these apart."""
+    one, other = thue_morse(n, symbols), thue_morse(n, symbols[::-1])
+    hashes, _ = w.hashed(pa.array([one, f"{other} {one}", "x" * 100 + " " + one]))
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2] == hashes[4]
+    data = np.frombuffer((one + other).encode(), np.uint8)
+    half = np.array([0, len(one.encode())])
+    if n >= 1024 and len(one) == len(other) == n:
+        plain = w.Rolling(w.byte_values(data))(half, half + n)
+        assert plain[0] == plain[1]
+
+
+def test_tree_hashes_depend_on_the_range_alone():
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 99, 20_000).astype(np.uint8)
+    values = w.byte_values(np.concatenate([data, data[:1], data]))
+    start = rng.integers(0, 9_000, 300)
+    end = start + rng.integers(0, 11_000, 300)
+    first = w.tree_hashes(values, start, end)
+    assert np.array_equal(first, w.tree_hashes(values, start + 20_001, end + 20_001))
+    texts_ = {data[a:b].tobytes() for a, b in zip(start, end)}
+    assert len(set(first.tolist())) == len(texts_)
