@@ -92,3 +92,53 @@ def test_every_telling_term_is_kept():
     index = np.arange(toxicity.PLACES, dtype=np.int32)
     got = set(zip(*map(list, toxicity.chosen_terms(text, index))))
     assert got == set(zip(row, place))
+
+
+def test_learns_a_pair_whose_members_tell_nothing(spark):
+    """An insult or a group, but not both: each word by itself is as often in either label."""
+    rng = random.Random(7)
+    rows = [(i, text, (i % 2) ^ (i // 2 % 2)) for i, text, _ in made(rng, 3000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows[:2200]], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert np.mean([(scored[i] >= 0.5) == bool(y) for i, _, y in rows[2200:]]) >= 0.95
+
+
+def test_raw_is_the_sum_over_terms_and_pairs():
+    rng = np.random.default_rng(3)
+    weights, factors = rng.normal(size=9), rng.normal(size=(9, 4))
+    model = toxicity.Machine(np.zeros(1, np.int32), 0.3, weights, factors)
+    terms = [[0, 3, 8], [], [5], [1, 2, 4, 6, 7]]
+    row = np.repeat(np.arange(4), [len(t) for t in terms])
+    got = model.raw(row, np.array(sum(terms, [])), 4)
+    for have, mine in zip(got, terms):
+        want = 0.3 + sum(weights[t] for t in mine)
+        want += sum(factors[a] @ factors[b] for i, a in enumerate(mine) for b in mine[i + 1 :])
+        assert have == pytest.approx(want)
+
+
+def test_pairs_that_only_add_up_are_not_taken():
+    share = np.full(toxicity.PLACES, 0.1)
+    share[1] = 0.95
+    pairs = np.array([1 * toxicity.PLACES + 2, 3 * toxicity.PLACES + 4, 5 * toxicity.PLACES + 6])
+    n0, n1 = np.array([5, 2, 0]), np.array([95, 60, 8])
+    assert toxicity.interacting(pairs, n0, n1, share, 0.1).tolist() == [False, True, False]
+
+
+def test_near_pairs_against_plain_python():
+    texts = ["a b c a", "", None, " ".join(f"w{i}" for i in range(80)), "the same the same"]
+    every = np.ones(toxicity.PLACES, bool)
+    place = {}
+    for word in {w for t in texts for w in (t or "").split()}:
+        row, places = toxicity.terms(pa.array([word]))
+        place[word] = int(places[0])
+    for text, found in zip(texts, toxicity.near_pairs(pa.array(texts), every)):
+        words = [place[w] for w in (text or "").split()]
+        want = {
+            min(a, b) * toxicity.PLACES + max(a, b)
+            for i, a in enumerate(words)
+            for b in words[i + 1 : i + toxicity.NEAR]
+            if a != b
+        }
+        assert set(found.tolist()) == want and len(found) == len(want)
