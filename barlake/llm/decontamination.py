@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.llm.exchange import chunked, rows_of
 from barlake.llm.storage import written
 from barlake.llm.words import (
     LOWER,
@@ -23,9 +27,11 @@ from barlake.llm.words import (
     window_hashes,
 )
 
-#: Text of the items that one automaton is built of (a block), in bytes; larger
-#: benchmarks take a pass over the documents for each block.
+#: Text of the items that one automaton is built of (a block), in bytes.
 BLOCK_BYTES = 1 << 20
+#: Blocks whose automata are broadcast together, some ten megabytes each; larger benchmarks take
+#: another pass over the documents for as many again.
+AT_ONCE = 16
 
 GAPS = np.ones(256, bool)
 GAPS[0x30:0x3A] = GAPS[0x61:0x7B] = GAPS[0x80:] = False
@@ -126,28 +132,85 @@ class Automaton:
             state = self.link[state]
         return state
 
-    def mark(self, words: list[int], hit: np.ndarray) -> set[int]:
-        """Sets the words inside item windows; returns the items they are from."""
+
+class Packed:
+    """An automaton as flat arrays, to be broadcast and to read texts.
+
+    Steps are sorted by state and word number; a step is looked up by bisection. ``ids`` has for each item of the
+    automaton the ids of all items with its text.
+    """
+
+    def __init__(self, automaton: Automaton, ids: list[list[int | None]]):
+        self.window, self.shortest = automaton.window, automaton.shortest
+        self.gram, self.grams, self.ids = automaton.gram, automaton.grams, ids
+        self.words = np.unique(np.array([w for _, w in automaton.step], np.uint64))
+        states = np.array([s for s, _ in automaton.step], np.uint64)
+        words = np.searchsorted(self.words, np.array([w for _, w in automaton.step], np.uint64))
+        keys = (states << np.uint64(32)) | words.astype(np.uint64)
+        order = np.argsort(keys)
+        targets = np.array(list(automaton.step.values()), np.int32)[order]
+        self.keys, self.targets = array("Q", keys[order].tobytes()), array("i", targets.tobytes())
+        self.length, self.link = array("i", automaton.length), array("i", automaton.link)
+        self.items_at = _Lists({s: sorted(items) for s, items in automaton.items_at.items()})
+        self.short_at = _Lists(
+            {s: [x for pair in pairs for x in pair] for s, pairs in automaton.short_at.items()}
+        )
+
+    def step(self, state: int, word: int) -> int:
+        """The state after it, 0 if there is none."""
+        key = state << 32 | word
+        at = bisect_left(self.keys, key)
+        return self.targets[at] if at < len(self.keys) and self.keys[at] == key else 0
+
+    def walk(self, words: list[int]) -> Iterator[tuple[int, int, int]]:
+        """As that of the automaton, over numbers of words, -1 for those it has not."""
+        state = matched = 0
+        for i, word in enumerate(words):
+            after = 0
+            if word < 0:
+                state = matched = 0
+            else:
+                after = self.step(state, word)
+                while state and not after:
+                    state = self.link[state]
+                    matched = self.length[state]
+                    after = self.step(state, word)
+            state = after
+            matched = matched + 1 if state else 0
+            yield i, state, matched
+
+    def cut(self, state: int) -> int:
+        """The state of the last ``window`` words of a match."""
+        while self.length[self.link[state]] >= self.window:
+            state = self.link[state]
+        return state
+
+    def mark(self, words: np.ndarray, hit: np.ndarray) -> set[int | None]:
+        """Sets the words inside item windows; returns the ids of the items they are from."""
+        at = np.searchsorted(self.words, words)
+        known = self.words[np.minimum(at, len(self.words) - 1)] == words
         found: set[int] = set()
-        for i, state, matched in self.walk(words):
+        for i, state, matched in self.walk(np.where(known, at, -1).tolist()):
             if matched >= self.window:
                 hit[i - self.window + 1 : i + 1] = True
-                found |= self.items_at[self.cut(state)]
-            for n, item in self.short_at.get(state, ()):
+                found.update(self.items_at[self.cut(state)])
+            short = self.short_at[state] if state else ()
+            for n, item in zip(short[::2], short[1::2]):
                 if n <= matched:
                     hit[i - n + 1 : i + 1] = True
                     found.add(item)
-        return found
+        return {id_ for item in found for id_ in self.ids[item]}
 
-    def search(self, words: np.ndarray, row_at: np.ndarray) -> tuple[np.ndarray, dict[int, set[int]]]:
-        """Hit words of many texts, and the items of each text that has some.
+    def search(
+        self, words: np.ndarray, row_at: np.ndarray, hit: np.ndarray, items: dict[int, set]
+    ) -> None:
+        """Adds hit words of many texts, and the items of each text that has some.
 
         Only runs of places whose n-gram is one of the items' can hold a match; the
         automaton reads those.
         """
-        hit, items = np.zeros(len(words), bool), {}
         if not len(self.grams) or len(words) < self.gram:
-            return hit, items
+            return
         hashes = window_hashes(words, self.gram)
         at = np.searchsorted(self.grams, hashes)
         known = np.zeros(len(words), bool)
@@ -158,10 +221,25 @@ class Automaton:
             if end - start + self.gram - 1 < self.shortest:
                 continue
             first, last = row_at[row] + start, row_at[row] + end + self.gram - 1
-            found = self.mark(words[first:last].tolist(), hit[first:last])
+            found = self.mark(words[first:last], hit[first:last])
             if found:
                 items.setdefault(int(row), set()).update(found)
-        return hit, items
+
+
+class _Lists:
+    """Lists of numbers by state, in three arrays."""
+
+    def __init__(self, lists: dict[int, list[int]]):
+        states = sorted(lists)
+        self.states = array("i", states)
+        self.at = array("q", [0, *np.cumsum([len(lists[s]) for s in states]).tolist()])
+        self.values = array("i", [x for s in states for x in lists[s]])
+
+    def __getitem__(self, state: int):
+        at = bisect_left(self.states, state)
+        if at == len(self.states) or self.states[at] != state:
+            return ()
+        return self.values[self.at[at] : self.at[at + 1]]
 
 
 def _block_count(items: DataFrame, text_col: str) -> int:
@@ -169,15 +247,20 @@ def _block_count(items: DataFrame, text_col: str) -> int:
     return int(total // BLOCK_BYTES) + 1
 
 
-def _block(
-    items: DataFrame, item_col: str, text_col: str, block: int, n: int
-) -> list[tuple[int, np.ndarray]]:
-    """Ids and words of the items of one of ``n`` blocks, dealt by a hash of their text."""
-    texts = items.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).alias("t"))
+def _packed(
+    items: DataFrame, item_col: str, text_col: str, block: int, n: int, window: int
+) -> Packed:
+    """The automaton of one of ``n`` blocks of items, dealt by a hash of their text.
+
+    Equal texts come to the driver once, with the ids of all of them.
+    """
+    texts = items.select(F.struct(F.col(item_col).cast("long")).alias("i"), F.col(text_col).alias("t"))
     mine = F.pmod(F.xxhash64("t"), F.lit(n)) == block
-    rows = texts.filter(F.col("t").isNotNull() & mine).collect()
+    alike = texts.filter(F.col("t").isNotNull() & mine).groupBy("t")
+    rows = alike.agg(F.collect_set("i").alias("ids")).collect()
     words, at = hashed(pa.array([r["t"] for r in rows], pa.string()), GAPS, LOWER)
-    return [(r["i"], words[at[k] : at[k + 1]]) for k, r in enumerate(rows)]
+    sequences = [(k, words[at[k] : at[k + 1]]) for k in range(len(rows))]
+    return Packed(Automaton(sequences, window), [[i[0] for i in r["ids"]] for r in rows])
 
 
 def _words_and_edges(text: pa.Array):
@@ -206,60 +289,111 @@ def decontaminate(
     run), itself where nothing is hit, null where it is null. How many hits are too many is for the
     caller to say. Rows are not moved. Null and empty texts and items have no words;
     repeated rows and items are looked at each by itself; items with a null id count as one item.
-    Empty tables are fine. Input columns of the added names are replaced.
+    Empty tables are fine. Input columns of the added names are replaced. A text needs some ten times its size in
+    memory.
 
-    The automaton is broadcast; it is built of at most ``BLOCK_BYTES`` of items (or one
-    longer item). A larger benchmark is split by a hash of its texts, and the documents
-    are gone through once for each block, what was found being kept beside them.
+    An automaton is built of at most ``BLOCK_BYTES`` of items (or one longer item), split by a hash of
+    their texts, and packed; ``AT_ONCE`` of them are broadcast together and read each text one after the other.
+    For a larger benchmark the documents are written once, in chunks; each pass over them keeps only the
+    marks of the texts that it hits, and these meet their chunk in the end.
     """
-    spark = docs.sparkSession
-    docs = docs.drop("_marks", "_found", "_words", "_hits", "_items", "_kept")
-    state = T.StructType(list(docs.schema.fields))
-    state.add("_marks", "binary").add("_found", T.ArrayType(T.LongType()))
+    docs = docs.drop("_words", "_hits", "_items", "_kept")
     final = T.StructType(list(docs.schema.fields))
     final.add("_words", "long").add("_hits", "long").add("_items", T.ArrayType(T.LongType()))
     final.add("_kept", "string")
     blocks = _block_count(items, item_text_col)
-    marked = docs.withColumn("_marks", F.lit(None).cast("binary")).withColumn(
-        "_found", F.lit(None).cast(T.ArrayType(T.LongType()))
-    )
-    for number in range(blocks):
-        block = _block(items, item_col, item_text_col, number, blocks)
-        shared = spark.sparkContext.broadcast(Automaton(block, window))
-        last = number == blocks - 1
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last):
+    def automata(first: int):
+        """Broadcast: the size of the blocks and their number are bounded."""
+        numbers = range(first, min(first + AT_ONCE, blocks))
+        packed = [_packed(items, item_col, item_text_col, b, blocks, window) for b in numbers]
+        return docs.sparkSession.sparkContext.broadcast(packed)
+
+    if blocks <= AT_ONCE:
+        shared = automata(0)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for first, end in pieces(batch.column(text_col), 1 << 20):
-                    yield _searched(batch.slice(first, end - first), text_col, shared.value, last)
-
-        marked = marked.mapInArrow(run, final if last else state)
-        if not last:
-            marked = written(marked, "marked")
-    return marked
+                    part = batch.slice(first, end - first)
+                    yield _finished(part, text_col, *_searched(part.column(text_col), shared.value))
+
+        return docs.mapInArrow(run, final)
+
+    chunks = chunked(docs, text_col)
+    passes = [
+        written(_marks(chunks, text_col, automata(first)), "marks")
+        for first in range(0, blocks, AT_ONCE)
+    ]
+    marks = reduce(DataFrame.unionByName, passes)
+
+    def both(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = rows_of(left.column("rows")[0].as_buffer()).combine_chunks()
+        marked: dict[int, list[tuple]] = defaultdict(list)
+        for r in right.select(["row", "marks", "found"]).to_pylist():
+            marked[r["row"]].append((r["marks"], r["found"]))
+        out = []
+        for batch in rows.to_batches():
+            for first, end in pieces(batch.column(text_col), 1 << 20):
+                part = batch.slice(first, end - first)
+                words, row_at = hashed(part.column(text_col), GAPS, LOWER)
+                hit, found = np.zeros(len(words), bool), {}
+                for row in range(part.num_rows):
+                    for bits, ids in marked.get(row + first, ()):
+                        span = slice(row_at[row], row_at[row + 1])
+                        n = int(row_at[row + 1] - row_at[row])
+                        hit[span] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
+                        found.setdefault(row, set()).update(ids)
+                out.append(_finished(part, text_col, hit, found, row_at))
+        return pa.Table.from_batches(out)
+
+    whole = chunks.select("chunk", "rows").groupBy("chunk")
+    return whole.cogroup(marks.groupBy("chunk")).applyInArrow(both, final)
+
+
+_MARKS = "chunk long, row int, marks binary, found array<long>"
+
+
+def _marks(chunks: DataFrame, text_col: str, shared) -> DataFrame:
+    """Of the rows that some automata hit: which words, as bits, and the items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = rows_of(blob.as_buffer()).column(text_col).combine_chunks()
+                for first, end in pieces(text, 1 << 20):
+                    hit, items, row_at = _searched(text.slice(first, end - first), shared.value)
+                    rows = sorted(items)
+                    bits = [np.packbits(hit[row_at[r] : row_at[r + 1]]).tobytes() for r in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([chunk] * len(rows), pa.int64()),
+                            pa.array([r + first for r in rows], pa.int32()),
+                            pa.array(bits, pa.binary()),
+                            pa.array([list(items[r]) for r in rows], pa.list_(pa.int64())),
+                        ],
+                        names=["chunk", "row", "marks", "found"],
+                    )
+
+    return chunks.select("chunk", "rows").mapInArrow(run, _MARKS)
+
+
+def _searched(text: pa.Array, automata: list[Packed]) -> tuple[np.ndarray, dict[int, set], np.ndarray]:
+    """Hit words, items by row, and where each row's words start."""
+    words, row_at = hashed(text, GAPS, LOWER)
+    hit, items = np.zeros(len(words), bool), {}
+    for automaton in automata:
+        automaton.search(words, row_at, hit, items)
+    return hit, items, row_at
 
 
-def _searched(batch: pa.RecordBatch, text_col: str, automaton: Automaton, last: bool) -> pa.RecordBatch:
-    """One block's findings joined with those of the blocks before."""
-    text = batch.column(text_col)
-    words, row_at = hashed(text, GAPS, LOWER)
-    hit, items = automaton.search(words, row_at)
-    for row, marks in enumerate(batch.column("_marks").to_pylist()):
-        if marks is not None:
-            n = row_at[row + 1] - row_at[row]
-            hit[row_at[row] : row_at[row + 1]] |= np.unpackbits(np.frombuffer(marks, np.uint8), count=n).astype(bool)
-    for row, found in enumerate(batch.column("_found").to_pylist()):
-        if found:
-            items.setdefault(row, set()).update(found)
-    n = batch.num_rows
+def _finished(
+    batch: pa.RecordBatch, text_col: str, hit: np.ndarray, items: dict[int, set], row_at: np.ndarray
+) -> pa.RecordBatch:
+    text, n = batch.column(text_col), batch.num_rows
     found = [sorted(items.get(r, ()), key=lambda i: (i is None, i)) for r in range(n)]
     upto = np.concatenate([[0], np.cumsum(hit)])
     hits = upto[row_at[1:]] - upto[row_at[:-1]]
-    out = batch.drop_columns(["_marks", "_found"])
-    lists = pa.array(found, pa.list_(pa.int64()))
-    if not last:
-        marks = [np.packbits(hit[row_at[r] : row_at[r + 1]]).tobytes() if hits[r] else None for r in range(n)]
-        return out.append_column("_marks", pa.array(marks, pa.binary())).append_column("_found", lists)
     kept = text
     rows = np.flatnonzero(hits)
     if len(rows):
@@ -273,8 +407,8 @@ def _searched(batch: pa.RecordBatch, text_col: str, automaton: Automaton, last:
         cut = [data[at[r] : at[r + 1]][keep[at[r] : at[r + 1]]].tobytes().decode() for r in rows]
         kept = pc.replace_with_mask(text, pa.array(hits > 0), pa.array(cut, text.type))
     return (
-        out.append_column("_words", pa.array(np.diff(row_at), pa.int64()))
+        batch.append_column("_words", pa.array(np.diff(row_at), pa.int64()))
         .append_column("_hits", pa.array(hits, pa.int64()))
-        .append_column("_items", lists)
+        .append_column("_items", pa.array(found, pa.list_(pa.int64())))
         .append_column("_kept", kept)
     )

@@ -95,3 +95,44 @@ def test_what_is_left_of_a_text(spark):
     docs = spark.createDataFrame([(1, "A (b, C d). e"), (2, "b c"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: r._kept for r in d.decontaminate(docs, items).collect()}
     assert got == {1: "A (). e", 2: "b c", 3: None}
+
+
+def test_a_pass_for_each_block_writes_no_texts(spark, documents, texts, monkeypatch):
+    """A benchmark too large for one pass: chunks are written once, passes write marks alone."""
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    odd = spark.createDataFrame([(None, "without an id and rather short"), (7, "one"), (8, "one")], ITEMS)
+    items = items.unionByName(odd)
+    rows = [(r["item_id"], r["text"]) for r in items.collect()]
+    monkeypatch.setattr(d, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(d, "AT_ONCE", 1)
+    monkeypatch.setattr("barlake.llm.exchange.CHUNK_BYTES", 1 << 16)
+    wrote = []
+    real = d.written
+    monkeypatch.setattr(d, "written", lambda df, label: wrote.append(df.columns) or real(df, label))
+    got = d.decontaminate(documents, items)
+    assert found(got) == plain(texts, rows, 10)
+    assert len(wrote) >= 3 and all(w == ["chunk", "row", "marks", "found"] for w in wrote)
+    assert set(got.columns) == set(documents.columns) | {"_words", "_hits", "_items", "_kept"}
+
+
+def test_equal_items_are_read_once(spark):
+    items = spark.createDataFrame([(i, "a b c d") for i in range(50)] + [(None, "a b c d")], ITEMS)
+    packed = d._packed(items, "item_id", "text", 0, 1, 10)
+    assert len(packed.ids) == 1 and len(packed.ids[0]) == 51
+    docs = spark.createDataFrame([(1, "x a b c d y")], "doc_id long, text string")
+    (row,) = d.decontaminate(docs, items).collect()
+    assert row._items == [*range(50), None] and row._hits == 4
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_packed_walks_as_the_automaton_does(seed):
+    import numpy as np
+
+    rng = random.Random(seed)
+    items = [[rng.randrange(1, 5) for _ in range(rng.randrange(0, 14))] for _ in range(6)]
+    automaton = d.Automaton([(i, np.array(w, np.uint64)) for i, w in enumerate(items)], window=4)
+    packed = d.Packed(automaton, [[i] for i in range(6)])
+    text = [rng.randrange(1, 7) for _ in range(200)]
+    numbers = {int(w): k for k, w in enumerate(packed.words)}
+    plainly = [(i, m) for i, _, m in automaton.walk(text)]
+    assert plainly == [(i, m) for i, _, m in packed.walk([numbers.get(w, -1) for w in text])]
