@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 import barlake as b
 from barlake.operators.normalize import parse_payloads
 from barlake.operators.rollup import DAILY_COLUMNS
-from barlake.sources.staging import new_dir
+from barlake.plans.pipeline import loaded
+from barlake.sources.staging import new_dir, remove, staged
 from barlake.sources.adapters import bars_to_payloads, events_to_bars
 
 DATE = "2024-01-05"
@@ -302,7 +303,7 @@ def dq_silver_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.run_checks(daily_rollup(spark, sf_dir), "daily_trades")
 
 
-def dq_silver_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver with repeated keys, missing days and negative values."""
     daily, mine = daily_rollup(spark, sf_dir), F.col("symbol") == SYMBOL
     negative = daily.withColumns(
@@ -312,8 +313,22 @@ def dq_silver_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     undated = daily.filter(~mine).withColumn("trade_date", F.lit(None).cast("date"))
-    return b.run_checks(
-        negative.unionByName(daily.filter(mine)).unionByName(undated), "daily_trades"
+    return negative.unionByName(daily.filter(mine)).unionByName(undated)
+
+
+def dq_silver_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.run_checks(_faulty(spark, sf_dir), "daily_trades")
+
+
+def dq_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver checks for each day and for each symbol, out of one pass over faulty rows."""
+    results = b.run_checks_by(_faulty(spark, sf_dir), "daily_trades", ["trade_date"], ["symbol"])
+    return results.select(
+        F.col("by").alias("grouping"),
+        F.col("group")[0].alias("value_of_group"),
+        F.col("check"),
+        F.col("value"),
+        F.col("passed"),
     )
 
 
@@ -677,6 +692,119 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(bars).drop("batch_id")
 
 
+# --- repeated polls, failed runs, small files ---------------------------------
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bars, some with another close."""
+    bars = _bars(spark, sf_dir)
+    close = F.col("close") + F.when(F.col("volume") >= 50, 1).otherwise(0)
+    return bars.withColumn("close", close)
+
+
+def ingest_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three polls of a feed that sends everything: first, equal, with corrections. Only changes are stored."""
+    root = new_dir(spark, "delta")
+    polls = [_bars(spark, sf_dir), _bars(spark, sf_dir), _corrected(spark, sf_dir)]
+    for batch_id, bars in enumerate(polls, 1):
+        b.load_bronze(bars_to_payloads(bars), f"{root}/wh", batch_id, store="changed")
+    return _wall_clock(b.read_table(spark, b.TRADE, f"{root}/wh"))
+
+
+def silver_after_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver kept up by such polls: the corrected closes count."""
+    root = new_dir(spark, "delta-run")
+    for batch_id, bars in enumerate((_bars(spark, sf_dir), _corrected(spark, sf_dir)), 1):
+        _land(bars_to_payloads(bars), f"{root}/landing-{batch_id}", "a")
+        b.run_pipeline(
+            spark,
+            f"{root}/landing-{batch_id}",
+            f"{root}/wh",
+            batch_id=batch_id,
+            layout="lines",
+            store="changed",
+        )
+    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+
+
+def end_to_end_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run fails between bronze and silver; the next one, for other days, publishes both."""
+    root = new_dir(spark, "after-failure")
+    bars = _bars(spark, sf_dir)
+    early = F.col("partition") < DATE
+    try:
+        with loaded(bars_to_payloads(bars.filter(early)), f"{root}/wh", 1):
+            raise InterruptedError("bronze is stored, silver is not")
+    except InterruptedError:
+        pass
+    _land(bars_to_payloads(bars.filter(~early)), f"{root}/landing", "a")
+    b.run_pipeline(spark, f"{root}/landing", f"{root}/wh", batch_id=2, layout="lines")
+    return b.read_table(spark, b.DAILY_TRADES, f"{root}/wh")
+
+
+def recovered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replacement of days is lost when one of them is gone; its rows are back after ``recover``."""
+    warehouse = _bronze(spark, sf_dir, "recovered")
+    b.write_table(_sent_again(spark, sf_dir), b.TRADE, warehouse)
+    kept = b.dedup_latest(b.read_table(spark, b.TRADE, warehouse))
+    try:
+        with staged(kept, "lost", warehouse, replaces=b.TRADE):
+            remove(spark, f"{b.TRADE.path(warehouse)}/partition={DATE}")
+            raise InterruptedError("a day is gone")
+    except InterruptedError:
+        b.recover(spark, warehouse)
+    return _wall_clock(b.read_table(spark, b.TRADE, warehouse))
+
+
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that many appends have left in small files, rewritten: the rows are the same."""
+    warehouse = _bronze(spark, sf_dir, "compacted")
+    late = _bars(spark, sf_dir).filter(F.col("partition") >= DATE)
+    for batch_id in (2, 3):
+        b.write_table(late.withColumn("batch_id", F.lit(batch_id)), b.TRADE, warehouse)
+    b.compact(spark, b.TRADE, warehouse, at_least=3)
+    return _wall_clock(b.read_table(spark, b.TRADE, warehouse))
+
+
+def catalog_swapped_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stale days of a catalog table replaced by location, one symbol first, then all."""
+    warehouse = _stale_silver(spark, sf_dir, "swapped")
+    database = _database(warehouse)
+    b.create_silver_tables(spark, warehouse, database)
+    b.write_table(_bars(spark, sf_dir), b.TRADE, warehouse)
+    how = {"mode": "swap", "database": database}
+    b.refresh_silver(spark, warehouse, symbol=SYMBOL, **how)
+    b.refresh_silver(spark, warehouse, date=DATE, **how)
+    b.drop_unused(spark, b.DAILY_TRADES, database, warehouse, seconds=0)
+    return _last_read(spark, f"{database}.daily_trades", b.DAILY_TRADES, database)
+
+
+def rejected_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars whose time cannot be read, rejected by themselves; the others of their payload are loaded."""
+    time = F.col("trade_timestamp").cast("string")
+    bad = F.when(F.col("volume") < 20, F.concat(F.lit("no time "), time)).otherwise(time)
+    payloads = bars_to_payloads(_bars(spark, sf_dir).withColumn("trade_timestamp", bad))
+    bars, rejects = b.normalize_payloads(payloads, BATCH, untimed="reject")
+    text = lambda name: F.get_json_object("value", f"$.{name}")
+    rejected = rejects.select(
+        "reason", text("symbol").alias("symbol"), text("volume").cast("int").alias("volume")
+    )
+    return rejected.unionByName(bars.select(F.lit("accepted").alias("reason"), "symbol", "volume"))
+
+
+def quarantined_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are no payloads are set aside as they are, good payloads before and after are loaded."""
+    root = new_dir(spark, "quarantine")
+    payloads = _payloads(spark, sf_dir)
+    texts = _table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
+    for batch_id, raw in enumerate((payloads, texts, payloads), 1):
+        b.load_bronze(raw, f"{root}/wh", batch_id, on_fail="divert")
+    aside = b.read_table(spark, b.QUARANTINE, f"{root}/wh")
+    rows = aside.select("batch_id", F.array_join("failed", "; ").alias("outcome"))
+    bars = b.read_table(spark, b.TRADE, f"{root}/wh").select("batch_id", F.lit("loaded").alias("outcome"))
+    return rows.unionByName(bars).groupBy("batch_id", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- contract ---------------------------------------------------------------
 
 
@@ -761,6 +889,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "end_to_end_raise": end_to_end_raise,
         "end_to_end_touched": end_to_end_touched,
         "end_to_end_date_symbol": end_to_end_date_symbol,
+        "ingest_delta": ingest_delta,
+        "silver_after_delta": silver_after_delta,
+        "end_to_end_after_failure": end_to_end_after_failure,
+        "recovered_days": recovered_days,
+        "catalog_swapped_days": catalog_swapped_days,
+        "quarantined_batches": quarantined_batches,
+        "dq_by_day": dq_by_day,
+        "compacted_table": compacted_table,
+        "rejected_bars": rejected_bars,
         "stream_ingest": stream_ingest,
         "stream_bronze": stream_bronze,
         "stream_files": stream_files,
@@ -841,6 +978,42 @@ def _union(*parts: str) -> str:
     return "\nUNION ALL".join(parts)
 
 
+_FAULTY = f"""faulty AS (
+  SELECT trade_date, symbol, daily_close, daily_volume - 2000 AS daily_volume,
+         CASE WHEN symbol = '{SYMBOL}' THEN -daily_open ELSE daily_open END AS daily_open
+  FROM daily
+  UNION ALL BY NAME
+  SELECT trade_date, symbol, daily_close, daily_volume, daily_open
+  FROM daily WHERE symbol = '{SYMBOL}'
+  UNION ALL BY NAME
+  SELECT CAST(NULL AS DATE) AS trade_date, symbol, daily_close, daily_volume, daily_open
+  FROM daily WHERE NOT symbol = '{SYMBOL}')"""
+
+
+def _grouped_checks_sql(column: str) -> str:
+    """The silver checks of ``faulty`` for each value of a column."""
+    counts = {
+        "duplicate_count(symbol, trade_date) = 0": "sum(repeated)",
+        "missing_count(trade_date) = 0": "sum(missing)",
+        **{
+            f"invalid_count({c} < 0) = 0": f"sum({c})"
+            for c in ("daily_volume", "daily_open", "daily_close")
+        },
+    }
+    rows = ", ".join(
+        f"{{'check': '{name}', 'value': CAST({sql} AS BIGINT)}}" for name, sql in counts.items()
+    )
+    return f"""
+SELECT '{column}' AS grouping, value_of_group, r."check" AS "check", r.value AS value, r.value = 0 AS passed
+FROM (SELECT CAST({column} AS VARCHAR) AS value_of_group, unnest([{rows}]) AS r
+      FROM (SELECT trade_date, symbol,
+                   CAST(count(*) > 1 AND trade_date IS NOT NULL AND symbol IS NOT NULL AS INT) AS repeated,
+                   count_if(trade_date IS NULL) AS missing, count_if(daily_volume < 0) AS daily_volume,
+                   count_if(daily_open < 0) AS daily_open, count_if(daily_close < 0) AS daily_close
+            FROM faulty GROUP BY trade_date, symbol)
+      GROUP BY {column})"""
+
+
 def _silver_checks_sql(source: str) -> str:
     return _union(
         _zero_sql(
@@ -978,17 +1151,10 @@ FROM documents""",
         "dq_bronze_report": _WITH_BARS + dq_bronze,
         "dq_silver_report": _WITH_DAILY + _silver_checks_sql("daily"),
         "dq_silver_faults": f"""{_WITH_DAILY},
-faulty AS (
-  SELECT trade_date, symbol, daily_close, daily_volume - 2000 AS daily_volume,
-         CASE WHEN {for_symbol} THEN -daily_open ELSE daily_open END AS daily_open
-  FROM daily
-  UNION ALL BY NAME
-  SELECT trade_date, symbol, daily_close, daily_volume, daily_open
-  FROM daily WHERE {for_symbol}
-  UNION ALL BY NAME
-  SELECT CAST(NULL AS DATE) AS trade_date, symbol, daily_close, daily_volume, daily_open
-  FROM daily WHERE NOT {for_symbol})"""
+{_FAULTY}"""
         + _silver_checks_sql("faulty"),
+        "dq_by_day": f"{_WITH_DAILY},\n{_FAULTY}"
+        + _union(*[_grouped_checks_sql(c) for c in ("trade_date", "symbol")]),
         "dq_lineitem_report": _union(
             _row_count_sql("lineitem", "lineitem"),
             _zero_sql(
@@ -1060,6 +1226,31 @@ FROM daily""",
         "end_to_end_raise": _DAILY,
         "end_to_end_date_symbol": f"""{_DAILY}
 WHERE trade_date = DATE '{DATE}' AND {for_symbol}""",
+        "ingest_delta": f"""{_BARS} UNION ALL
+SELECT * EXCLUDE (trade_date) REPLACE (CAST(3 AS BIGINT) AS batch_id, close + 1 AS close)
+FROM bars WHERE volume >= 50""",
+        "silver_after_delta": f"""{_WITH_BARS}
+SELECT trade_date, symbol, first(open ORDER BY trade_timestamp) AS daily_open,
+       first(close + CASE WHEN volume >= 50 THEN 1 ELSE 0 END
+             ORDER BY trade_timestamp DESC) AS daily_close,
+       max(high) AS daily_high, min(low) AS daily_low, CAST(sum(volume) AS BIGINT) AS daily_volume
+FROM bars GROUP BY trade_date, symbol""",
+        "end_to_end_after_failure": _DAILY,
+        "recovered_days": latest,
+        "catalog_swapped_days": f"""{_WITH_DAILY}
+SELECT * REPLACE (CASE WHEN {for_symbol} OR trade_date = DATE '{DATE}' THEN daily_open
+                       ELSE {stale_open} END AS daily_open)
+FROM daily""",
+        "quarantined_batches": """
+SELECT CAST(b AS BIGINT) AS batch_id, 'loaded' AS outcome, count(*) AS n
+FROM events, (VALUES (1), (3)) AS v(b) GROUP BY b
+UNION ALL SELECT CAST(2 AS BIGINT), 'trade: row_count > 0 (value 0)', count(*) FROM documents""",
+        "compacted_table": f"""{_BARS}
+UNION ALL SELECT * EXCLUDE (trade_date, b) REPLACE (CAST(b AS BIGINT) AS batch_id)
+FROM bars, (VALUES (2), (3)) AS v(b) WHERE partition >= '{DATE}'""",
+        "rejected_bars": f"""{_WITH_BARS}
+SELECT CASE WHEN volume < 20 THEN 'unreadable time' ELSE 'accepted' END AS reason, symbol, volume
+FROM bars""",
         "stream_ingest": _DAILY,
         "stream_files": _DAILY,
         "stream_bronze": f"{_WITH_BARS} SELECT * EXCLUDE (trade_date, batch_id) FROM bars",

@@ -1,3 +1,4 @@
+from barlake.operators.changes import changed_bars
 from barlake.operators.normalize import (
     normalize_payloads,
     parse_payloads,
@@ -14,6 +15,7 @@ from barlake.operators.quality import (
     missing_count,
     row_count,
     run_checks,
+    run_checks_by,
 )
 from barlake.operators.rollup import (
     annotate_daily,
@@ -28,6 +30,7 @@ __all__ = [
     "Check",
     "CheckFailed",
     "annotate_daily",
+    "changed_bars",
     "daily_distinct",
     "daily_rollup",
     "dedup_latest",
@@ -40,6 +43,7 @@ __all__ = [
     "payload_events",
     "row_count",
     "run_checks",
+    "run_checks_by",
     "split_parsed",
     "with_trade_date",
 ]

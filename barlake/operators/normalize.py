@@ -30,6 +30,8 @@ MALFORMED = "malformed json"
 NO_METADATA = "no metadata"
 NO_SERIES = "no series"
 EMPTY_SERIES = "empty series"
+# Why a single bar is, where that is asked for.
+UNREADABLE_TIME = "unreadable time"
 
 # Strict JSON only; single quotes are accepted by default.
 _JSON = {"allowSingleQuotes": "false"}
@@ -123,13 +125,29 @@ def payload_events(raw: DataFrame) -> DataFrame:
     return _events(raw).filter("is_bar").select(*CSV_COLUMNS)
 
 
-def parse_payloads(raw: DataFrame, batch_id: int) -> DataFrame:
+def parse_payloads(raw: DataFrame, batch_id: int, untimed: str = "store") -> DataFrame:
     """Bars and rejects of a batch in one DataFrame, JSON parsed once.
 
     Rejects carry ``reason`` and ``value``, bars the bronze columns. Write this
     once and use :func:`split_parsed` on what was written.
+
+    With ``untimed="reject"`` a bar whose time cannot be read is a reject too, its text as a JSON
+    object; ``"store"`` keeps it, with a NULL time and day.
     """
+    if untimed not in ("store", "reject"):
+        raise ValueError(f"untimed must be 'store' or 'reject', not {untimed!r}")
     events = _events(raw)
+    if untimed == "reject":
+        # Not decided by a filter, which would be pushed below the explode with the parsing.
+        bad = F.col("is_bar") & text_to_timestamp(F.col("trade_timestamp")).isNull()
+        text = F.to_json(F.struct(*CSV_COLUMNS))
+        events = events.withColumns(
+            {
+                "reason": F.when(bad, F.lit(UNREADABLE_TIME)).otherwise(F.col("reason")),
+                "value": F.when(bad, text).otherwise(F.col("value")),
+                "is_bar": F.col("is_bar") & ~bad,
+            }
+        )
     day = F.to_date("trade_timestamp").cast("string")
     return events.select(
         F.lit(batch_id).cast("long").alias("batch_id"),
@@ -150,11 +168,13 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return bars, rejects
 
 
-def normalize_payloads(raw: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+def normalize_payloads(
+    raw: DataFrame, batch_id: int, untimed: str = "store"
+) -> tuple[DataFrame, DataFrame]:
     """Payloads (column ``value``) to ``(bars, rejects)``.
 
     ``batch_id`` is stamped as a literal, so the id that is checked is the id
     that is stored. Each result parses the payloads once; to use both, stage
     :func:`parse_payloads` as the pipeline does.
     """
-    return split_parsed(parse_payloads(raw, batch_id))
+    return split_parsed(parse_payloads(raw, batch_id, untimed))

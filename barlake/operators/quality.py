@@ -7,6 +7,7 @@ are computed in one pass over the data.
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,6 +18,9 @@ from barlake.schemas import CHECK_RESULT_SCHEMA
 
 log = logging.getLogger(__name__)
 
+#: What is done about failed checks.
+POLICIES = ("report", "raise", "divert")
+
 _METRICS = ("row_count", "missing_count", "duplicate_count", "invalid_count")
 _COMPARE = {
     "=": lambda value, threshold: value == threshold,
@@ -125,6 +129,28 @@ def _result_row(dataset: str, check: Check, value: Column) -> Column:
     return F.struct(*[f.alias(n) for f, n in zip(fields, CHECK_RESULT_SCHEMA.fieldNames())])
 
 
+def _key_columns(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+
+
+def _whole_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"k{i}").isNotNull() for i in range(len(keys))])
+
+
+def _by_keys(
+    checks: list[Check],
+) -> tuple[dict[tuple[str, ...], dict[str, Check]], dict[str, Check]]:
+    """Checks by result column: those of duplicates by their key columns, and the row-wise ones."""
+    by_keys: dict[tuple[str, ...], dict[str, Check]] = {}
+    row_wise: dict[str, Check] = {}
+    for i, check in enumerate(checks):
+        if check.metric == "duplicate_count":
+            by_keys.setdefault(check.columns, {})[f"c{i}"] = check
+        else:
+            row_wise[f"c{i}"] = check
+    return by_keys, row_wise
+
+
 def _report(dataset: str, metrics: DataFrame, named: dict[str, Check]) -> DataFrame:
     """One-row ``metrics`` to one result row per check."""
     rows = [_result_row(dataset, check, F.col(name)) for name, check in named.items()]
@@ -148,29 +174,19 @@ def run_checks(
     if view:
         df.createOrReplaceTempView(dataset)
 
-    by_keys: dict[tuple[str, ...], dict[str, Check]] = {}
-    row_wise: dict[str, Check] = {}
-    for i, check in enumerate(checks):
-        if check.metric == "duplicate_count":
-            by_keys.setdefault(check.columns, {})[f"c{i}"] = check
-        else:
-            row_wise[f"c{i}"] = check
-
+    by_keys, row_wise = _by_keys(checks)
     if not by_keys:
         metrics = df.agg(*[_row_metric(c).alias(n) for n, c in row_wise.items()])
         return _report(dataset, metrics, row_wise)
 
     reports = []
     for keys, duplicates in by_keys.items():
-        per_key = df.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(
+        per_key = df.groupBy(*_key_columns(keys)).agg(
             F.count(F.lit(1)).alias("n"),
             *[_row_metric(c).alias(name) for name, c in row_wise.items()],
         )
-        whole_key = reduce(
-            lambda a, b: a & b, [F.col(f"k{i}").isNotNull() for i in range(len(keys))]
-        )
         metrics = per_key.agg(
-            *[F.count_if((F.col("n") > 1) & whole_key).alias(n) for n in duplicates],
+            *[F.count_if((F.col("n") > 1) & _whole_key(keys)).alias(n) for n in duplicates],
             *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in row_wise],
         )
         reports.append(_report(dataset, metrics, {**duplicates, **row_wise}))
@@ -178,17 +194,84 @@ def run_checks(
     return reduce(DataFrame.unionByName, reports)
 
 
+def run_checks_by(
+    df: DataFrame, dataset: str, *by: Sequence[str], checks: list[Check] | None = None
+) -> DataFrame:
+    """A check set evaluated for groups of rows: one row per group and check.
+
+    Each of ``by`` lists the columns of a grouping, such as ``["trade_date"]`` and ``["symbol"]``; all
+    groupings come out of the same pass, as grouping sets. ``by`` in the result names the
+    columns, ``group`` has their values as text, NULL where a value is NULL. A key counts as a duplicate if it
+    occurs more than once within the group. Without rows there is no group.
+
+    Counts are taken per group and key, combined before the shuffle, then summed per
+    group. A second set of duplicate keys takes a pass of its own, as in :func:`run_checks`.
+    """
+    checks = CHECK_SETS[dataset] if checks is None else checks
+    if not checks:
+        raise ValueError(f"no checks for {dataset!r}")
+    if not by or not all(by):
+        raise ValueError("each grouping needs at least one column")
+    columns = list(dict.fromkeys(c for grouping in by for c in grouping))
+    names = {c: f"g{i}" for i, c in enumerate(columns)}
+    by_keys, row_wise = _by_keys(checks)
+    reports = []
+    for keys, duplicates in (by_keys or {(): {}}).items():
+        needed = sorted({c for check in row_wise.values() for c in check.columns})
+        rows = df.select(
+            *[F.col(c).alias(names[c]) for c in columns], *_key_columns(keys), *needed
+        )
+        key_names = [f"k{i}" for i in range(len(keys))]
+        counted = rows.groupingSets(
+            [[*[names[c] for c in grouping], *key_names] for grouping in by],
+            *names.values(),
+            *key_names,
+        ).agg(
+            F.grouping_id().alias("_set"),
+            F.count(F.lit(1)).alias("n"),
+            *[_row_metric(c).alias(name) for name, c in row_wise.items()],
+        )
+        metrics = counted.groupBy("_set", *names.values()).agg(
+            *[F.count_if((F.col("n") > 1) & _whole_key(keys)).alias(n) for n in duplicates],
+            *[F.sum(n).alias(n) for n in row_wise],
+        )
+        # The id has a bit for each column left out, the last column's lowest.
+        every = [*names.values(), *key_names]
+        by_text = group = F.lit(None)
+        for grouping in by:
+            kept = {names[c] for c in grouping} | set(key_names)
+            id_ = sum(1 << i for i, c in enumerate(reversed(every)) if c not in kept)
+            mine = F.col("_set") == id_
+            values = F.array(*[F.col(names[c]).cast("string") for c in grouping])
+            by_text = F.when(mine, F.lit(", ".join(grouping))).otherwise(by_text)
+            group = F.when(mine, values).otherwise(group)
+        results = [_result_row(dataset, c, F.col(n)) for n, c in {**duplicates, **row_wise}.items()]
+        reports.append(
+            metrics.select(
+                by_text.alias("by"), group.alias("group"), F.inline(F.array(*results))
+            )
+        )
+        row_wise = {}
+    return reduce(DataFrame.unionByName, reports)
+
+
 def _describe(row: Row) -> str:
     return f"{row['dataset']}: {row['check']} (value {row['value']})"
 
 
+def failures(rows: list[Row]) -> list[str]:
+    """What failed, in words."""
+    return [_describe(row) for row in rows if not row["passed"]]
+
+
 def enforce(results: DataFrame, on_fail: str = "report") -> list[Row]:
     """Bring the check results in (one row per check) and apply the policy.
 
-    ``report`` logs failed checks and lets the load go on; ``raise`` stops it.
+    ``report`` logs failed checks and lets the load go on; ``raise`` stops it. ``divert`` logs them
+    too: the caller sets aside what failed.
     """
-    if on_fail not in ("report", "raise"):
-        raise ValueError(f"on_fail must be 'report' or 'raise', not {on_fail!r}")
+    if on_fail not in POLICIES:
+        raise ValueError(f"on_fail must be one of {POLICIES}, not {on_fail!r}")
     rows = results.collect()
     failed = [row for row in rows if not row["passed"]]
     if failed and on_fail == "raise":

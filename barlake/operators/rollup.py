@@ -84,7 +84,7 @@ def daily_distinct(annotated: DataFrame) -> DataFrame:
     return annotated.select(*DAILY_COLUMNS).distinct()
 
 
-def _identity() -> list[Column]:
+def bar_identity() -> list[Column]:
     """What makes two bars the same one: symbol and time, without a time the values."""
     unknown_time = F.when(F.col("trade_timestamp").isNull(), F.struct(*_VALUES))
     return [F.col("symbol"), F.col("trade_timestamp"), unknown_time.alias("_untimed")]
@@ -92,7 +92,7 @@ def _identity() -> list[Column]:
 
 def days_with_repeats(bars: DataFrame) -> DataFrame:
     """``partition`` of stored bars that are there more than once, with repeats."""
-    counts = bars.groupBy("partition", *_identity()).agg(F.count(F.lit(1)).alias("_n"))
+    counts = bars.groupBy("partition", *bar_identity()).agg(F.count(F.lit(1)).alias("_n"))
     return counts.filter("_n > 1").select("partition")
 
 
@@ -106,7 +106,7 @@ def dedup_latest(bars: DataFrame) -> DataFrame:
     ``row_number() = 1`` lets the optimizer cut each group to one row per task
     before the shuffle, so a bar that was sent many times is no hot key.
     """
-    window = Window.partitionBy(*_identity()).orderBy(
+    window = Window.partitionBy(*bar_identity()).orderBy(
         F.desc("batch_id"), *[F.desc(c) for c in _VALUES]
     )
     return (

@@ -45,6 +45,15 @@ REJECT_SCHEMA = T.StructType(
     ]
 )
 
+# Payloads of batches that failed their checks, with what failed.
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("failed", T.ArrayType(T.StringType())),
+        T.StructField("value", T.StringType()),
+    ]
+)
+
 # One row per data-quality check.
 CHECK_RESULT_SCHEMA = T.StructType(
     [
@@ -59,6 +68,15 @@ CHECK_RESULT_SCHEMA = T.StructType(
     ]
 )
 
+# One row per group of rows and check; ``by`` names the columns, ``group`` their values.
+GROUPED_RESULT_SCHEMA = T.StructType(
+    [
+        T.StructField("by", T.StringType()),
+        T.StructField("group", T.ArrayType(T.StringType())),
+        *CHECK_RESULT_SCHEMA.fields,
+    ]
+)
+
 # Column order of the CSV extract.
 CSV_COLUMNS = ["trade_timestamp", "symbol", "open", "high", "low", "close", "volume"]
 
@@ -82,3 +100,4 @@ class Table:
 TRADE = Table("trade", BAR_SCHEMA, "partition")
 DAILY_TRADES = Table("daily_trades", DAILY_SCHEMA, "trade_date")
 REJECTS = Table("rejects", REJECT_SCHEMA)
+QUARANTINE = Table("quarantine", QUARANTINE_SCHEMA)

@@ -7,13 +7,20 @@ back column by column.
 
 from __future__ import annotations
 
+import json
 import logging
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barlake.schemas import Table
+from barlake.sources.files import create_file, path_exists, remove
+
+__all__ = ["new_dir", "path_exists", "remove", "staged", "staging_root"]
+
 log = logging.getLogger(__name__)
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -37,44 +44,53 @@ def new_dir(spark: SparkSession, label: str, warehouse: str | None = None) -> st
     return f"{staging_root(spark, warehouse)}/{label}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
-
+def intents_dir(warehouse: str) -> str:
+    return f"{warehouse.rstrip('/')}/_intents"
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
-    return fs.exists(hadoop_path)
 
-
-def remove(spark: SparkSession, path: str) -> None:
-    fs, hadoop_path = _file_system(spark, path)
-    fs.delete(hadoop_path, True)
+def _declare(spark: SparkSession, warehouse: str, table: Table, copy: str, fmt: str) -> str:
+    """Note beside the tables that days of one are about to be replaced by the rows of a copy."""
+    path = f"{intents_dir(warehouse)}/{time.time_ns():020}-{uuid.uuid4().hex}.json"
+    create_file(spark, path, json.dumps({"table": table.name, "copy": copy, "format": fmt}))
+    return path
 
 
 @contextmanager
 def staged(
-    df: DataFrame, label: str, warehouse: str | None = None, guards: bool = False
+    df: DataFrame,
+    label: str,
+    warehouse: str | None = None,
+    guards: bool = False,
+    replaces: Table | None = None,
+    fmt: str = "parquet",
 ) -> Iterator[DataFrame]:
     """Write ``df`` once and yield it as read back; the copy is removed at exit.
 
     With ``guards`` it holds rows of a table that is overwritten meanwhile. If that
     fails once the copy is complete, the copy may be the only one left of some rows:
     it is kept, and the error says where.
+
+    With ``replaces`` it guards all rows of the days of that table that are overwritten, and an intent
+    file beside the tables names it as long as that lasts. If the overwriting fails, or the process is
+    lost, both stay, and ``recover`` writes the days from the copy.
     """
     spark = df.sparkSession
     path = new_dir(spark, label, warehouse)
-    complete = False
+    intent, complete = None, False
     try:
         df.write.parquet(path)
         complete = True
+        if replaces is not None:
+            intent = _declare(spark, warehouse, replaces, path, fmt)
         yield spark.read.schema(df.schema).parquet(path)
     except BaseException as error:
-        if guards and complete:
+        if intent is not None or (guards and complete):
             note = f"the rows being written are kept in {path}"
             error.add_note(note)
             log.error(note)
         else:
             remove(spark, path)
         raise
+    if intent is not None:
+        remove(spark, intent)
     remove(spark, path)

@@ -145,7 +145,7 @@ def replace_days(
     The rows to write are staged first, because the folders they are read from are
     the ones replaced; so are the new rows, which are read several times, unless they
     are ``written`` already. Days are published one by one as the job commits; one
-    writer at a time is assumed. If publishing fails, the staged rows are kept.
+    writer at a time is assumed. If publishing fails, ``recover`` completes it.
     """
     spark = new.sparkSession
     if whole_days or not path_exists(spark, DAILY_TRADES.path(warehouse)):
@@ -161,7 +161,7 @@ def replace_days(
             else:
                 kept = _not_recomputed(fresh, affected)
             rows = kept.unionByName(fresh)
-            with staged(rows, "replace-days", warehouse, guards=True) as rows:
+            with staged(rows, "replace-days", warehouse, replaces=DAILY_TRADES, fmt=fmt) as rows:
                 write_table(rows, DAILY_TRADES, warehouse, "overwrite_days", fmt)
 
 

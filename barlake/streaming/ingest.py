@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.plans.pipeline import loaded, new_batch_id, refresh_silver
+from barlake.plans.pipeline import loaded, new_batch_id, refresh_silver, touched_days
 from barlake.sources.payloads import payload_stream
 from barlake.sources.staging import path_exists
 
@@ -36,6 +36,8 @@ def ingest_stream(
     max_files_per_trigger: int | None = None,
     trigger: dict | None = None,
     database: str | None = None,
+    store: str = "all",
+    untimed: str = "store",
 ) -> StreamingQuery:
     """Start loading new payload files; by default stop when all are loaded.
 
@@ -46,23 +48,31 @@ def ingest_stream(
     told about the days written.
 
     With ``on_fail="raise"`` a batch that fails its checks stops the stream, and
-    again at each start, until its files are mended or the policy is changed.
+    again at each start, until its files are mended or the policy is changed. With ``"divert"``
+    its payloads go to the quarantine table and the stream goes on; days whose silver fails
+    are held back. ``store`` and ``untimed`` are as in ``load_bronze``. Without ``refresh`` the days stay pending for a
+    later run.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         # The stream's own 0, 1, 2... would count as older than any batch load.
         batch_id, again = _id_of(session, checkpoint, epoch, warehouse, fmt)
-        with loaded(batch, warehouse, batch_id, on_fail, fmt, database, again) as done:
-            if refresh:
-                refresh_silver(
-                    session,
-                    warehouse,
-                    days=done.days,
-                    on_fail=on_fail,
-                    fmt=fmt,
-                    database=database,
-                )
+        with loaded(
+            batch, warehouse, batch_id, on_fail, fmt, database, again, store, untimed
+        ) as done:
+            if not refresh:
+                return
+            with touched_days(session, done, warehouse) as days:
+                if days is not None:
+                    refresh_silver(
+                        session,
+                        warehouse,
+                        days=days,
+                        on_fail=on_fail,
+                        fmt=fmt,
+                        database=database,
+                    )
 
     return (
         payload_stream(spark, landing, layout, max_files_per_trigger)
