@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm.components import components
 from barlake.llm.exchange import Keys, answer, ask, bucket_count, chunked, met, pack, request_rows, rows_of, unpack
+from barlake.llm.hot import join_by_share
 from barlake.llm.storage import in_order, written
 from barlake.llm.words import BLANKS, LOWER, Rolling, fits, hashed, scramble
 
@@ -112,35 +113,159 @@ def tree_join(
 _LABELS = "set long, root long, links long"
 
 
+class _Block:
+    """Sets of some rows: ``set``, ``n``, ``copies``, ``tokens``, ``side``; and what was found of them."""
+
+    def __init__(self, table: pa.Table):
+        table = table.take(pa.array(np.argsort(table.column("set").to_numpy(), kind="stable")))
+        self.sets = table.column("set").to_numpy()
+        lists = table.column("tokens").combine_chunks()
+        flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        at = at - at[0]
+        self.tokens = [flat[at[i] : at[i + 1]] for i in range(len(self.sets))]
+        self.sizes, self.copies = table.column("n").to_numpy(), table.column("copies").to_numpy()
+        self.side = table.column("side").to_numpy()
+        self.label, self.links = np.arange(len(self.sets)), np.zeros(len(self.sets), np.int64)
+
+    def join(self, rows: np.ndarray, percent: int, first: int | None = None) -> None:
+        """Take in the links among rows of one side, or between those of two.
+
+        With ``first`` only pairs count whose first common n-gram it is.
+        """
+        left, right = rows[self.side[rows] == 0], rows[self.side[rows] == 1]
+        alone = not len(right)
+        if alone:
+            right = left
+        for number, hits in tree_join(
+            [self.tokens[i] for i in left], self.sizes[left],
+            [self.tokens[i] for i in right], self.sizes[right], percent,
+        ):
+            me, hits = right[number], left[hits]
+            hits = hits[hits != me]
+            if first is not None:
+                hits = hits[[self._meet(me, hit) == first for hit in hits]]
+            if not len(hits):
+                continue
+            # A pair of one side is seen from either set.
+            self.links[me] += self.copies[hits].sum()
+            if not alone:
+                self.links[hits] += self.copies[me]
+            met_labels = np.unique(np.append(self.label[hits], self.label[me]))
+            if len(met_labels) > 1:
+                self.label[np.isin(self.label, met_labels)] = met_labels[0]
+
+    def _meet(self, a: int, b: int) -> int:
+        return int(np.intersect1d(self.tokens[a], self.tokens[b], assume_unique=True)[0])
+
+    def found(self) -> pa.Table:
+        return pa.table({"set": self.sets, "root": self.sets[self.label], "links": self.links})
+
+
 def _join_blocks(table: pa.Table, percent: int) -> pa.Table:
     """Links between the sets of one block, or of two, as a label and a count for each set."""
-    table = table.take(pa.array(np.argsort(table.column("set").to_numpy())))
-    sets = table.column("set").to_numpy()
-    lists = table.column("tokens").combine_chunks()
-    flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-    at = at - at[0]
-    tokens = [flat[at[i] : at[i + 1]] for i in range(len(sets))]
-    sizes, copies = table.column("n").to_numpy(), table.column("copies").to_numpy()
-    side = table.column("side").to_numpy()
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    alone = not len(right)
-    if alone:
-        right = left
-    label, links = np.arange(len(sets)), np.zeros(len(sets), np.int64)
-    for number, hits in tree_join(
-        [tokens[i] for i in left], sizes[left], [tokens[i] for i in right], sizes[right], percent
-    ):
-        me, hits = right[number], left[hits]
-        hits = hits[hits != me]
-        if not len(hits):
-            continue
-        links[me] += copies[hits].sum()
-        if not alone:
-            links[hits] += copies[me]
-        met_labels = np.unique(np.append(label[hits], label[me]))
-        if len(met_labels) > 1:
-            label[np.isin(label, met_labels)] = met_labels[0]
-    return pa.table({"set": sets, "root": sets[label], "links": links})
+    block = _Block(table)
+    block.join(np.arange(len(block.sets)), percent)
+    return block.found()
+
+
+def _join_tokens(table: pa.Table, percent: int) -> pa.Table:
+    """The same for rows under n-grams: only rows of one are compared, pairs that meet there first."""
+    table = table.take(pa.array(np.argsort(table.column("set").to_numpy(), kind="stable")))
+    block, under = _Block(table), table.column("token").to_numpy()
+    order = np.argsort(under, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(under[order])) + 1):
+        block.join(rows, percent, int(under[rows[0]]))
+    return block.found()
+
+
+def _families(with_tokens: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``set, family, by_token``, and of families that are joined by n-grams those: ``token, m``.
+
+    Sets that share rare n-grams, and those that share some with them, are a family. One that is more than
+    two blocks large may be joined block by block, each with each, or n-gram by n-gram: whichever sends fewer sets.
+    Close copies of one text share most n-grams, so blocks are less; in a chain of texts of which each shares
+    something with the next n-grams are, and grow with the links. Of n-grams that are in just the same
+    sets the first one stands for all.
+    """
+    tokens = keys.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.min("set").alias("centre"),
+        F.bit_xor(F.xxhash64("set")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "set")).alias("y"),
+    )
+    tokens = written(tokens.filter("m > 1"), "shared")
+    # Written, so that the hot n-grams of this join are split.
+    edges = keys.join(tokens.select("token", "centre"), "token")
+    edges = edges.select(F.col("set").alias("a"), F.col("centre").alias("b"))
+    families = components(edges).select(F.col("node").alias("set"), F.col("root").alias("family"))
+    families = written(families, "families")
+    block = 1 << BLOCK_BITS
+    lists = tokens.groupBy("m", "x", "y").agg(F.min("token").alias("token"), F.min("centre").alias("set"))
+    lists = written(lists.join(families, "set").select("token", "m", "family"), "lists")
+    cost = lists.groupBy("family").agg(F.sum(F.col("m") * F.ceil(F.col("m") / block)).alias("cost"))
+    sizes = families.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    blocks = F.ceil(F.col("size") / block)
+    plan = sizes.join(cost, "family").select(
+        "family", "size", ((blocks > 2) & (F.col("cost") < blocks * blocks * block)).alias("by_token")
+    )
+    plan = written(plan, "plan")
+    families = join_by_share(families, plan, ["family"], "size", families.count())
+    chosen = lists.join(plan.filter("by_token").select("family"), "family", "left_semi")
+    return written(families, "families"), written(chosen.select("token", "m"), "chosen")
+
+
+def _pairs_of_blocks(reach: DataFrame, by: str, percent: int) -> DataFrame:
+    """``by, seg, seg2`` of blocks that hold sets of one family or n-gram, if sizes allow a link.
+
+    ``reach`` has for each ``by`` and ``seg`` the ``least`` and ``most`` size.
+    """
+    ahead = reach.select(by, F.col("seg").alias("seg2"), F.col("least").alias("least2"))
+    return (
+        reach.join(ahead, by)
+        .filter(f"seg2 > seg AND 100 * most >= {percent} * least2")
+        .select(by, "seg", "seg2")
+    )
+
+
+def _sides(pairs: DataFrame, *by: str) -> DataFrame:
+    """Each pair of blocks twice: ``side`` 0 with the first one in ``of``, 1 with the second."""
+    one = pairs.select(*by, "seg", "seg2", F.lit(0).alias("side"), F.col("seg").alias("of"))
+    return one.unionByName(
+        pairs.filter("seg2 <> seg").select(
+            *by, "seg", "seg2", F.lit(1).alias("side"), F.col("seg2").alias("of")
+        )
+    )
+
+
+def _by_blocks(members: DataFrame, with_tokens: DataFrame, percent: int) -> DataFrame:
+    """Labels out of the joins of all blocks of a family: ``members`` are ``set, family, n, copies``."""
+    placed = in_order(members, ["family", "n", "set"], "place")
+    placed = placed.withColumn("seg", F.shiftright("place", BLOCK_BITS))
+    reach = placed.groupBy("family", "seg").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    across = _pairs_of_blocks(reach, "family", percent).select("seg", "seg2").distinct()
+    own = placed.select("seg").distinct().select("seg", F.col("seg").alias("seg2"))
+    sides = _sides(written(across.unionByName(own), "pairs"))
+    rows = placed.select("set", "copies", F.col("seg").alias("of")).join(sides, "of").drop("of")
+    rows = rows.join(with_tokens, "set")
+    return rows.groupBy("seg", "seg2").applyInArrow(lambda t: _join_blocks(t, percent), _LABELS)
+
+
+def _by_tokens(members: DataFrame, with_tokens: DataFrame, percent: int) -> DataFrame:
+    """The same n-gram by n-gram: ``members`` are ``set, token, n, copies``.
+
+    Rows in the order of n-grams and sizes are cut into blocks; few n-grams go on in another one, which are
+    joined across by themselves.
+    """
+    placed = in_order(members, ["token", "n", "set"], "place")
+    placed = placed.withColumn("seg", F.shiftright("place", BLOCK_BITS))
+    own = placed.select("set", "copies", "token", "seg", F.lit(0).alias("side"))
+    own = own.join(with_tokens, "set").groupBy("seg")
+    inside = own.applyInArrow(lambda t: _join_tokens(t, percent), _LABELS)
+    reach = placed.groupBy("token", "seg").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    sides = _sides(written(_pairs_of_blocks(reach, "token", percent), "token-pairs"), "token")
+    rows = placed.select("set", "copies", "token", F.col("seg").alias("of")).join(sides, ["token", "of"])
+    rows = rows.drop("of").join(with_tokens, "set").groupBy("token", "seg", "seg2")
+    return inside.unionByName(rows.applyInArrow(lambda t: _join_tokens(t, percent), _LABELS))
 
 
 def _link(sets: DataFrame, percent: int) -> DataFrame:
@@ -148,8 +273,8 @@ def _link(sets: DataFrame, percent: int) -> DataFrame:
 
     A linked pair shares an n-gram among the rarest of both (as many as a set can be without,
     and one). Sets joined by such n-grams make up families, and only sets of one family
-    are compared: in blocks of a kilobyte of sets, in the order of family and size, each
-    against itself and the blocks that its families go on in, if sizes allow a link.
+    are compared: in blocks of a kilobyte of sets, in the order of family and size, or
+    n-gram by n-gram where that is less.
     """
     copies = sets.filter("set IS NOT NULL").groupBy("set", "n").agg(F.count(F.lit(1)).alias("copies"))
     copies = written(copies, "copies")
@@ -160,37 +285,13 @@ def _link(sets: DataFrame, percent: int) -> DataFrame:
     rare = F.size("tokens") - least + 1
     keys = with_tokens.select("set", F.explode(F.slice("tokens", F.lit(1), rare.cast("int"))).alias("token"))
     keys = written(keys.distinct(), "prefixes")
-    centres = (
-        keys.groupBy("token")
-        .agg(F.min("set").alias("centre"), F.count(F.lit(1)).alias("m"))
-        .filter("m > 1")
-    )
-    edges = keys.join(centres, "token").select(F.col("set").alias("a"), F.col("centre").alias("b"))
-    families = components(edges).select(F.col("node").alias("set"), F.col("root").alias("family"))
-    placed = in_order(families.join(copies, "set"), ["family", "n", "set"], "place")
-    placed = placed.withColumn("seg", F.shiftright("place", BLOCK_BITS))
-    reach = placed.groupBy("family", "seg").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    ahead = reach.select(
-        "family", F.col("seg").alias("seg2"), F.col("least").alias("least2")
-    )
-    across = (
-        reach.join(ahead, "family")
-        .filter(f"seg2 > seg AND 100 * most >= {percent} * least2")
-        .select("seg", "seg2")
-        .distinct()
-    )
-    own = placed.select("seg").distinct().select("seg", F.col("seg").alias("seg2"))
-    pairs = written(across.unionByName(own), "pairs")
-    sides = pairs.select("seg", "seg2", F.lit(0).alias("side"), F.col("seg").alias("of")).unionByName(
-        pairs.filter("seg2 <> seg").select("seg", "seg2", F.lit(1), F.col("seg2"))
-        .toDF("seg", "seg2", "side", "of")
-    )
-    members = placed.select("set", "copies", F.col("seg").alias("of")).join(sides, "of").drop("of")
-    rows = members.join(with_tokens, "set")
-    labelled = written(
-        rows.groupBy("seg", "seg2").applyInArrow(lambda t: _join_blocks(t, percent), _LABELS),
-        "labelled",
-    )
+    families, chosen = _families(with_tokens, keys)
+    by_blocks = families.filter("NOT by_token").join(copies, "set")
+    labelled = _by_blocks(by_blocks, with_tokens, percent)
+    if not chosen.isEmpty():
+        under = join_by_share(keys, chosen, ["token"], "m", keys.count()).join(copies, "set")
+        labelled = labelled.unionByName(_by_tokens(under, with_tokens, percent))
+    labelled = written(labelled, "labelled")
     roots = components(labelled.select(F.col("set").alias("a"), F.col("root").alias("b")))
     roots = written(roots, "roots")
     links = written(labelled.groupBy("set").agg(F.sum("links").alias("links")), "links")

@@ -143,6 +143,65 @@ def test_a_block_has_each_set_once(spark, monkeypatch):
     assert found(jaccard.link_documents(df, n=3, percent=60)) == plain(rows, 3, 60)
 
 
+def chain(n, rng):
+    """Each text shares its second half with the first half of the next: linked pairs, one long family."""
+    parts = [[f"p{i}w{rng.randrange(10**6)}" for _ in range(12)] for i in range(n + 1)]
+    return [(i, " ".join(parts[i] + parts[i + 1])) for i in range(n)]
+
+
+def test_a_chain_is_joined_by_its_ngrams(spark, monkeypatch):
+    """Blocks compared grow with the sets, not with their square; the links are the same."""
+    rng = random.Random(5)
+    units = spark.sparkContext.accumulator(0)
+    real_tokens, real_blocks = jaccard._join_tokens, jaccard._join_blocks
+
+    def tokens(table, percent):
+        units.add(1)
+        return real_tokens(table, percent)
+
+    def blocks(table, percent):
+        units.add(1)
+        return real_blocks(table, percent)
+
+    monkeypatch.setattr(jaccard, "_join_tokens", tokens)
+    monkeypatch.setattr(jaccard, "_join_blocks", blocks)
+    seen = []
+    for n in (60, 240):
+        rows = chain(n, rng)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        before = units.value
+        got = found(jaccard.link_documents(df, n=2, percent=30))
+        assert got == plain(rows, 2, 30)
+        assert {r[2] for r in got} == {0} and max(r[3] for r in got) == 2
+        seen.append(units.value - before)
+    assert seen[1] <= 5 * seen[0] and seen[1] <= 240  # of 60 blocks, 1830 pairs
+
+
+@pytest.mark.parametrize("by_token", [True, False])
+def test_both_ways_to_join_a_family_agree(spark, monkeypatch, by_token):
+    """Close copies, chains and an n-gram that everything shares, all one way or all the other."""
+    rng = random.Random(9)
+    rows = chain(30, rng)
+    base = [f"b{i}" for i in range(40)]
+    for i in range(30):
+        text = list(base)
+        text[rng.randrange(40)] = f"e{rng.randrange(9)}"
+        rows.append((100 + i, " ".join(text)))
+    rows += [(200 + i, "the same start " + " ".join(f"x{i}y{k}" for k in range(i % 5))) for i in range(20)]
+    real = jaccard._families
+
+    def forced(with_tokens, keys):
+        families, _ = real(with_tokens, keys)
+        shared = keys.groupBy("token").count().filter("count > 1").withColumnRenamed("count", "m")
+        families = families.drop("by_token").selectExpr("*", f"{str(by_token).lower()} AS by_token")
+        return families, jaccard.written(shared if by_token else shared.limit(0), "forced")
+
+    monkeypatch.setattr(jaccard, "_families", forced)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for percent in (30, 70):
+        assert found(jaccard.link_documents(df, n=2, percent=percent)) == plain(rows, 2, percent)
+
+
 def test_empty_table(no_documents):
     assert jaccard.link_documents(no_documents).collect() == []
     assert jaccard.keep_one(no_documents).collect() == []
