@@ -48,7 +48,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = _remainder(7)
     part = F.when(remainder == 2, 2).when(remainder == 3, 1).otherwise(0)
-    return score_texts(read(spark, sf_dir, "documents"), part)
+    return score_texts(read(spark, sf_dir, "documents"), part, order=3)
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,3 +104,48 @@ def test_long_words_whose_polynomials_are_equal(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, part int")
     scored = lm.score_texts(docs, F.col("part")).collect()
     assert {r.doc_id: r.n_known for r in scored} == {0: 2, 1: 1, 2: 2}
+
+
+def test_three_words_against_a_plain_model(documents, texts, small_chunks, monkeypatch):
+    seen = {}
+    learn = lm.learn_weights
+    monkeypatch.setattr(lm, "learn_weights", lambda events: seen.setdefault("weights", learn(events)))
+    rows = lm.score_texts(documents, column(), order=3).collect()
+    words, pairs, triples, contexts = Counter(), Counter(), Counter(), Counter()
+    start = "<start>"
+    n_texts = 0
+    for i, t in texts:
+        if part(i) != 2:
+            ts = tokens(t)
+            n_texts += 1
+            words.update(ts)
+            pairs.update(zip([start, *ts], ts))
+            contexts.update([start, *ts[:-1]])
+            triples.update(zip([start, *ts], ts, ts[1:]))
+    n, v = sum(words.values()), len(words)
+    want = Counter()
+    for i, t in texts:
+        ts, score = tokens(t), 0.0
+        for k, w in enumerate(ts):
+            a = ts[k - 1] if k else start
+            b = (ts[k - 2] if k > 1 else start) if k else None
+            two = pairs[b, a] if k else n_texts
+            three = triples[b, a, w] if k else pairs[a, w]
+            level = min(math.frexp(contexts[a])[1], lm.LEVELS - 1)
+            if two:
+                level = lm.LEVELS + min(math.frexp(two)[1], lm.LEVELS - 1)
+            share = seen["weights"][level]
+            chance = share[2] * words[w] / n + share[3] / (v + 1)
+            chance += share[1] * pairs[a, w] / contexts[a] if contexts[a] else 0
+            chance += share[0] * three / two if two else 0
+            score += math.log10(chance)
+        want[i, round(score, 6)] += 1
+    assert Counter((r.doc_id, round(r.score, 6)) for r in rows) == want
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    assert (seen["weights"][: lm.LEVELS, 0] == 0).all() and np.allclose(seen["weights"].sum(1), 1)
+
+
+def test_bad_order(no_documents):
+    with pytest.raises(ValueError):
+        lm.score_texts(no_documents, column(), order=4)
