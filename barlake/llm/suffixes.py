@@ -1,24 +1,30 @@
-"""Substring dedup: hashes of anchored substrings find those that occur twice.
+"""Substring dedup: prefix doubling over anchored positions, ranked by Spark's sorts.
 
-No suffix array is built: positions get no ranks and are not sorted. Asking about every
-byte position would shuffle several times the corpus. Two things keep that small and the
+Ranking every byte position would shuffle several times the corpus. Two things keep that small and the
 result exact, up to collisions of 64-bit hashes:
 
-* Only some positions are asked about. Of the positions that a ``length``-byte
+* Only some positions are ranked. Of the positions that a ``length``-byte
   window begins with, the one whose next ``SEED`` bytes hash lowest is its anchor.
   The choice depends on the window's own bytes, so equal windows have their
   anchors at the same place in them, and consecutive windows mostly share theirs.
-* Two exchanges look hashes up by equality. The first asks for the longest prefix that any
-  window of an anchor must have, as almost all positions turn out unique in it; along with
-  it, for the longer context that all windows of an anchor make up together. Where that
-  context is repeated, all its windows are; where it is unique but its prefix is not, the
-  second asks for the anchor's windows one by one at the full length.
+* A position leaves as soon as its rank is its own. The first round sorts positions by a key of their first bytes;
+  each later one sorts pairs of the rank so far and a key of as many bytes again after those, until the
+  longest prefix that any window of an anchor must have is ranked. As texts are at hand, the key of the
+  bytes at an offset stands for the rank of the position there. A chunk sends a prefix once for each
+  of two contexts at most, however often it has it.
+
+What is left are prefixes that several places share. The context of an anchor is all its windows together. Where that
+is repeated, all its windows are, which an exchange of contexts tells; where it is unique but its prefix's
+rank is shared, the anchor's windows are compared one by one at the full length.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +41,10 @@ from barlake.llm.exchange import (
     of_kind,
     pack,
     request_rows,
+    rows_of,
     unpack,
 )
+from barlake.llm.storage import written
 from barlake.llm.words import Rolling, byte_values, covered, pieces, scramble, span_lists, utf8
 
 SEED = 16
@@ -80,9 +88,14 @@ class _Anchors:
         self.place, self.first = chosen[edge], starts[edge]
         self.last = starts[np.append(edge[1:], len(starts)) - 1]
 
-    def prefixes(self) -> np.ndarray:
-        """Hash of the bytes after the anchor that are in all windows it may stand for."""
-        return self.rolling(self.place, self.place + (self.length - _span(self.length) + 1))
+    def prefixes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the bytes after the anchor that are in all windows it may stand for: a hash, and keys of the
+        first quarter, the second and the half after them (a row each)."""
+        whole = self.length - _span(self.length) + 1
+        edges = [0, -(-whole // 4), -(-whole // 2), whole]
+        parts = [self.rolling(self.place + a, self.place + b) for a, b in zip(edges, edges[1:])]
+        keys = np.stack([(p >> np.uint64(32)).astype(np.uint32) for p in parts])
+        return self.rolling(self.place, self.place + whole), keys
 
     def contexts(self) -> np.ndarray:
         """Hash of the bytes of all windows of the anchor and of where it is in them."""
@@ -110,53 +123,69 @@ class _Chunk:
         self.text = rows.column("text").combine_chunks()
         self.length, self.wide = length, wide
         self.cuts = list(pieces(self.text))
-        prefixes, contexts, self.sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], []
+        none = np.zeros(0, np.uint64)
+        prefixes, contexts, self.sizes = [none], [none], []
+        keys = [np.zeros((3, 0), np.uint32)]
         for a in self.parts():
-            prefixes.append(a.prefixes())
+            prefix, parts = a.prefixes()
+            prefixes.append(prefix)
+            keys.append(parts)
             contexts.append(a.contexts())
             self.sizes.append(len(a.place))
         self._contexts = np.concatenate(contexts)
-        self.prefixes = Keys(np.concatenate(prefixes), buckets)
+        self._keys = np.concatenate(keys, 1)
+        # Distinct prefixes, numbered by their hash.
+        _, self._first, self.number = np.unique(
+            np.concatenate(prefixes), return_index=True, return_inverse=True
+        )
         self.contexts = Keys(self._contexts, buckets, 64)
 
     def parts(self):
         for first, last in self.cuts:
             yield _Anchors(self.text.slice(first, last - first), self.length)
 
-    def requests(self, chunk: int) -> pa.Table:
-        """Prefixes, each with one of its contexts and whether it has others; and contexts."""
+    def positions(self, chunk: int) -> pa.RecordBatch:
+        """A row of keys for each distinct prefix, with one of its contexts; another row if it has others."""
         marks = (self._contexts >> np.uint64(32)).astype(np.uint32)
-        least = np.full(len(self.prefixes.values), 0xFFFFFFFF, np.uint32)
-        np.minimum.at(least, self.prefixes.inverse, marks)
-        most = np.zeros(len(least), np.uint32)
-        np.maximum.at(most, self.prefixes.inverse, marks)
-        several = (least != most).astype(np.uint8)
-        many = (self.contexts.counts > 1).astype(np.uint8)
-
-        def one_and_more(part: slice) -> bytes:
-            mark = pack(least[part])
-            return len(mark).to_bytes(8, "little") + mark + pack(several[part])
-
-        return pa.concat_tables(
+        n = len(self._first)
+        least = np.full(n, 0xFFFFFFFF, np.uint32)
+        np.minimum.at(least, self.number, marks)
+        most = np.zeros(n, np.uint32)
+        np.maximum.at(most, self.number, marks)
+        rows = np.concatenate([np.arange(n), np.flatnonzero(least != most)])
+        mark = np.concatenate([least, most[least != most]]).astype(np.int64)
+        first, second, third = self._keys[:, self._first[rows]].astype(np.int64)
+        return pa.RecordBatch.from_arrays(
             [
-                of_kind(request_rows(chunk, self.prefixes, one_and_more), _PREFIXES),
-                of_kind(request_rows(chunk, self.contexts, lambda p: pack(many[p])), _CONTEXTS),
-            ]
+                pa.array(first),
+                pa.array(second << 32 | third),
+                pa.array(mark),
+                pa.array(np.full(len(rows), chunk)),
+                pa.array(rows.astype(np.int32)),
+            ],
+            names=["rank", "ahead", "mark", "chunk", "number"],
         )
 
+    def requests(self, chunk: int) -> pa.Table:
+        """The contexts."""
+        many = (self.contexts.counts > 1).astype(np.uint8)
+        return of_kind(request_rows(chunk, self.contexts, lambda p: pack(many[p])), _CONTEXTS)
+
     def looked_up(self, got: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """For each anchor whether its context is repeated, and whether it is to be compared.
 
         To be compared are contexts that share their prefix with others; of a repeated
         one only the first copy of all.
         """
-        shared = self.prefixes.answers(answers_of_kind(got, _PREFIXES), np.uint8)
+        shared = np.zeros(len(self._first), bool)
+        if _PREFIXES * KIND in got:
+            shared[unpack(got[_PREFIXES * KIND], np.uint32)] = True
         codes = self.contexts.answers(answers_of_kind(got, _CONTEXTS), np.uint8)
         inverse = self.contexts.inverse
         first = np.zeros(len(inverse), bool)
         first[np.unique(inverse, return_index=True)[1]] = True
         first &= codes[inverse] & _FIRST > 0
-        return codes[inverse] & _REPEATED > 0, first & (shared[self.prefixes.inverse] > 0)
+        return codes[inverse] & _REPEATED > 0, first & shared[self.number]
 
     def windows(self, repeated: np.ndarray, compare: np.ndarray):
         """Piece by piece: anchors, which of them are repeated, starts of the windows to compare."""
@@ -171,18 +200,96 @@ class _Chunk:
         return Keys(np.concatenate([np.zeros(0, np.uint64), *found]), self.wide, 64)
 
 
-def _shared(values: np.ndarray, _owner: np.ndarray, extras: list[bytes]) -> np.ndarray:
-    """Prefixes that have several contexts. A chunk has one entry for a prefix, however hot."""
-    sizes = [int.from_bytes(x[:8], "little") for x in extras]
-    marks = np.concatenate([unpack(x[8 : 8 + n], np.uint32) for x, n in zip(extras, sizes)])
-    several = np.concatenate([unpack(x[8 + n :], np.uint8) for x, n in zip(extras, sizes)])
-    distinct, inverse = np.unique(values, return_inverse=True)
-    least = np.full(len(distinct), 0xFFFFFFFF, np.uint32)
-    np.minimum.at(least, inverse, marks)
-    most = np.zeros(len(distinct), np.uint32)
-    np.maximum.at(most, inverse, marks)
-    more = np.bincount(inverse, several, minlength=len(distinct)) > 0
-    return ((least != most) | more)[inverse].astype(np.uint8)
+_RANKED = "rank long, ahead long, mark long, chunk long, number int"
+
+
+def _reranked(last: bool):
+    """Over rows sorted by pair: those whose pair is not their own, with its new rank.
+
+    ``last`` keeps, of each pair, the rows if it has several contexts; rows of a pair are sorted by
+    those then. The new rank is where a pair's rows begin in the sorted order.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, task = 0, TaskContext.get().partitionId() << 40
+        open_rows: list[pa.RecordBatch] = []  # the pair at hand: the first row, or those of one context
+        open_key, open_at, open_mark, emitted = None, 0, None, False
+
+        def out(rows: pa.RecordBatch, ranks: np.ndarray) -> pa.RecordBatch:
+            return rows.set_column(0, "rank", pa.array(ranks, pa.int64()))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rank, key, mark = (batch.column(c).to_numpy() for c in ("rank", "key", "mark"))
+            new = np.ones(len(rank), bool)
+            new[1:] = (rank[1:] != rank[:-1]) | (key[1:] != key[:-1])
+            new[0] = open_key != (rank[0], key[0])
+            starts = np.flatnonzero(new)
+            edges = np.concatenate([[0] if not new[0] else [], starts, [len(rank)]]).astype(np.int64)
+            rows = batch.drop_columns(["key"])
+            # The pair that goes on from the batch before.
+            if not new[0]:
+                n = int(edges[1])
+                apart = not last or mark[n - 1] != open_mark
+                if apart:
+                    for held in open_rows:
+                        yield out(held, np.full(held.num_rows, task + open_at))
+                    open_rows, emitted = [], True
+                if emitted or apart:
+                    yield out(rows.slice(0, n), np.full(n, task + open_at))
+                else:
+                    open_rows.append(rows.slice(0, n))
+                edges = edges[1:]
+            if len(edges) > 1:
+                sizes = np.diff(edges)
+                if last:
+                    good = mark[edges[:-1]] != mark[edges[1:] - 1]
+                else:
+                    good = sizes > 1
+                good[-1] = False  # may go on in the next batch
+                keep = np.repeat(good, sizes)
+                picked = np.flatnonzero(keep) + edges[0]
+                if len(picked):
+                    ranks = np.repeat(edges[:-1] + at, sizes)[keep] + task
+                    yield out(rows.take(pa.array(picked)), ranks)
+                begin = int(edges[-2])
+                open_key, open_at, open_mark = (rank[-1], key[-1]), at + begin, mark[begin]
+                tail = rows.slice(begin)
+                several = mark[begin] != mark[-1] if last else tail.num_rows > 1
+                emitted, open_rows = bool(several), [] if several else [tail]
+                if several:
+                    yield out(tail, np.full(tail.num_rows, task + open_at))
+            at += len(rank)
+
+    return run
+
+
+def _ranked_prefixes(positions: DataFrame) -> DataFrame:
+    """``chunk`` and ``number`` of the prefixes that have several contexts, by prefix doubling.
+
+    ``positions`` has a key of the first bytes as ``rank``, and ``ahead`` the keys for the next two rounds.
+    """
+    ahead = [F.lit(0).cast("long"), F.shiftright("ahead", 32), F.col("ahead").bitwiseAND(F.lit(0xFFFFFFFF))]
+    for turn, key in enumerate(ahead):
+        last = turn == len(ahead) - 1
+        pair = ["rank", "key"]
+        placed = positions.withColumn("key", key).repartition(*pair)
+        placed = placed.sortWithinPartitions(*pair, *(["mark"] if last else []))
+        positions = written(placed.mapInArrow(_reranked(last), _RANKED), "ranked")
+    return positions.select("chunk", "number")
+
+
+def _numbers(rows: pa.Table) -> pa.Table:
+    """The prefix numbers of one chunk as an answer of their kind."""
+    numbers = np.unique(rows.column("number").to_numpy()).astype(np.uint32)
+    return pa.table(
+        {
+            "chunk": rows.column("chunk").slice(0, 1),
+            "bucket": pa.array([_PREFIXES * KIND], pa.int32()),
+            "answer": pa.array([pack(numbers)], pa.binary()),
+        }
+    )
 
 
 def _places(values: np.ndarray, _owner: np.ndarray, extras: list[bytes]) -> np.ndarray:
@@ -210,7 +317,7 @@ def remove_repeated_substrings(
 
     Texts are UTF-8 bytes; matches do not cross documents but may be in one, may
     overlap, and are judged on the input. See the module for the method. Repeats are
-    told by 64-bit hashes. A prefix that very many places share makes one entry a chunk:
+    told by 64-bit hashes. A prefix that very many places share makes two entries a chunk at most;
     contexts are counted by themselves.
 
     Returns all columns of ``docs`` and ``_bytes`` (length of the text), ``_kept``
@@ -239,7 +346,16 @@ def remove_repeated_substrings(
     def first(chunk: int, rows: pa.Table) -> pa.Table:
         return _Chunk(slim(rows), length, buckets, wide).requests(chunk)
 
-    shared = answer(ask(chunks, first), [(_shared, 32), (_places, 64)], "shared")
+    def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                yield _Chunk(slim(rows_of(blob.as_buffer())), length, buckets, wide).positions(chunk)
+                pa.default_memory_pool().release_unused()
+
+    ranked = _ranked_prefixes(chunks.select("chunk", "rows").mapInArrow(positions, _RANKED))
+    prefixes = ranked.groupBy("chunk").applyInArrow(_numbers, "chunk long, bucket int, answer binary")
+    looks = [(_places, 64)] * (_CONTEXTS + 1)
+    shared = answer(ask(chunks, first), looks, "contexts").unionByName(written(prefixes, "prefixes"))
 
     def second(chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
         found = _Chunk(slim(rows), length, buckets, wide)

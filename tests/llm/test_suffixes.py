@@ -77,3 +77,54 @@ def test_empty_table_and_bad_length(no_documents):
     assert remove_repeated_substrings(no_documents).collect() == []
     with pytest.raises(ValueError):
         remove_repeated_substrings(no_documents, length=1)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+@pytest.mark.parametrize("last", [False, True])
+def test_reranking_a_sorted_stream(size, last, monkeypatch):
+    """Pairs may go on over any number of batches."""
+    import pyarrow as pa
+
+    from barlake.llm import suffixes
+
+    class Task:
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(suffixes.TaskContext, "get", staticmethod(lambda: Task))
+    rng = random.Random(size)
+    rows = sorted(
+        (rng.randrange(6), rng.randrange(3), rng.randrange(2) if rng.random() < 0.4 else 0, i)
+        for i in range(60)
+    )
+    rows = sorted(rows + [(9, 9, 0, 1000 + i) for i in range(20)] + [(10, 0, i % 2, i) for i in range(9)])
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[:2], []).append(r)
+    batches = [
+        pa.RecordBatch.from_pydict(
+            {
+                "rank": pa.array([r[0] for r in part], pa.int64()),
+                "ahead": pa.array([0] * len(part), pa.int64()),
+                "mark": pa.array([r[2] for r in part], pa.int64()),
+                "chunk": pa.array([7] * len(part), pa.int64()),
+                "number": pa.array([r[3] for r in part], pa.int32()),
+                "key": pa.array([r[1] for r in part], pa.int64()),
+            }
+        )
+        for part in (rows[k : k + size] for k in range(0, len(rows), size))
+    ]
+    got = Counter()
+    ranks = {}
+    for batch in suffixes._reranked(last)(iter(batches)):
+        assert batch.schema.names == ["rank", "ahead", "mark", "chunk", "number"]
+        for r in batch.to_pylist():
+            got[r["mark"], r["number"]] += 1
+            ranks.setdefault(r["rank"], set()).add(r["number"])
+    want, at, starts = Counter(), 0, set()
+    for group in groups.values():
+        several = len({r[2] for r in group}) > 1 if last else len(group) > 1
+        if several:
+            want.update((r[2], r[3]) for r in group)
+            starts.add((3 << 40) + at)
+        at += len(group)
+    assert got == want and set(ranks) == starts
