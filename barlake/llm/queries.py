@@ -211,6 +211,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""
 
+_SUFFIXES_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+x AS (SELECT r, i, md5(b[i:i + 199]) AS k
+      FROM (SELECT r, b, unnest(range(1, octet_length(b) - 198)) AS i FROM d
+            WHERE octet_length(b) >= 200)),
+hits AS (SELECT r, i FROM x SEMI JOIN (SELECT k FROM x GROUP BY k HAVING count(*) > 1) USING (k)),
+runs AS (SELECT r, i, sum(CAST(new AS INT)) OVER (PARTITION BY r ORDER BY i) AS run
+         FROM (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200, true) AS new
+               FROM hits)),
+spans AS (SELECT r, min(i) AS s, max(i) + 199 AS e FROM runs GROUP BY r, run),
+pieces AS (
+  SELECT r, s, hex(b[coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) + 1:s - 1]) AS h
+  FROM spans JOIN d USING (r)
+  UNION ALL
+  SELECT r, max(e) + 1, hex(any_value(b)[max(e) + 1:octet_length(any_value(b))])
+  FROM spans JOIN d USING (r) GROUP BY r),
+kept AS (SELECT r, unhex(string_agg(h, '' ORDER BY s)) AS b FROM pieces GROUP BY r),
+sums AS (SELECT r, count(*) AS n_spans, CAST(sum(e - s + 1) AS BIGINT) AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, CAST(octet_length(d.b) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(coalesce(kept.b, d.b)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN sums USING (r)"""
+
 _JACCARD_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_words_sql("text", _BLANK, True)} AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
@@ -318,6 +340,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": _LEAKS_SQL,
         "op8_substrings": _WINDOWS_SQL,
         "op9_jaccard": _JACCARD_SQL,
+        "op10_suffixes": _SUFFIXES_SQL,
         "op12_resampling": _RESAMPLING_SQL,
         "op13_prefix_trie": _TRIE_SQL,
     }

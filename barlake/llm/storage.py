@@ -17,7 +17,6 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_llm"
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
