@@ -406,7 +406,8 @@ def link_documents(
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable by links,
     itself included) and ``n_links``, a row for each input row. Null text has no words.
     Null ids come last: a group of nulls alone has a null one. Rows that repeat an id are
-    documents of their own. An empty table gives an empty one. Other columns are not read.
+    documents of their own. An empty table gives an empty one. Other columns are not read. A text needs some ten
+    times its size in memory.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     linked = _linked(chunked(slim, "text"), n, percent, "doc_id", "text")

@@ -14,6 +14,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 BINS = 1024
 
 
+#: Names that the mix uses itself.
+_OWN = {
+    "doc_id", "source", "size", "source_size", "target", "copies", "taken",
+    "_hash", "_source", "_each", "_whole", "_p", "_want", "_cap", "_weight",
+    "_u", "_odds", "_step", "_at", "_cross", "_before", "_pick",
+}
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -86,8 +94,12 @@ def pareto_mix(
     ``copies``, ``taken`` (``copies * size``) and the (narrow) columns named in
     ``carry``, a row for each input row. Null text has size 0. A null source is a
     source; null ids are ids. Rows that are wholly equal tie and their order does not
-    matter. An empty table gives an empty one. Other columns are not read.
+    matter. An empty table gives an empty one. Other columns are not read. A column to carry must not be called as one of the
+    results, or as the columns that the operator works with: that is an error.
     """
+    clashing = {c.lower() for c in carry} & _OWN
+    if clashing:
+        raise ValueError(f"cannot carry columns called {sorted(clashing)}")
     sizes = written(
         docs.select(
             F.col(id_col).alias("doc_id"),

@@ -367,7 +367,8 @@ def score(docs: DataFrame, model: Machine, text_col: str = "text", name: str = "
     """All columns of ``docs`` and the score (0 to 1) of every whole text, in place.
 
     The text is all that a score depends on. A null or empty text has the score of
-    the bias alone. An input column called ``name`` is replaced.
+    the bias alone. An input column called ``name`` is replaced. A text needs some thirty times its
+    size in memory.
     """
     docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by PLACES

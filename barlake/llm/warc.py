@@ -179,7 +179,9 @@ def write_archives(
     dictionary its frames need, built from its first ``SAMPLE_BYTES`` of records.
     Records hold whatever bytes a page has. Spark's text writer puts the frames in
     place, so any file system it knows will do, and a lost task is written again.
-    Null urls are replaced by the page's id; an empty table writes no archive. Other columns are not read.
+    Null urls are replaced by the page's id; an empty table writes no archive. Other columns are not read. A page needs
+    some five times its size in memory. A reader takes an archive whole, up to 2 GB: partitions must hold less
+    than that, compressed.
     """
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -114,3 +114,16 @@ def test_given_conversations_are_legal_already(spark):
     assert len(rows) == turns.count()
     kept = [r for r in rows if r.action == "keep"]
     assert len(kept) > 0.5 * len(rows)
+
+
+def test_long_turns(spark):
+    """Texts of a megabyte, whole, alone and in equal pairs that differ at the end."""
+    long = "word " * 200_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long + "a"), (1, 1, "assistant", long + "b")]
+    rows += [(2, t, "user" if t % 2 == 0 else "assistant", long[: 50_000 + t]) for t in range(40)]
+    found = repaired(spark, rows)
+    assert [r.action for r in found[1]] == ["keep", "keep", "merge"]
+    texts = [text for _, text in messages("".join(r.fragment for r in found[2]))]
+    assert texts == [r[3] for r in rows[3:]]
+    joined = messages("".join(r.fragment for r in found[1]))[1][1]
+    assert sorted(joined.split("\n")) == [long + "a", long + "b"]

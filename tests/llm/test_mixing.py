@@ -105,3 +105,9 @@ def test_inclusion_follows_the_odds(spark):
         taken.update(r.source for r in rows)
     # 30 words by weights 3 and 1: s wants 22.5 of 40, t 7.5 of 20.
     assert 22 * 5 <= taken["s"] <= 23 * 5 and 7 * 5 <= taken["t"] <= 8 * 5
+
+
+@pytest.mark.parametrize("name", ["size", "Target", "_hash"])
+def test_names_that_cannot_be_carried(documents, name):
+    with pytest.raises(ValueError, match="carry"):
+        mixing.pareto_mix(documents.withColumn(name, documents["s"]), carry=[name])
