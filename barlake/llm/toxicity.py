@@ -12,16 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.llm.decontamination import GAPS
-from barlake.llm.words import LOWER, Rolling, byte_values, pieces, split_words, utf8
+from barlake.llm.words import LOWER, Rolling, byte_values, hashed, pieces, scramble, split_words, utf8
 
 #: Hash places of the terms.
 PLACES = 1 << 18
 #: Labelled rows that the model is fitted on, at most; see :func:`fit`.
 SAMPLE = 50_000
 #: Of these, rows whose pairs of words are screened; see :func:`select_pairs`.
-PAIR_ROWS = 4_000
+PAIR_ROWS = 3_000
 #: Words of a pair are less than this far apart.
-NEAR = 32
+NEAR = 16
+#: Least hashes of a row's word triples that must differ from another's, all of them, for both to count.
+SIGNS = 8
+#: Rows that the decay is chosen on.
+CHOICE_ROWS = 8_000
 #: Rows that a pair must be in, and twice the log-likelihood ratio that it must reach.
 PAIR_LEAST, PAIR_RATIO = 9, 40.0
 #: A word in a larger share of the rows is in no pair.
@@ -74,6 +78,40 @@ def near_pairs(text: pa.Array, usable: np.ndarray) -> Iterator[np.ndarray]:
             yield pairs[pairs // PLACES != pairs % PLACES]
 
 
+def signatures(text: pa.Array) -> np.ndarray:
+    """For each row ``SIGNS`` least hashes of its word triples (or of all its words, if it has fewer)."""
+    out = [np.zeros((0, SIGNS), np.uint64)]
+    for first, last in pieces(text, 1 << 20):
+        hashes, row_at = hashed(text.slice(first, last - first), GAPS, LOWER)
+        rolling = Rolling(hashes)
+        signs = np.zeros((last - first, SIGNS), np.uint64)
+        for row, (low, high) in enumerate(zip(row_at[:-1], row_at[1:])):
+            starts = np.arange(low, max(low + 1, high - 2))
+            triples = rolling(starts, np.minimum(starts + 3, high))
+            for k in range(SIGNS):
+                signs[row, k] = scramble(triples ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)).min()
+        out.append(signs)
+    return np.concatenate(out)
+
+
+def one_of_alike(signs: np.ndarray) -> np.ndarray:
+    """Numbers of the rows that share no sign with an earlier one, nor with one that is linked so."""
+    group = np.arange(len(signs))
+
+    def root(row: int) -> int:
+        while group[row] != row:
+            group[row] = group[group[row]]
+            row = group[row]
+        return row
+
+    for column in signs.T:
+        first: dict[int, int] = {}
+        for row, sign in enumerate(column.tolist()):
+            a, b = root(first.setdefault(sign, row)), root(row)
+            group[max(a, b)] = min(a, b)
+    return np.array([row for row in range(len(group)) if group[row] == row], np.int64)
+
+
 def chosen_terms(text: pa.Array, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and number of each distinct term of a row that the model keeps, by row."""
     row, place = terms(text)
@@ -205,10 +243,30 @@ def interacting(pairs: np.ndarray, n0: np.ndarray, n1: np.ndarray, share: np.nda
 def select_pairs(labelled: DataFrame, counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """Places of the words that interact with another one.
 
-    ``labelled`` has a few thousand rows of ``_text`` and ``_label``. Pairs of near words are counted by
+    ``labelled`` has a few thousand rows of ``_text``, ``_label`` and ``_order``. Of rows that are copies of each
+    other, nearly or wholly, one counts, as all pairs of a text that is there twenty times would seem to tell its label. Pairs of
+    near words are counted by
     Spark, combined in the tasks first; a pair that no additive rule foretells has both its members
     kept. As many places as there are come to the driver at most.
     """
+    named = labelled.withColumn("_name", F.xxhash64("_order", "_label", "_text"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows_ in batches:
+            signs = signatures(rows_.column(0))
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(signs.view(np.int64).reshape(-1)), SIGNS)
+            yield pa.RecordBatch.from_arrays(
+                [rows_.column(1), lists.cast(pa.list_(pa.int64()))], names=["name", "signs"]
+            )
+
+    # A few thousand rows of eight numbers.
+    signed = named.select("_text", "_name").mapInArrow(sign, "name long, signs array<long>").toArrow()
+    signed = signed.sort_by("name")
+    signs = np.array(signed.column("signs").to_pylist(), np.int64).reshape(-1, SIGNS)
+    alone = signed.column("name").to_numpy()[one_of_alike(signs)]
+    spark = labelled.sparkSession
+    kept = spark.createDataFrame(pa.table({"_name": np.unique(alone)}))
+    labelled = named.join(F.broadcast(kept), "_name", "left_semi")
     share, rows = np.full(PLACES, totals[1] / totals.sum()), np.zeros(PLACES, np.int64)
     rows[counts[:, 0]] = counts[:, 1] + counts[:, 2]
     share[counts[:, 0]] = (counts[:, 2] + share[0]) / (rows[counts[:, 0]] + 1)
@@ -233,7 +291,7 @@ def select_pairs(labelled: DataFrame, counts: np.ndarray, totals: np.ndarray) ->
                 held.append(found)
                 labels.append(label)
                 size += len(found)
-                if size >= 1 << 21:
+                if size >= 1 << 20:
                     yield flush(held, labels)
                     held, labels, size = [], [], 0
         if size:
@@ -259,16 +317,24 @@ def log_loss(model: Machine, row: np.ndarray, term: np.ndarray, label: np.ndarra
 def train_chosen(
     row: np.ndarray, term: np.ndarray, label: np.ndarray, index: np.ndarray, every: int = 4
 ) -> Machine:
-    """A machine with the decay that does best on every fourth row, fitted on the others; then on all."""
-    aside = np.arange(len(label)) % every == 0
-    if len(np.unique(label[~aside])) < 2 or not aside.any():
+    """A machine with the decay that does best on some rows when fitted on others; then fitted on all.
+
+    ``CHOICE_ROWS`` rows are used to choose, one in ``every`` of them to judge.
+    """
+    # Rows are in the order of labels, so every so-manieth has both in their shares.
+    some = np.arange(len(label)) % max(1, len(label) // CHOICE_ROWS) == 0
+    aside = some & (np.cumsum(some) % every == 0)
+    learnt = some & ~aside
+    if len(np.unique(label[learnt])) < 2 or not aside.any():
         return train(row, term, label, index)
 
     def part(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         kept = rows[row]
         return (np.cumsum(rows) - 1)[row[kept]], term[kept], label[rows]
 
-    losses = [log_loss(train(*part(~aside), index, decay=d), *part(aside)) for d in DECAYS]
+    losses = [
+        log_loss(train(*part(learnt), index, decay=d, epochs=10), *part(aside)) for d in DECAYS
+    ]
     return train(row, term, label, index, decay=DECAYS[int(np.argmin(losses))])
 
 

@@ -142,3 +142,34 @@ def test_near_pairs_against_plain_python():
             if a != b
         }
         assert set(found.tolist()) == want and len(found) == len(want)
+
+
+def test_one_of_near_copies_counts():
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join(base[:90] + ["x"] + base[91:]), "Other words, all of them", None, "", "a b", "a b c d"]
+    texts += [" ".join(base)] * 5 + [" ".join(f"t{i}x{k}" for k in range(9)) for i in range(40)]
+    signs = toxicity.signatures(pa.array(texts))
+    kept = toxicity.one_of_alike(signs).tolist()
+    assert kept == [0, 2, 3, 5, 6, *range(12, 52)]
+
+
+def test_pairs_of_copies_tell_nothing(spark):
+    """A text with label 1 that is there fifty times, slightly changed, has no interacting pairs."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(f"w{rng.randrange(200)}" for _ in range(30)), i % 10 == 0) for i in range(600)]
+    base = [f"w{rng.randrange(200)}" for _ in range(120)]
+    for i in range(50):
+        text = list(base)
+        text[rng.randrange(120)] = f"e{i}"
+        rows.append((1000 + i, " ".join(text), True))
+    labelled = spark.createDataFrame(
+        [(i, t, int(y)) for i, t, y in rows], "_order long, _text string, _label int"
+    )
+    counts = {}
+    for _, text, y in rows:
+        _, places = toxicity.terms(pa.array([text]))
+        for p in set(places.tolist()):
+            counts.setdefault(p, [0, 0])[int(y)] += 1
+    table = np.array([[p, *n] for p, n in counts.items()])
+    totals = np.array([sum(not y for *_, y in rows), sum(y for *_, y in rows)])
+    assert len(toxicity.select_pairs(labelled, table, totals)) <= 4
