@@ -63,10 +63,9 @@ def near_pairs(text: pa.Array, usable: np.ndarray) -> Iterator[np.ndarray]:
     Only whole words count, by hash place; those between that are not usable are left out first.
     """
     for first, last in pieces(text, 1 << 20):
-        data, at = utf8(text.slice(first, last - first))
-        words = split_words(LOWER[data], at, GAPS)
-        places = (Rolling(byte_values(words.data))(words.start, words.end) % np.uint64(PLACES)).astype(np.int64)
-        for low, high in zip(words.row_at[:-1], words.row_at[1:]):
+        hashes, row_at = hashed(text.slice(first, last - first), GAPS, LOWER)
+        places = (hashes % np.uint64(PLACES)).astype(np.int64)
+        for low, high in zip(row_at[:-1], row_at[1:]):
             mine = places[low:high]
             mine = mine[usable[mine]]
             sides = [(mine[:-d], mine[d:]) for d in range(1, min(NEAR, len(mine)))]
@@ -240,7 +239,26 @@ def interacting(pairs: np.ndarray, n0: np.ndarray, n1: np.ndarray, share: np.nda
     return (n >= PAIR_LEAST) & (2 * ratio >= PAIR_RATIO)
 
 
-def select_pairs(labelled: DataFrame, counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+def _words_by_label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of either label that have the word at each place; all rows at -1."""
+    for rows in _small(batches):
+        label = rows.column(1).to_numpy(False)
+        hashes, row_at = hashed(rows.column(0), GAPS, LOWER)
+        row = np.repeat(np.arange(rows.num_rows), np.diff(row_at))
+        pairs = np.unique(row * PLACES + (hashes % np.uint64(PLACES)).astype(np.int64))
+        seen = [np.bincount(pairs[label[pairs // PLACES] == y] % PLACES, minlength=PLACES) for y in (0, 1)]
+        places = np.flatnonzero(seen[0] + seen[1])
+        totals = np.bincount(label, minlength=2)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "place": np.append(places, -1),
+                "n0": np.append(seen[0][places], totals[0]),
+                "n1": np.append(seen[1][places], totals[1]),
+            }
+        )
+
+
+def select_pairs(labelled: DataFrame) -> np.ndarray:
     """Places of the words that interact with another one.
 
     ``labelled`` has a few thousand rows of ``_text``, ``_label`` and ``_order``. Of rows that are copies of each
@@ -267,11 +285,17 @@ def select_pairs(labelled: DataFrame, counts: np.ndarray, totals: np.ndarray) ->
     spark = labelled.sparkSession
     kept = spark.createDataFrame(pa.table({"_name": np.unique(alone)}))
     labelled = named.join(F.broadcast(kept), "_name", "left_semi")
-    share, rows = np.full(PLACES, totals[1] / totals.sum()), np.zeros(PLACES, np.int64)
+    words = labelled.select("_text", "_label").mapInArrow(_words_by_label, "place long, n0 long, n1 long")
+    words = words.groupBy("place").agg(F.sum("n0"), F.sum("n1")).toArrow()
+    counts = np.stack([c.to_numpy() for c in words.columns], 1).reshape(-1, 3)
+    totals = counts[counts[:, 0] == -1, 1:].sum(0)
+    if not totals.all():
+        return np.zeros(0, np.int64)
+    counts, whole = counts[counts[:, 0] >= 0], totals[1] / totals.sum()
+    share, rows = np.full(PLACES, whole), np.zeros(PLACES, np.int64)
     rows[counts[:, 0]] = counts[:, 1] + counts[:, 2]
-    share[counts[:, 0]] = (counts[:, 2] + share[0]) / (rows[counts[:, 0]] + 1)
+    share[counts[:, 0]] = (counts[:, 2] + whole) / (rows[counts[:, 0]] + 1)
     usable = (rows >= PAIR_LEAST) & (rows <= COMMON * totals.sum())
-    whole = totals[1] / totals.sum()
 
     def batch(values: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names=names)
@@ -398,7 +422,7 @@ def fit(
     paired = np.zeros(0, np.int64)
     if totals.all():
         some = rows.orderBy("_order", "_label").limit(PAIR_ROWS)
-        paired = select_pairs(texts.join(F.broadcast(some), "_id"), counts, totals)
+        paired = select_pairs(texts.join(F.broadcast(some), "_id"))
     index = select_terms(counts, totals, paired=paired)
     if not totals.all() or index.max() < 0:
         share = (totals[1] + 0.5) / (totals.sum() + 1)
