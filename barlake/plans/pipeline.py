@@ -361,8 +361,11 @@ def touched_days(
         # The first load makes the table, if only an empty one.
         yield None if there or load.diverted else load.days
         return
-    with staged(pending.days_of(spark, records), "pending", warehouse) as days:
-        yield days
+    if records == [load.record]:
+        yield load.days
+    else:
+        with staged(pending.days_of(spark, records), "pending", warehouse) as days:
+            yield days
     pending.clear(spark, records)
 
 

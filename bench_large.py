@@ -79,6 +79,9 @@ def main(n: int, cpus: str) -> None:
         timed(f"rollup_by_windows_{label}", rollup_by_windows(spark, bars))
         timed(f"annotate_daily_{label}", b.annotate_daily(bars))
         timed(f"dedup_latest_{label}", b.dedup_latest(bars))
+        # An equal poll: everything is there already.
+        timed(f"changed_bars_{label}", b.changed_bars(bars.withColumn("batch_id", F.lit(2)), bars))
+        timed(f"checks_by_day_{label}", b.run_checks_by(bars, "trade", ["partition"], ["symbol"]))
         timed(f"bronze_checks_{label}", b.run_checks(bars, "trade"))
     for repeated in (False, True):
         raw = spark.createDataFrame([(payload(40_000, repeated),)], "value string")
