@@ -36,8 +36,9 @@ _END, _START = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 _PAIRS, _WORDS, _TRIPLES = 0, 1, 2
 _BITS = {_PAIRS: 64, _WORDS: 64, _TRIPLES: 32}
 _FIRST = np.uint64(1 << 63)
-#: Steps of the logarithms that the mixture weights are learned from, per factor of two.
-FINE = 8
+#: Steps of the logarithms that the mixture weights are learned from, per factor of two, by the order: three
+#: estimates side by side make many more combinations than two, and those come to the driver.
+FINE = {2: 8, 3: 2}
 _NEVER = -(1 << 20)
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -148,7 +149,7 @@ def learn_weights(events: np.ndarray, floor: float = 1e-6, rounds: int = 100) ->
     """Mixture weights by level, (longest context's estimate, ..., word, uniform), by expectation-maximisation.
 
     ``events`` has columns level, log-ratio of each estimate
-    to the uniform one (in steps of 1/8 of a factor of two; never: not seen), number
+    to the uniform one (in steps of ``FINE`` to a factor of two; never: not seen), number
     of held-out tokens. A level without tokens takes the weights of all of them.
     """
     n_estimates = events.shape[1] - 2
@@ -157,7 +158,7 @@ def learn_weights(events: np.ndarray, floor: float = 1e-6, rounds: int = 100) ->
         ratios = np.ones((len(rows), n_estimates + 1))
         for i in range(n_estimates):
             steps = rows[:, 1 + i]
-            ratios[:, i] = np.where(steps == _NEVER, 0.0, np.exp2(steps / FINE))
+            ratios[:, i] = np.where(steps == _NEVER, 0.0, np.exp2(steps / FINE[n_estimates]))
         n, weights = rows[:, -1].astype(float), np.full(n_estimates + 1, 1 / (n_estimates + 1))
         for _ in range(rounds):
             share = ratios * weights
@@ -183,7 +184,8 @@ def _events(
 ) -> np.ndarray:
     """Held-out tokens by level and estimates, a row for each combination of steps that occurs.
 
-    Steps are logarithms, so there are few hundreds of each; the table comes to the driver as Arrow.
+    Steps are logarithms: there are some fifty of each with order 3 and some hundred and fifty with order 2, however large the
+    corpus, and the levels double with a context's frequency. The table comes to the driver as Arrow.
     """
 
     def run(_chunk: int, rows: pa.Table, got: dict[int, bytes]) -> pa.Table:
@@ -194,7 +196,7 @@ def _events(
         def steps(estimate: np.ndarray) -> np.ndarray:
             some = estimate > 0
             logs = np.full(len(estimate), _NEVER)
-            logs[some] = np.rint(FINE * np.log2(estimate[some] * (kinds + 1)))
+            logs[some] = np.rint(FINE[order] * np.log2(estimate[some] * (kinds + 1)))
             return logs
 
         cells = [_context_level(estimates)]
