@@ -19,7 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_every_operator_has_its_query():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(queries.oracle_sql()) <= set(names)
 
@@ -31,6 +31,11 @@ def test_queries_return_their_rows(spark, name):
     rows = spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
     if name == "pipeline":
         assert 0 < df.count() <= rows
+    elif name == "op13_prefix_trie":
+        # A row for each node: one root, of which all conversations are members.
+        conversations = spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id").distinct()
+        (root,) = df.filter("depth = 0").collect()
+        assert root.n_convs == conversations.count() and df.count() > root.n_children
     else:
         assert df.count() == rows
 
@@ -180,7 +185,7 @@ def test_empty_documents(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     want = con.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, SF_DIR)
